@@ -134,14 +134,13 @@ reach as (
     range between current row and 1024 - (e - b) following) as stop from piece
 ),
 ahead as (
-  select r.*, greatest(r.stop - 256, n.e - 1024) as earliest
+  select r.*, case when n.e is not null then greatest(r.stop - 256, n.e - 1024) end as earliest
   from reach r left join piece n on n.run = r.run and n.b = r.stop
 ),
 jump as (
-  select a.path, a.run, a.b, a.stop, p.b as next_b
-  from ahead a asof join piece p on a.run = p.run and p.b >= a.earliest
-  where a.earliest is not null
-  union all select path, run, b, stop, null from ahead where earliest is null
+  select path, run, b, stop, case when earliest is not null then min(b) over (partition by run order by b
+    range between coalesce(earliest - b, 0) following and unbounded following) end as next_b
+  from ahead
 ),
 walk as (
   select path, run, b, stop, next_b from jump where (run, b) in (select (run, min(b)) from piece group by run)
@@ -207,14 +206,14 @@ def hashed(rows: str, key: str, text: str, name: str) -> str:
 
 TOP = "row_number() over (partition by query_id order by score desc, chunk_id)"
 
-SEARCH = f"""
-{CHUNKS},
+SEARCH_PARTS = f"""
 asked as (select item_id as query_id, text from benchmark),
 {postings('chunks')},
 corpus as (select count(*) as n, avg(len({tokens('chunk_text')})) as avg_len from chunks),
 terms as (select distinct query_id, unnest({tokens('text')}) as term from asked),
 frequency as (select term, count(*) as df from postings group by term)
 """
+SEARCH = f"{CHUNKS}, {SEARCH_PARTS}"
 
 
 def by_keyword(name: str, where: str = "true", k: int = 42) -> str:
@@ -250,9 +249,9 @@ def by_vector(name: str, where: str = "true", k: int = 42) -> str:
 VECTORS = f"{hashed('asked', 'query_id', 'text', 'asked_vec')},\n{hashed('chunks', 'chunk_id', 'chunk_text', 'chunk_vec')}"
 
 
-def hybrid(where: str = "true", k: int = 42) -> str:
+def hybrid(where: str = "true", k: int = 42, search: str = SEARCH) -> str:
     return f"""
-{SEARCH},
+{search},
 {VECTORS},
 {by_keyword('kw', where, k)},
 {by_vector('vec', where, k)},
@@ -298,6 +297,8 @@ scored as (
 )
 """
 
+CHUNKED_RUNS = f"chunked as ({recursive_chunks()}), {MERGED.strip().removeprefix('with')}"
+
 COUNTS = "select {0}, count(*) as n from synced group by {0}"
 RANKED = "select query_id, chunk_id, score, rank from {}"
 FILTERED = "category = 'Construction' and year >= 2024 and month < 9"
@@ -444,12 +445,19 @@ ORACLES: dict[str, str] = {
           (select round(count(*) / (select count(*) * count(*) from embeddings), 6) from scored) as share_examined
         from exact e left join found f on f.query_id = e.query_id and f.chunk_id = e.chunk_id""",
     "corpus_runs": f"""
-        with recursive chunked as ({recursive_chunks().replace("with recursive", "with", 1)}),
-        {MERGED.strip().removeprefix("with")}
-        , per_path as (select path, count(*) as n from chunked group by path)
+        with recursive {CHUNKED_RUNS},
+        per_path as (select path, count(*) as n from chunked group by path)
         select category, case when status in ('NEW', 'UPDATED') then 'INDEXED' else status end as status, version,
           count(*) as files, sum(case when status = 'DELETED' then 0 else coalesce(n, 0) end)::bigint as chunks
         from synced left join per_path using (path) group by all""",
+    "corpus_answers": f"with recursive {CHUNKED_RUNS}," + hybrid(FILTERED, 10, f"""
+        chunks as (
+          select path, chunk_text, category, year, month, md5(path || '|' || version || '|' || ordinal) as chunk_id
+          from chunked join synced using (path) where status <> 'DELETED'
+        ), {SEARCH_PARTS}""") + """
+        select query_id, case when count(chunk_id) > 0 then 'OK' else 'NO_RESULTS' end as status,
+          count(chunk_id)::int as num_results, coalesce(string_agg(path, ',' order by rank), '') as paths
+        from asked left join (select * from hits join chunks using (chunk_id)) using (query_id) group by query_id""",
     "track_streamed": MERGED + "select path, length, mtime, category, year, month, status2 as status, version, is_current from ("
         "select *, case when status = 'INDEXED' then 'NEW' else status end as status2 from merged)",
 }

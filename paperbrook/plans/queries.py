@@ -602,7 +602,8 @@ def corpus_answers(spark, sf_dir):
     corpus.sync(listing(spark, sf_dir, 1), texts, INDEXED_AT)
     corpus.sync(listing(spark, sf_dir, 2), texts, INDEXED_AT)
     answers = corpus.answer(benchmark_queries(spark, sf_dir), SEARCH_FILTERS, k=10)
-    return answers.select("query_id", "status", "num_results", F.transform("docs", lambda d: d["path"]).alias("paths"))
+    found = F.array_join(F.transform("docs", lambda d: d["path"]), ",")
+    return answers.select("query_id", "status", "num_results", found.alias("paths"))
 
 
 @query
