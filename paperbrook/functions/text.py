@@ -31,7 +31,7 @@ def html_text(html: Column) -> Column:
     for entity, plain in ENTITIES.items():
         text = F.replace(text, F.lit(entity), F.lit(plain))
     text = F.regexp_replace(text, r"[ \t\r]+", " ")
-    return F.trim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"))
+    return F.btrim(F.regexp_replace(text, r" ?\n[ \n]*", "\n"), F.lit(" \n"))
 
 
 def join_pages(pages: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 def chunk_upsert(chunks: DataFrame, new: DataFrame, key: str = "chunk_id") -> DataFrame:
     """Matched keys take the new row, unmatched keys are added."""
-    return chunks.join(new.select(key), key, "left_anti").unionByName(new)
+    return chunks.join(new.select(key), key, "left_anti").select(*chunks.columns).unionByName(new)
 
 
 def chunk_delete(chunks: DataFrame, paths: DataFrame) -> DataFrame:
@@ -55,4 +55,4 @@ def apply_changes(old: DataFrame, feed: DataFrame, key: str = "chunk_id") -> Dat
     """The table after the feed: ``apply_changes(old, change_feed(old, new))`` equals ``new``."""
     removed = feed.where(F.col("_change_type").isin("delete", "update_preimage")).select(key)
     added = feed.where(F.col("_change_type").isin("insert", "update_postimage")).drop("_change_type")
-    return old.join(removed, key, "left_anti").unionByName(added)
+    return old.join(removed, key, "left_anti").select(*old.columns).unionByName(added)

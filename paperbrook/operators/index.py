@@ -74,10 +74,9 @@ def sync_index(
     removed = feed.where(F.col("_change_type").isin("delete", "update_preimage")).select(key)
     added = feed.where(F.col("_change_type").isin("insert", "update_postimage"))
     fresh = build_index(added, text, key, carry, dim)
-    return Index(
-        index.vectors.join(removed, key, "left_anti").unionByName(fresh.vectors),
-        index.postings.join(removed, key, "left_anti").unionByName(fresh.postings),
-    )
+    return Index(*[
+        old.join(removed, key, "left_anti").select(*old.columns).unionByName(new) for old, new in zip(index, fresh)
+    ])
 
 
 def write_index(index: Index, folder: str, name: str, buckets: int, key: str = "chunk_id") -> Index:

@@ -171,7 +171,7 @@ c as (select page_id, regexp_replace(t, '(?s)<[^>]*>', '', 'g') as t from b),
 d as (select page_id, replace(replace(replace(replace(replace(replace(t,
     '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as t from c),
 e as (select page_id, regexp_replace(t, '[ \t\r]+', ' ', 'g') as t from d)
-select page_id, trim(regexp_replace(t, ' ?\n[ \n]*', chr(10), 'g'), ' ') as text from e
+select page_id, trim(regexp_replace(t, ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) as text from e
 """
 
 TOKENS = r"regexp_extract_all(lower({}), '[\p{{L}}\p{{N}}]+')"

@@ -44,7 +44,7 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def balance(df: DataFrame) -> DataFrame:
