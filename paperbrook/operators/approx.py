@@ -7,6 +7,7 @@ angle between them tend to share a code. A search reads only the rows whose code
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from paperbrook.functions.ids import salt
-from paperbrook.operators.search import BROADCAST_QUERIES, K, SCORE_DIGITS, SPREAD, _matrix, top_k
+from paperbrook.operators.search import (
+    BROADCAST_QUERIES, K, SCORE_DIGITS, SPREAD, _Best, _matrix, _ranked_schema, top_k,
+)
 
 TABLES, BITS = 8, 8
 
@@ -50,35 +53,72 @@ def hash_vectors(df: DataFrame, dim: int, tables: int = TABLES, bits: int = BITS
     return codes.select(*df.columns, F.posexplode("_codes").alias("lsh_table", "lsh_code"))
 
 
-def candidate_scores(
-    queries: DataFrame, hashed: DataFrame, query_id: str = "query_id", key: str = "chunk_id",
-    vector: str = "embedding", max_broadcast: int = BROADCAST_QUERIES * TABLES,
-) -> DataFrame:
-    """Score of every vector that shares a code with a query, once per pair.
+def _scan_codes(rows, hashed: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
+    """Few queries: each task scores its rows against the queries of the same code and keeps k per query.
 
-    A code held by a third of all vectors stays spread out: the query side is sent to the vectors when
-    it is small (counted first), else both sides also join on a salt taken from the vector's key.
+    A code held by a third of all vectors stays spread over the tasks that read it.
     """
-    asked = queries.select(query_id, F.col(vector).alias("_asked"), "lsh_table", "lsh_code")
-    rows = hashed.select(key, vector, "lsh_table", "lsh_code")
-    on = ["lsh_table", "lsh_code"]
-    if asked.limit(max_broadcast + 1).count() <= max_broadcast:
-        pairs = rows.join(F.broadcast(asked), on)
-    else:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-        pairs = rows.withColumn("_s", salt(F.col(key), SPREAD)).join(asked.withColumn("_s", copies), [*on, "_s"])
+    ids = pa.array(list(dict.fromkeys(r[query_id] for r in rows)))
+    place = {q: i for i, q in enumerate(ids.to_pylist())}
+    matrix = np.zeros((len(ids), len(rows[0][vector])))
+    asked: dict[tuple[int, int], list[int]] = {}
+    for r in rows:
+        matrix[place[r[query_id]]] = r[vector]
+        asked.setdefault((r["lsh_table"], r["lsh_code"]), []).append(place[r[query_id]])
+    sent = hashed.sparkSession.sparkContext.broadcast((ids, matrix, {c: np.array(q) for c, q in asked.items()}))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids, matrix, asked = sent.value
+        best = _Best(len(matrix), k)
+        for batch in batches:
+            table, code = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("lsh_table", "lsh_code"))
+            order = np.lexsort((code, table))
+            change = np.flatnonzero((np.diff(table[order]) != 0) | (np.diff(code[order]) != 0)) + 1
+            vectors = _matrix(batch.column(vector))
+            for group in np.split(order, change):
+                queries = asked.get((table[group[0]], code[group[0]])) if len(group) else None
+                for at in range(0, len(group) if queries is not None else 0, best.block):
+                    part = group[at : at + best.block]
+                    best.add(batch.column(key).take(pa.array(part)), matrix[queries] @ vectors[part].T, queries)
+        yield from best.batches(ids, schema.names)
+
+    return hashed.select(key, vector, "lsh_table", "lsh_code").mapInArrow(score, schema)
+
+
+def candidate_scores(
+    queries: DataFrame, hashed: DataFrame, query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding",
+) -> DataFrame:
+    """Score of every vector that shares a code with a query, once per pair; the two meet on the code and a
+    salt of the vector's key, so that a frequent code is spread over many tasks."""
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    asked = queries.select(query_id, F.col(vector).alias("_asked"), "lsh_table", "lsh_code", copies.alias("_s"))
+    rows = hashed.select(key, vector, "lsh_table", "lsh_code", salt(F.col(key), SPREAD).alias("_s"))
+    pairs = rows.join(asked, ["lsh_table", "lsh_code", "_s"])
     products = F.zip_with("_asked", vector, lambda a, b: a.cast("double") * b.cast("double"))
     score = F.round(F.aggregate(products, F.lit(0.0), lambda total, x: total + x), SCORE_DIGITS)
     return pairs.select(query_id, key, score.alias("score")).groupBy(query_id, key).agg(F.first("score").alias("score"))
 
 
 def approx_search(
-    queries: DataFrame, vectors: DataFrame, dim: int, k: int = K, tables: int = TABLES, bits: int = BITS,
+    queries: DataFrame, index: DataFrame, dim: int, k: int = K, tables: int = TABLES, bits: int = BITS,
     query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding",
+    max_broadcast: int = BROADCAST_QUERIES,
 ) -> DataFrame:
-    """The k best among the vectors sharing a code; give ``hash_vectors`` output to search a built index."""
-    hashed = vectors if "lsh_code" in vectors.columns else hash_vectors(vectors, dim, tables, bits, vector)
-    scored = candidate_scores(hash_vectors(queries, dim, tables, bits, vector), hashed, query_id, key, vector)
+    """The k best among the vectors sharing a code; give ``hash_vectors`` output to search a built index.
+
+    Only codes the queries have are read: with few queries (counted first) their codes prune the index.
+    """
+    hashed = index if "lsh_code" in index.columns else hash_vectors(index, dim, tables, bits, vector)
+    asked = hash_vectors(queries.select(query_id, vector), dim, tables, bits, vector)
+    head = asked.limit(max_broadcast * tables + 1).collect()
+    if head and len(head) <= max_broadcast * tables:
+        codes = F.broadcast(asked.select("lsh_table", "lsh_code").distinct())
+        wanted = hashed.join(codes, ["lsh_table", "lsh_code"], "left_semi")
+        partial = _scan_codes(head, wanted, k, query_id, key, vector, _ranked_schema(queries, index, query_id, key))
+        # A pair found through several tables has the same score in each.
+        scored = partial.groupBy(query_id, key).agg(F.first("score").alias("score"))
+    else:
+        scored = candidate_scores(asked, hashed, query_id, key, vector)
     return top_k(scored, k, query_id, key, SPREAD)
 
 

@@ -1,7 +1,12 @@
-"""Text to vector: hashed term counts of unit length. Ready-made vectors can be used in its place."""
+"""What a text is searched by: its terms with their counts, and a hashed vector of unit length.
+
+Ready-made vectors can be used in place of the hashed ones.
+"""
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -12,34 +17,61 @@ from paperbrook.functions.text import tokens
 
 DIM = 64
 
+PROFILE = "struct<doc_len:int,terms:array<string>,tfs:array<int>,embedding:array<double>>"
+
 
-def token_bucket(token: Column, dim: int) -> Column:
+def token_bucket(token: str, dim: int) -> int:
     """The first 32 bits of the token's md5, modulo the number of buckets."""
-    return F.conv(F.substring(F.md5(token), 1, 8), 16, 10).cast("bigint") % dim
+    return int.from_bytes(hashlib.md5(token.encode()).digest()[:4], "big") % dim
+
+
+def _lists(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
+    offsets = np.zeros(len(lengths) + 1, dtype=np.int32)
+    np.cumsum(lengths, out=offsets[1:])
+    return pa.ListArray.from_arrays(offsets, values)
+
 
+def term_profile(terms: Column, dim: int = DIM) -> Column:
+    """Length in tokens, distinct terms in order, their counts and the vector, of a token array.
 
-def unit_counts(buckets: Column, dim: int) -> Column:
-    """Count per bucket, scaled to length 1; all zero for an empty list. One bincount per Arrow batch."""
+    One pass over an Arrow batch: each distinct term of the batch is hashed once, and all counts come
+    from one sort of integers.
+    """
 
-    def count(rows: pa.Array) -> pa.Array:
+    def profile(rows: pa.Array) -> pa.Array:
+        n = len(rows)
         lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        owner = np.repeat(np.arange(len(rows), dtype=np.int64), lengths)
-        flat = rows.flatten().to_numpy(zero_copy_only=False)
-        counts = np.bincount(owner * dim + flat, minlength=len(rows) * dim).astype(np.float64)
-        counts = counts.reshape(len(rows), dim)
-        norms = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
-        units = np.divide(counts, norms, out=np.zeros_like(counts), where=norms > 0)
-        return pa.ListArray.from_arrays(np.arange(len(rows) + 1, dtype=np.int32) * np.int32(dim), units.ravel())
+        encoded = rows.flatten().dictionary_encode()
+        order = pc.sort_indices(encoded.dictionary)
+        words = encoded.dictionary.take(order)
+        size = max(len(words), 1)
+        place = np.empty(size, dtype=np.int64)
+        place[order.to_numpy()] = np.arange(len(words))
+        codes = place[encoded.indices.to_numpy()]
+        pairs, counts = np.unique(np.repeat(np.arange(n), lengths) * size + codes, return_counts=True)
+        row, word = pairs // size, pairs % size
 
-    count.__annotations__ = {"rows": pa.Array, "return": pa.Array}
-    return F.arrow_udf(count, "array<double>")(buckets)
+        buckets = np.array([token_bucket(w, dim) for w in words.to_pylist()], dtype=np.int64)
+        sums = np.bincount(row * dim + buckets[word], weights=counts, minlength=n * dim)
+        sums = sums.astype(np.float64).reshape(n, dim)
+        norms = np.sqrt((sums * sums).sum(axis=1, keepdims=True))
+        units = np.divide(sums, norms, out=np.zeros_like(sums), where=norms > 0)
 
+        per_row = np.bincount(row, minlength=n)
+        return pa.StructArray.from_arrays(
+            [
+                pa.array(lengths, pa.int32()),
+                _lists(words.take(pa.array(word)), per_row),
+                _lists(pa.array(counts, pa.int32()), per_row),
+                _lists(pa.array(units.ravel()), np.full(n, dim)),
+            ],
+            names=["doc_len", "terms", "tfs", "embedding"],
+        )
 
-def term_vector(terms: Column, dim: int = DIM) -> Column:
-    """Vector of a token array. Hashing stays in the JVM, only bucket numbers go to Python."""
-    return unit_counts(F.transform(terms, lambda t: token_bucket(t, dim).cast("int")), dim)
+    profile.__annotations__ = {"rows": pa.Array, "return": pa.Array}
+    return F.arrow_udf(profile, PROFILE)(terms)
 
 
 def embed(df: DataFrame, text: str = "text", dim: int = DIM, vector: str = "embedding") -> DataFrame:
     """Add the vector column, row by row and without a shuffle."""
-    return df.withColumn(vector, term_vector(tokens(F.col(text)), dim))
+    return df.withColumn(vector, term_profile(tokens(F.col(text)), dim)["embedding"])

@@ -1,98 +1,41 @@
-"""The search index: one row per chunk with its vector, and one row per term and chunk.
+"""The search index: one row per chunk with its terms, their counts, its length and its vector.
 
-Both tables carry the filter columns, so that a filter is a scan predicate and never a join.
+A row depends on its chunk alone, so building and syncing the index shuffle no text and gather no term: a
+term found in a third of all chunks costs nothing extra. The rows carry the filter columns, so a filter is a
+scan predicate and never a join, and each kind of search reads only the columns it scores by.
 """
 
 from __future__ import annotations
 
-from typing import NamedTuple
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from paperbrook.functions.text import tokens
-from paperbrook.operators.embedding import DIM, term_vector
+from paperbrook.operators.embedding import DIM, term_profile
 
 META = ["path", "category", "year", "month"]
 
 
-class Index(NamedTuple):
-    vectors: DataFrame  # chunk_id, embedding, doc_len and the carried columns
-    postings: DataFrame  # term, chunk_id, tf, doc_len and the carried columns
-
-
-def build_vectors(
+def build_index(
     chunks: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META, dim: int = DIM
 ) -> DataFrame:
-    """Map-only: a vector and a length in tokens for every chunk, from one reading of the text."""
-    rows = chunks.select(key, *carry, tokens(F.col(text)).alias("_terms"))
-    return rows.select(
-        key, *carry, F.size("_terms").alias("doc_len"), term_vector(F.col("_terms"), dim).alias("embedding")
-    )
-
+    """Index rows of the chunks: map-only, the text is read once."""
+    return chunks.select(key, *carry, term_profile(tokens(F.col(text)), dim).alias("_p")).select(key, *carry, "_p.*")
 
-def build_postings(
-    chunks: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META,
-    buckets: int | None = None,
-) -> DataFrame:
-    """Term counts per chunk.
 
-    The chunk rows are hashed on their key before they are taken apart into terms: one shuffle of the
-    text replaces the shuffle of the much larger term rows, here and in every later group-by on the
-    key. A frequent term is therefore never gathered in one place. With ``buckets`` the hash is the one
-    ``write_index`` asks for, and saving adds no shuffle.
-    """
-    hashed = (buckets, key) if buckets else (key,)
-    term_rows = (
-        chunks.select(key, *carry, text)
-        .repartition(*hashed)
-        .withColumn("terms", tokens(F.col(text)))
-        .withColumn("doc_len", F.size("terms"))
-        # The plain explode makes Spark add a filter that reads the text a second time.
-        .select(key, *carry, "doc_len", F.explode_outer("terms").alias("term"))
-        .where(F.col("term").isNotNull())
-    )
-    counts = term_rows.groupBy(key, "term", "doc_len", *carry).agg(F.count("*").alias("tf"))
-    return counts.select("term", key, "tf", "doc_len", *carry)
-
-
-def build_index(
-    chunks: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META, dim: int = DIM,
-    buckets: int | None = None,
-) -> Index:
-    return Index(
-        build_vectors(chunks, text, key, carry, dim),
-        build_postings(chunks, text, key, carry, buckets),
+def postings(index: DataFrame, *columns: str) -> DataFrame:
+    """One row per term and chunk: term, tf and the given columns."""
+    return index.select(*columns, F.explode(F.arrays_zip("terms", "tfs")).alias("_p")).select(
+        F.col("_p.terms").alias("term"), F.col("_p.tfs").cast("bigint").alias("tf"), *columns
     )
 
 
 def sync_index(
-    index: Index, feed: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META,
+    index: DataFrame, feed: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META,
     dim: int = DIM,
-) -> Index:
+) -> DataFrame:
     """The index after a change feed of the chunk table: only inserted and updated chunks are embedded."""
     removed = feed.where(F.col("_change_type").isin("delete", "update_preimage")).select(key)
     added = feed.where(F.col("_change_type").isin("insert", "update_postimage"))
-    fresh = build_index(added, text, key, carry, dim)
-    return Index(*[
-        old.join(removed, key, "left_anti").select(*old.columns).unionByName(new) for old, new in zip(index, fresh)
-    ])
-
-
-def write_index(index: Index, folder: str, name: str, buckets: int, key: str = "chunk_id") -> Index:
-    """Save both tables under ``folder``, bucketed by chunk, so a search groups by chunk without a shuffle.
-
-    Pick ``buckets`` so that one bucket of postings fits a task.
-    """
-    spark = index.vectors.sparkSession
-    saved = []
-    for df, part in ((index.vectors, "vectors"), (index.postings, "postings")):
-        (
-            df.repartition(buckets, key)
-            .write.mode("overwrite")
-            .bucketBy(buckets, key)
-            .option("path", f"{folder}/{part}")
-            .saveAsTable(f"{name}_{part}")
-        )
-        saved.append(spark.read.table(f"{name}_{part}"))
-    return Index(*saved)
+    kept = index.join(removed, key, "left_anti").select(*index.columns)
+    return kept.unionByName(build_index(added, text, key, carry, dim))

@@ -6,7 +6,7 @@ Scores are rounded before they are ranked and ties go to the smaller key, so eve
 from __future__ import annotations
 
 from collections.abc import Iterator
-from typing import Any
+from typing import Any, NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +20,7 @@ from paperbrook.functions.ids import salt
 from paperbrook.functions.text import tokens
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.filters import apply_filters
-from paperbrook.operators.index import Index
+from paperbrook.operators.index import postings
 
 K = 42
 SCORE_DIGITS, FUSED_DIGITS = 6, 9
@@ -67,51 +67,73 @@ def _matrix(vectors: pa.Array) -> np.ndarray:
 
 
 def _cut(rows: pa.Table, k: int) -> pa.Table:
-    """The k best rows of each query by score, then key."""
+    """The k best rows of each query by score, then key; a pair that came twice counts once."""
     order = [("query", "ascending"), ("score", "descending"), ("key", "ascending")]
-    rows = rows.take(pc.sort_indices(rows, sort_keys=order))
-    query = rows["query"].to_numpy()
+    rows = rows.take(pc.sort_indices(rows, sort_keys=order)).combine_chunks()
+    query, score, key = (rows[name].combine_chunks() for name in ("query", "score", "key"))
+    query, score = query.to_numpy(), score.to_numpy()
+    if len(query) > 1:
+        same_key = pc.equal(key[1:], key[:-1]).to_numpy(zero_copy_only=False)
+        again = (query[1:] == query[:-1]) & (score[1:] == score[:-1]) & same_key
+        if again.any():
+            keep = np.r_[True, ~again]
+            rows, query = rows.filter(pa.array(keep)), query[keep]
     starts = np.flatnonzero(np.r_[True, query[1:] != query[:-1]]) if len(query) else np.array([], dtype=np.int64)
     place = np.arange(len(query)) - np.repeat(starts, np.diff(np.r_[starts, len(query)]))
     return rows.filter(pa.array(place < k))
 
 
 class _Best:
-    """Running k best keys for each query over the blocks of one task; holds about k rows per query."""
-
-    def __init__(self, queries: np.ndarray, k: int):
-        self.queries, self.k = queries, k
-        self.floor = np.full(len(queries), -np.inf)
-        self.rows: pa.Table | None = None
-        self.block = max(SCORE_CELLS // max(len(queries), 1), 1)
-
-    def add(self, keys: pa.Array, vectors: np.ndarray) -> None:
-        for at in range(0, len(vectors), self.block):
-            self._add(keys.slice(at, self.block), vectors[at : at + self.block])
-
-    def _add(self, keys: pa.Array, vectors: np.ndarray) -> None:
-        scores = np.round(self.queries @ vectors.T, SCORE_DIGITS)
-        floor = self.floor
-        if scores.shape[1] > self.k:
-            kth = np.partition(scores, scores.shape[1] - self.k, axis=1)[:, scores.shape[1] - self.k]
-            floor = np.maximum(floor, kth)
-        query, row = np.nonzero(scores >= floor[:, None])
-        fresh = pa.table({
-            "query": query,
-            "score": scores[query, row],
-            "key": keys.take(pa.array(row)),
-        })
-        self.rows = _cut(fresh if self.rows is None else pa.concat_tables([self.rows, fresh]), self.k)
-        query = self.rows["query"].to_numpy()
-        last = np.flatnonzero(np.r_[query[1:] != query[:-1], True])
-        filled = np.bincount(query, minlength=len(self.queries)) >= self.k
-        ends = np.full(len(self.queries), -np.inf)
-        ends[query[last]] = self.rows["score"].to_numpy()[last]
-        self.floor = np.where(filled, ends, -np.inf)
-
-    def table(self, query_ids: pa.Array, names: list[str]) -> pa.Table:
-        ids = query_ids.take(self.rows["query"].combine_chunks())
-        return pa.table([ids, self.rows["key"], self.rows["score"]], names=names)
+    """Running k best keys for each query over the blocks of one task; holds a few times k rows per query."""
+
+    def __init__(self, n_queries: int, k: int):
+        self.k = k
+        self.floor = np.full(n_queries, -np.inf)
+        self.fresh: list[pa.Table] = []
+        self.waiting = 0
+        self.block = max(SCORE_CELLS // max(n_queries, 1), 1)
+
+    def add(self, keys: pa.Array, scores: np.ndarray, queries: np.ndarray | None = None) -> None:
+        """Scores of one block, a row per query (of ``queries``, or all); minus infinity where there is no hit."""
+        scores = np.round(scores, SCORE_DIGITS)
+        floor = self.floor if queries is None else self.floor[queries]
+        hit = (scores >= floor[:, None]) & (scores > -np.inf)
+        n = scores.shape[1]
+        if n > self.k and np.count_nonzero(hit) > 2 * self.k * len(scores):
+            kth = np.partition(scores, n - self.k, axis=1)[:, n - self.k]
+            hit &= scores >= kth[:, None]
+        query, row = np.nonzero(hit)
+        if not len(query):
+            return
+        values = scores[query, row]
+        query = query if queries is None else queries[query]
+        self.fresh.append(pa.table({"query": query, "score": values, "key": keys.take(pa.array(row))}))
+        self.waiting += len(query)
+        if self.waiting > max(4 * self.k * len(self.floor), 1 << 16):
+            self._settle()
+
+    def _settle(self) -> None:
+        rows = _cut(pa.concat_tables(self.fresh), self.k)
+        self.fresh, self.waiting = [rows], 0
+        held = rows["query"].to_numpy()
+        last = np.r_[np.flatnonzero(held[1:] != held[:-1]), len(held) - 1]
+        full = np.bincount(held, minlength=len(self.floor)) >= self.k
+        self.floor[held[last]] = rows["score"].to_numpy()[last]
+        self.floor[~full] = -np.inf
+
+    def batches(self, query_ids: pa.Array, names: list[str]) -> list[pa.RecordBatch]:
+        """The k best rows per query, with the queries' own ids; nothing when there was no hit."""
+        if not self.fresh:
+            return []
+        self._settle()
+        rows = self.fresh[0].combine_chunks()
+        ids = query_ids.take(rows["query"].combine_chunks())
+        return pa.table([ids, rows["key"], rows["score"]], names=names).combine_chunks().to_batches()
+
+
+def _blocks(batch: pa.RecordBatch | pa.Table, rows: int) -> Iterator[pa.RecordBatch | pa.Table]:
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
 
 
 def _ranked_schema(queries: DataFrame, vectors: DataFrame, query_id: str, key: str) -> T.StructType:
@@ -130,12 +152,11 @@ def _scan_top_k(rows, vectors: DataFrame, k: int, query_id: str, key: str, vecto
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
-        best = _Best(matrix, k)
+        best = _Best(len(matrix), k)
         for batch in batches:
-            if batch.num_rows:
-                best.add(batch.column(key), _matrix(batch.column(vector)))
-        if best.rows is not None:
-            yield from best.table(ids, schema.names).combine_chunks().to_batches()
+            for block in _blocks(batch, best.block):
+                best.add(block.column(key), matrix @ _matrix(block.column(vector)).T)
+        yield from best.batches(ids, schema.names)
 
     return vectors.mapInArrow(score, schema)
 
@@ -165,9 +186,13 @@ def _block_top_k(queries, vectors, k, query_id, key, vector, schema, n_queries:
     def score(asked: pa.Table, found: pa.Table) -> pa.Table:
         if not asked.num_rows or not found.num_rows:
             return empty
-        best = _Best(_matrix(asked["asked_vector"].combine_chunks()), k)
-        best.add(found["found_key"].combine_chunks(), _matrix(found["found_vector"].combine_chunks()))
-        return best.table(asked["asked_id"].combine_chunks(), empty.schema.names)
+        matrix = _matrix(asked["asked_vector"].combine_chunks())
+        best = _Best(len(matrix), k)
+        for block in _blocks(found.combine_chunks(), best.block):
+            vectors = _matrix(block["found_vector"].combine_chunks())
+            best.add(block["found_key"].combine_chunks(), matrix @ vectors.T)
+        found = best.batches(asked["asked_id"].combine_chunks(), empty.schema.names)
+        return pa.Table.from_batches(found) if found else empty
 
     score.__annotations__ = {"asked": pa.Table, "found": pa.Table, "return": pa.Table}
     return left.groupBy("asked_q", "asked_v").cogroup(right.groupBy("found_q", "found_v")).applyInArrow(score, schema)
@@ -179,7 +204,7 @@ def _arrow_schema(schema: T.StructType) -> pa.Schema:
 
 def similarity_search(
     queries: DataFrame,
-    vectors: DataFrame,
+    index: DataFrame,
     k: int = K,
     filters: list[dict[str, Any]] | None = None,
     query_id: str = "query_id",
@@ -191,12 +216,12 @@ def similarity_search(
 
     Filters hold before ranking. The query side is counted before it is sent anywhere.
     """
-    candidates = apply_filters(vectors, filters).where(F.col(vector).isNotNull()).select(key, vector)
+    candidates = apply_filters(index, filters).where(F.col(vector).isNotNull()).select(key, vector)
     asked = queries.where(F.col(vector).isNotNull()).select(query_id, vector)
-    schema = _ranked_schema(queries, vectors, query_id, key)
+    schema = _ranked_schema(queries, index, query_id, key)
     head = asked.limit(max_broadcast + 1).collect()
     if not head:
-        return vectors.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
+        return _no_hits(index, schema)
     if len(head) <= max_broadcast and sum(len(r[vector]) for r in head) <= BROADCAST_VALUES:
         partial = _scan_top_k(head, candidates, k, query_id, key, vector, schema)
     else:
@@ -211,9 +236,89 @@ def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "tex
     return queries.select(query_id, F.explode(F.array_distinct(tokens(F.col(text)))).alias("term"))
 
 
+class _TermWeights(NamedTuple):
+    """Query terms with their weight, and for each term the queries that ask for it."""
+
+    query_ids: pa.Array
+    terms: pa.Array
+    idf: np.ndarray
+    first: np.ndarray  # queries[first[t]:first[t + 1]] ask for term t
+    queries: np.ndarray
+    average: float  # chunk length in tokens
+
+
+def _term_weights(rows, query_id: str, df: dict[str, int], n_chunks: int, average: float) -> _TermWeights:
+    terms = sorted(df)
+    place = {t: i for i, t in enumerate(terms)}
+    ids = list(dict.fromkeys(r[query_id] for r in rows))
+    of_query = {q: i for i, q in enumerate(ids)}
+    asked = sorted((place[r["term"]], of_query[r[query_id]]) for r in rows if r["term"] in place)
+    counts = np.array([df[t] for t in terms], dtype=np.float64)
+    term = np.array([t for t, _ in asked], dtype=np.int64)
+    return _TermWeights(
+        pa.array(ids),
+        pa.array(terms, pa.string()),
+        np.log(1.0 + (n_chunks - counts + 0.5) / (counts + 0.5)),
+        np.searchsorted(term, np.arange(len(terms) + 1)),
+        np.array([q for _, q in asked], dtype=np.int64),
+        average,
+    )
+
+
+def _bm25(block: pa.RecordBatch, weights: _TermWeights) -> np.ndarray:
+    """Scores of a block of chunks, a row per query; minus infinity where no term is shared."""
+    n, n_queries = block.num_rows, len(weights.query_ids)
+    terms = block.column("terms")
+    lengths = pc.list_value_length(terms).to_numpy(zero_copy_only=False)
+    code = pc.fill_null(pc.index_in(terms.flatten(), value_set=weights.terms), -1).to_numpy(zero_copy_only=False)
+    asked = np.flatnonzero(code >= 0)
+    code = code[asked]
+    row = np.repeat(np.arange(n), lengths)[asked]
+    tf = block.column("tfs").flatten().to_numpy(zero_copy_only=False)[asked].astype(np.float64)
+    length = block.column("doc_len").to_numpy(zero_copy_only=False)[row] / weights.average
+    part = weights.idf[code] * tf * (K1 + 1.0) / (tf + K1 * (1.0 - B + B * length))
+    # One entry for each query that asks for the term.
+    times = weights.first[code + 1] - weights.first[code]
+    entry = np.repeat(np.arange(len(code)), times)
+    within = np.arange(len(entry)) - np.repeat(np.cumsum(times) - times, times)
+    query = weights.queries[weights.first[code][entry] + within]
+    scores = np.bincount(query * n + row[entry], weights=part[entry], minlength=n_queries * n)
+    return np.where(scores > 0, scores, -np.inf).reshape(n_queries, n)
+
+
+def _scan_keywords(candidates: DataFrame, weights: _TermWeights, k: int, key: str, schema) -> DataFrame:
+    """Each task scores its chunks against all queries and keeps k rows per query: pairs never become rows."""
+    # Broadcasts are pickled plainly, so no class of this package may go along.
+    sent = candidates.sparkSession.sparkContext.broadcast(tuple(weights))
+
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        weights = _TermWeights(*sent.value)
+        best = _Best(len(weights.query_ids), k)
+        for batch in batches:
+            for block in _blocks(batch, best.block):
+                best.add(block.column(key), _bm25(block, weights))
+        yield from best.batches(weights.query_ids, schema.names)
+
+    return candidates.select(key, "doc_len", "terms", "tfs").mapInArrow(score, schema)
+
+
+def _join_keywords(candidates, index, terms: DataFrame, n_chunks: int, average: float, query_id, key) -> DataFrame:
+    """Terms and postings meet on term and a salt of the chunk, which spreads a frequent term over many tasks."""
+    df = postings(index).groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1.0 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
+    weights = terms.join(df, "term").select(query_id, "term", idf.alias("idf"), copies.alias("_s"))
+    length = F.col("doc_len") / average
+    part = (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + K1 * (1.0 - B + B * length))
+    rows = postings(candidates, key, "doc_len").select("term", key, part.alias("_part"), salt(F.col(key), SPREAD).alias("_s"))
+    return rows.join(weights, ["term", "_s"]).groupBy(query_id, key).agg(
+        F.round(F.sum(F.col("idf") * F.col("_part")), SCORE_DIGITS).alias("score")
+    )
+
+
 def keyword_search(
     queries: DataFrame,
-    index: Index,
+    index: DataFrame,
     k: int = K,
     filters: list[dict[str, Any]] | None = None,
     query_id: str = "query_id",
@@ -221,41 +326,33 @@ def keyword_search(
     key: str = "chunk_id",
     max_broadcast: int = BROADCAST_TERMS,
 ) -> DataFrame:
-    """BM25 over the postings. Filters hold before ranking; term weights always come from the whole corpus.
+    """BM25. Filters hold before ranking; term weights and lengths always come from the whole index.
 
-    With few query terms (counted first) the terms go to the postings, which then keep their hash on
-    the chunk, so scores are summed without a shuffle. Otherwise both sides shuffle on term and a salt
-    taken from the chunk, which spreads a term found in a third of all chunks over many tasks.
+    Few query terms (counted first) go to every task, which scans its part of the index once. More are
+    joined to the postings.
     """
+    candidates = apply_filters(index, filters)
+    schema = _ranked_schema(queries, index, query_id, key)
     terms = query_terms(queries, query_id, text)
-    small = terms.limit(max_broadcast + 1).count() <= max_broadcast
-    vocabulary = terms.select("term").distinct()
-    postings = index.postings
-    found_terms = postings.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
-    df = found_terms.groupBy("term").agg(F.count("*").alias("df"))
-    corpus = index.vectors.agg(
-        F.struct(F.count("*").alias("chunks"), F.avg("doc_len").alias("doc_len"))
-    ).scalar()
-    n_chunks = corpus["chunks"]
-    weights = terms.join(df, "term").select(
-        query_id, "term", F.log(1.0 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5)).alias("idf")
-    )
-    length = F.col("doc_len") / corpus["doc_len"]
-    part = (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + K1 * (1.0 - B + B * length))
-    rows = apply_filters(postings, filters).select("term", key, part.alias("_tf"))
-    if small:
-        matched = rows.join(F.broadcast(weights), "term")
+    corpus = index.agg(F.count("*").alias("n"), F.avg("doc_len").alias("length")).first()
+    head = terms.limit(max_broadcast + 1).collect()
+    if not corpus["length"] or (max_broadcast and not head):
+        return _no_hits(index, schema)
+    if len(head) <= max_broadcast and len({r[query_id] for r in head}) <= BROADCAST_QUERIES:
+        vocabulary = F.broadcast(terms.select("term").distinct())
+        found = postings(index).join(vocabulary, "term", "left_semi")
+        df = {r["term"]: r["df"] for r in found.groupBy("term").agg(F.count("*").alias("df")).collect()}
+        weights = _term_weights(head, query_id, df, corpus["n"], corpus["length"])
+        scored = _scan_keywords(candidates, weights, k, key, schema)
     else:
-        copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-        matched = rows.withColumn("_s", salt(F.col(key), SPREAD)).join(
-            weights.withColumn("_s", copies), ["term", "_s"]
-        )
-    scored = matched.groupBy(query_id, key).agg(
-        F.round(F.sum(F.col("idf") * F.col("_tf")), SCORE_DIGITS).alias("score")
-    )
+        scored = _join_keywords(candidates, index, terms, corpus["n"], corpus["length"], query_id, key)
     return top_k(scored, k, query_id, key, SPREAD)
 
 
+def _no_hits(index: DataFrame, schema: T.StructType) -> DataFrame:
+    return index.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
+
+
 def fuse(
     first: DataFrame, second: DataFrame, k: int = K, query_id: str = "query_id", key: str = "chunk_id"
 ) -> DataFrame:
@@ -274,7 +371,7 @@ def fuse(
 
 def hybrid_search(
     queries: DataFrame,
-    index: Index,
+    index: DataFrame,
     k: int = K,
     filters: list[dict[str, Any]] | None = None,
     query_id: str = "query_id",
@@ -284,19 +381,26 @@ def hybrid_search(
 ) -> DataFrame:
     """Vector and keyword search over the same filtered chunks, fused. Query vectors are made unless given."""
     embedded = queries if "embedding" in queries.columns else embed(queries, text, dim)
-    by_vector = similarity_search(embedded, index.vectors, k, filters, query_id, key)
+    by_vector = similarity_search(embedded, index, k, filters, query_id, key)
     by_keyword = keyword_search(queries, index, k, filters, query_id, text, key)
     return fuse(by_vector, by_keyword, k, query_id, key)
 
 
-def with_columns(hits: DataFrame, chunks: DataFrame, columns: list[str], key: str = "chunk_id",
-                 max_chars: int | None = None, text: str = "chunk_text") -> DataFrame:
-    """Bring result columns to the ranked keys. Only these few rows meet the wide chunk table."""
+def with_columns(
+    hits: DataFrame, chunks: DataFrame, columns: list[str], key: str = "chunk_id", max_chars: int | None = None,
+    text: str = "chunk_text", queries: DataFrame | None = None,
+) -> DataFrame:
+    """Bring result columns to the ranked keys, after ranking.
+
+    Hits are at most k per query: given the query table, its rows are counted and few enough queries send
+    the hits to the wide chunk table, which then is not shuffled.
+    """
     wanted = [c for c in columns if c != key]
     rows = chunks.select(key, *wanted)
     if max_chars is not None and text in wanted:
         rows = rows.withColumn(text, F.left(F.col(text), F.lit(max_chars)))
-    return hits.join(rows, key)
+    few = queries is not None and queries.limit(BROADCAST_QUERIES + 1).count() <= BROADCAST_QUERIES
+    return rows.join(F.broadcast(hits) if few else hits, key).select(*hits.columns, *wanted)
 
 
 def result_envelope(

@@ -6,7 +6,6 @@ Two listings a day apart differ by whole sources: one has gone, one has come, on
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -17,12 +16,12 @@ from pyspark.sql import types as T
 from paperbrook.functions import paths, text
 from paperbrook.operators import approx, chunk_store, chunking, filters, quality, reports, search, tracking
 from paperbrook.operators.embedding import DIM, embed
-from paperbrook.operators.index import Index, build_index, build_postings, build_vectors, sync_index, write_index
+from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.plans.corpus import Corpus
 from paperbrook.session import new_run_folder
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.sources.schemas import TRACKING
-from paperbrook.sources.tables import balance, empty_tracking
+from paperbrook.sources.tables import balance, empty_tracking, write_snapshot
 from paperbrook.streaming.files import latest_batch, track_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -148,17 +147,15 @@ def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
-_written: dict[tuple[str, str], Index] = {}
+_written: dict[tuple[str, str], DataFrame] = {}
 
 
-def written_index(spark: SparkSession, sf_dir: str) -> Index:
+def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The index over all chunks, written to the shared folder once per application, as a search would find it."""
     at = (spark.sparkContext.applicationId, sf_dir)
     if at not in _written:
-        buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
-        built = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True), buckets=buckets)
-        name = f"index_{uuid.uuid4().hex}"
-        _written[at] = write_index(built, new_run_folder(spark, "index"), name, buckets)
+        built = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))
+        _written[at] = write_snapshot(built, new_run_folder(spark, "index"))
     return _written[at]
 
 
@@ -336,13 +333,14 @@ def chunk_recursive_invariants(spark, sf_dir):
     cut = docs.withColumn("c", chunking.recursive_chunks(F.col("text")))
     # Offsets must reproduce the text, and what no chunk covers must be white space.
     starts, ends = F.col("c.start"), F.col("c.end")
+    following = F.slice(starts, 2, 1 << 30)
     covered = F.transform(F.col("c"), lambda c: F.regexp_replace(c["text"], r"\s", ""))
     checked = cut.select(
         F.size(F.filter("c", lambda c: F.length(c["text"]) > chunking.SIZE)).alias("too_long"),
         F.size(F.filter("c", lambda c: F.length(c["text"]) != c["end"] - c["start"])).alias("wrong_span"),
         F.size(F.filter("c", lambda c: F.trim(c["text"]) == "")).alias("blank"),
-        F.size(F.filter(F.zip_with(starts, F.slice(starts, 2, 1 << 30), lambda a, b: b <= a), lambda x: x)).alias("unordered"),
-        F.size(F.filter(F.zip_with(ends, F.slice(starts, 2, 1 << 30), lambda a, b: a - b > chunking.OVERLAP), lambda x: x)).alias("overlapping"),
+        F.size(F.filter(F.zip_with(starts, following, lambda a, b: b <= a), lambda x: x)).alias("unordered"),
+        F.size(F.filter(F.zip_with(ends, following, lambda a, b: a - b > chunking.OVERLAP), lambda x: x)).alias("overlapping"),
         F.when(F.length(F.array_join(covered, "")) < F.length(F.regexp_replace("text", r"\s", "")), 1).otherwise(0).alias("uncovered"),
     )
     return checked.agg(*[F.sum(F.col(c).cast("bigint")).alias(c) for c in checked.columns])
@@ -452,7 +450,7 @@ def filter_glob(spark, sf_dir):
 
 @query
 def embed_chunks(spark, sf_dir):
-    rows = build_vectors(chunking.make_chunks(files(spark, sf_dir), fixed=True))
+    rows = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))
     parts = rows.select("chunk_id", "doc_len", F.posexplode("embedding").alias("bucket", "weight"))
     return parts.where(F.col("weight") > 0).select(
         "chunk_id", F.col("doc_len").cast("bigint").alias("doc_len"), F.col("bucket").cast("bigint").alias("bucket"),
@@ -460,28 +458,32 @@ def embed_chunks(spark, sf_dir):
     )
 
 
+def posting_rows(index: DataFrame, *columns: str) -> DataFrame:
+    return postings(index, "chunk_id", "doc_len", *columns).withColumn("doc_len", F.col("doc_len").cast("bigint"))
+
+
 @query
 def index_postings(spark, sf_dir):
-    rows = build_postings(chunking.make_chunks(files(spark, sf_dir), fixed=True))
-    return rows.select("term", "chunk_id", "tf", F.col("doc_len").cast("bigint").alias("doc_len"), "category", "year")
+    rows = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))
+    return posting_rows(rows, "category", "year")
 
 
-def synced_index(spark, sf_dir) -> Index:
+def synced_index(spark, sf_dir) -> DataFrame:
+    """Day one's index after the feed of the chunk changes, which is written first, as it is read twice."""
     old = old_chunks(spark, sf_dir)
     feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir), scope=touched_paths(spark, sf_dir))
-    return sync_index(build_index(old), feed)
+    return sync_index(build_index(old), write_snapshot(feed, new_run_folder(spark, "feed")))
 
 
 @query
 def index_sync_postings(spark, sf_dir):
-    rows = synced_index(spark, sf_dir).postings
-    return rows.select("term", "chunk_id", "tf", F.col("doc_len").cast("bigint").alias("doc_len"))
+    return posting_rows(synced_index(spark, sf_dir))
 
 
 @query
 def index_sync_vectors(spark, sf_dir):
     """One number per chunk that any change of its vector changes."""
-    rows = synced_index(spark, sf_dir).vectors
+    rows = synced_index(spark, sf_dir)
     weighted = F.transform("embedding", lambda x, i: x * (i + 1))
     total = F.aggregate(weighted, F.lit(0.0), lambda a, x: a + x)
     return rows.select("chunk_id", F.col("doc_len").cast("bigint").alias("doc_len"), F.round(total, 6).alias("moment"))
@@ -511,7 +513,7 @@ def knn_filtered(spark, sf_dir):
 @query
 def similarity_topk(spark, sf_dir):
     queries = embed(benchmark_queries(spark, sf_dir))
-    return ranked(search.similarity_search(queries, written_index(spark, sf_dir).vectors))
+    return ranked(search.similarity_search(queries, written_index(spark, sf_dir)))
 
 
 @query
@@ -532,15 +534,21 @@ def hybrid_topk(spark, sf_dir):
     return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir)))
 
 
-SEARCH_FILTERS = [{"key": "category", "value": "Construction"}, {"key": "year >=", "value": 2024}, {"key": "month <", "value": 9}]
+SEARCH_FILTERS = [
+    {"key": "category", "value": "Construction"},
+    {"key": "year >=", "value": 2024},
+    {"key": "month <", "value": 9},
+]
 
 
 @query
 def hybrid_filtered(spark, sf_dir):
     """Hits of a filtered search with their result columns."""
-    hits = search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), filters=SEARCH_FILTERS)
+    queries = benchmark_queries(spark, sf_dir)
+    hits = search.hybrid_search(queries, written_index(spark, sf_dir), filters=SEARCH_FILTERS)
     chunks = chunking.make_chunks(files(spark, sf_dir), fixed=True)
-    return ranked(search.with_columns(hits, chunks, ["chunk_text", "path", "year", "month"]), "chunk_text", "path", "year", "month")
+    columns = ["chunk_text", "path", "year", "month"]
+    return ranked(search.with_columns(hits, chunks, columns, queries=queries), *columns)
 
 
 def user_queries(spark, sf_dir):

@@ -4,12 +4,13 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from paperbrook.operators import approx, search
 from paperbrook.operators.embedding import embed
-from paperbrook.operators.index import Index, build_index, sync_index, write_index
+from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.operators import chunk_store
 
 WORDS = ["the", "a", "bridge", "house", "repair", "plan", "meeting", "budget", "road"]
@@ -99,15 +100,15 @@ def test_similarity_matches_brute_force_with_ties(spark, monkeypatch, max_broadc
     assert hits(result) == brute_knn(asked, found, k)
 
 
-def test_small_score_blocks_give_the_same(spark, monkeypatch):
+def test_small_score_blocks_give_the_same():
     found = [(i, v) for i, v in enumerate(vector_rows(60, 3, copies=True))]
     asked = [(f"q{i}", v) for i, v in enumerate(vector_rows(5, 4))]
-    best = search._Best(np.array([v for _, v in asked]), 6)
-    best.block = 7
-    import pyarrow as pa
-
-    best.add(pa.array([i for i, _ in found]), np.array([v for _, v in found]))
-    table = best.table(pa.array([q for q, _ in asked]), ["q", "c", "s"]).to_pylist()
+    best = search._Best(len(asked), 6)
+    matrix = np.array([v for _, v in asked])
+    for at in range(0, len(found), 7):
+        part = found[at : at + 7]
+        best.add(pa.array([i for i, _ in part]), matrix @ np.array([v for _, v in part]).T)
+    table = pa.Table.from_batches(best.batches(pa.array([q for q, _ in asked]), ["q", "c", "s"])).to_pylist()
     expected = [(q, c, s) for q, c, s, _ in brute_knn(asked, found, 6)]
     assert sorted((r["q"], r["c"], r["s"]) for r in table) == expected
 
@@ -135,13 +136,17 @@ def test_keyword_filter_holds_before_ranking_and_weights_stay_global(queries, in
     assert hits(search.keyword_search(queries, index, 10, items)) == expected
 
 
-def test_written_index_is_searched_without_a_shuffle_of_postings(spark, queries, index, tmp_path):
-    saved = write_index(index, str(tmp_path / "ix"), "test_index", 4)
-    result = search.keyword_search(queries, saved, 10)
-    assert hits(result) == hits(search.keyword_search(queries, index, 10))
-    plan = result._jdf.queryExecution().executedPlan().toString()
-    scored = plan.index("functions=[sum(")
-    assert "Exchange" not in plan[scored : plan.index("partial_sum", scored)]
+def test_index_is_built_without_a_shuffle(index):
+    assert "Exchange" not in index._jdf.queryExecution().executedPlan().toString()
+
+
+def test_index_rows(spark, rows):
+    df = spark.createDataFrame([("x", "b a b"), ("y", "..."), ("z", None), ("w", "c A")], "chunk_id string, chunk_text string")
+    built = build_index(df, carry=[])
+    assert rows(built.select("chunk_id", "doc_len", "terms", "tfs")) == [
+        ("w", 2, ["a", "c"], [1, 1]), ("x", 3, ["a", "b"], [1, 2]), ("y", 0, [], []), ("z", 0, [], [])
+    ]
+    assert rows(postings(built, "chunk_id")) == [("a", 1, "w"), ("a", 1, "x"), ("b", 2, "x"), ("c", 1, "w")]
 
 
 def test_fuse_and_hybrid(spark, queries, index):
@@ -151,7 +156,7 @@ def test_fuse_and_hybrid(spark, queries, index):
     assert hits(fused) == [(1, "a", round(1 / 61, 9), 2), (1, "b", round(1 / 62 + 1 / 61, 9), 1)]
 
     result = search.hybrid_search(queries, index, 10)
-    by_vector = hits(search.similarity_search(embed(queries), index.vectors, 10))
+    by_vector = hits(search.similarity_search(embed(queries), index, 10))
     by_word = hits(search.keyword_search(queries, index, 10))
     score = Counter()
     for q, c, _, n in by_vector + by_word:
@@ -172,7 +177,7 @@ def test_filtered_hybrid_returns_only_matching_chunks(queries, index, chunks):
 def test_embedding_is_unit_length_and_zero_without_tokens(spark):
     df = embed(spark.createDataFrame([("one two two",), ("...",), (None,)], "text string"))
     norms = [None if r.embedding is None else round(math.sqrt(sum(x * x for x in r.embedding)), 9) for r in df.collect()]
-    assert norms[0] == 1.0 and norms[1] == 0.0
+    assert norms == [1.0, 0.0, 0.0]
 
 
 def test_envelope(spark, queries, index, chunks):
@@ -195,8 +200,7 @@ def test_sync_index_equals_rebuild(spark, chunks, index, rows):
     ).unionByName(spark.createDataFrame([("z", "pz", "Housing", 2024, 1, "fresh text")], CHUNK))
     synced = sync_index(index, chunk_store.change_feed(chunks, changed))
     rebuilt = build_index(changed)
-    assert rows(synced.vectors) == rows(rebuilt.vectors)
-    assert rows(synced.postings) == rows(rebuilt.postings)
+    assert rows(synced) == rows(rebuilt)
 
 
 def test_approx_search_scores_candidates_exactly(spark):
@@ -208,7 +212,12 @@ def test_approx_search_scores_candidates_exactly(spark):
     result = hits(approx.approx_search(queries, vectors, 8, k=5, bits=3))
     assert all(abs(scores[q, c] - s) < 1e-5 for q, c, s, _ in result)
     assert all((i, i) in {(q, c) for q, c, _, n in result if n == 1} for i in range(80))
-    hashed = approx.hash_vectors(vectors, 8, bits=3)
-    asked = approx.hash_vectors(queries, 8, bits=3)
-    near, far = (approx.candidate_scores(asked, hashed, max_broadcast=m).collect() for m in (10**6, 0))
-    assert sorted(map(tuple, near)) == sorted(map(tuple, far))
+    asked, hashed = (approx.hash_vectors(df, 8, bits=3) for df in (queries, vectors))
+    candidates = {(r.query_id, r.chunk_id) for r in approx.candidate_scores(asked, hashed).collect()}
+    best = [(q, c, s) for q, c, s, _ in exact if (q, c) in candidates]
+    expected = []
+    for q in range(80):
+        mine = sorted((r for r in best if r[0] == q), key=lambda r: (-r[2], r[1]))[:5]
+        expected += [(*r, n) for n, r in enumerate(mine, 1)]
+    assert result == sorted(expected)
+    assert hits(approx.approx_search(queries, hashed, 8, k=5, bits=3, max_broadcast=0)) == result
