@@ -50,7 +50,8 @@ def hash_vectors(df: DataFrame, dim: int, tables: int = TABLES, bits: int = BITS
     """One row per vector and table: the index. Write it partitioned by ``lsh_table`` and ``lsh_code``
     and a search prunes to the codes its queries have."""
     codes = df.where(F.col(vector).isNotNull()).withColumn("_codes", plane_codes(F.col(vector), dim, tables, bits))
-    return codes.select(*df.columns, F.posexplode("_codes").alias("lsh_table", "lsh_code"))
+    # The outer form: a plain explode makes Spark add a filter that computes the codes a second time.
+    return codes.select(*df.columns, F.posexplode_outer("_codes").alias("lsh_table", "lsh_code"))
 
 
 def _scan_codes(rows, hashed: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:

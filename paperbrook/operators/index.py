@@ -25,7 +25,9 @@ def build_index(
 
 def postings(index: DataFrame, *columns: str) -> DataFrame:
     """One row per term and chunk: term, tf and the given columns."""
-    return index.select(*columns, F.explode(F.arrays_zip("terms", "tfs")).alias("_p")).select(
+    # A plain explode makes Spark add a filter on the array, which would run the profile a second time.
+    pairs = index.select(*columns, F.explode_outer(F.arrays_zip("terms", "tfs")).alias("_p"))
+    return pairs.where(F.col("_p").isNotNull()).select(
         F.col("_p.terms").alias("term"), F.col("_p.tfs").cast("bigint").alias("tf"), *columns
     )
 

@@ -451,7 +451,7 @@ def filter_glob(spark, sf_dir):
 @query
 def embed_chunks(spark, sf_dir):
     rows = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))
-    parts = rows.select("chunk_id", "doc_len", F.posexplode("embedding").alias("bucket", "weight"))
+    parts = rows.select("chunk_id", "doc_len", F.posexplode_outer("embedding").alias("bucket", "weight"))
     return parts.where(F.col("weight") > 0).select(
         "chunk_id", F.col("doc_len").cast("bigint").alias("doc_len"), F.col("bucket").cast("bigint").alias("bucket"),
         F.round("weight", 6).alias("weight"),

@@ -47,11 +47,14 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+# A scan of more splits than this is never moved, however many slots there are.
+SMALL_SCAN = 64
+
+
 def balance(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer splits than the session has task slots; a larger scan stays as it is.
+    """Spread a small scan that has fewer splits than the session has task slots; any larger scan stays as it is.
 
-    Only for a plain scan ahead of CPU-bound work on few or lopsided files: what it moves is at most
-    one split per slot.
+    Only for a plain scan ahead of CPU-bound work: one file with one row group would keep one core busy.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+    return df.repartition(slots) if df.rdd.getNumPartitions() < min(slots, SMALL_SCAN) else df
