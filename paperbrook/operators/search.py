@@ -161,41 +161,45 @@ def _scan_top_k(rows, vectors: DataFrame, k: int, query_id: str, key: str, vecto
     return vectors.mapInArrow(score, schema)
 
 
-def _block_top_k(queries, vectors, k, query_id, key, vector, schema, n_queries: int, n_rows: int) -> DataFrame:
+def _block_top_k(asked: DataFrame, found: DataFrame, k: int, query_id: str, key: str, schema, scorer) -> DataFrame:
     """Many queries: both sides are cut into blocks of bounded size and every pair of blocks is one task.
 
-    Each task returns k rows per query of its block, never the pairs themselves.
+    ``scorer`` takes the rows of one query block and gives their ids and a function from index rows to
+    scores. Each task returns k rows per query of its block, never the pairs themselves.
     """
-    q_blocks = -(-n_queries // BLOCK_QUERIES)
-    v_blocks = max(-(-n_rows // BLOCK_ROWS), 1)
+    q_blocks = max(-(-asked.select(query_id).distinct().count() // BLOCK_QUERIES), 1)
+    v_blocks = max(-(-found.count() // BLOCK_ROWS), 1)
 
     def copies(n: int):
         return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
 
     # New names on both sides: the two may be the same table, and cogroup tells columns apart by origin.
-    left = queries.select(
-        F.col(query_id).alias("asked_id"), F.col(vector).alias("asked_vector"),
-        salt(F.col(query_id), q_blocks).alias("asked_q"), copies(v_blocks).alias("asked_v"),
+    left = asked.select(
+        *[F.col(c).alias(f"a_{c}") for c in asked.columns],
+        salt(F.col(query_id), q_blocks).alias("_aq"), copies(v_blocks).alias("_av"),
     )
-    right = vectors.select(
-        F.col(key).alias("found_key"), F.col(vector).alias("found_vector"),
-        copies(q_blocks).alias("found_q"), salt(F.col(key), v_blocks).alias("found_v"),
+    right = found.select(
+        *[F.col(c).alias(f"f_{c}") for c in found.columns],
+        copies(q_blocks).alias("_fq"), salt(F.col(key), v_blocks).alias("_fv"),
     )
+    asked_columns, found_columns = asked.columns, found.columns
     empty = _arrow_schema(schema).empty_table()
 
-    def score(asked: pa.Table, found: pa.Table) -> pa.Table:
-        if not asked.num_rows or not found.num_rows:
+    def score(a: pa.Table, f: pa.Table) -> pa.Table:
+        if not a.num_rows or not f.num_rows:
             return empty
-        matrix = _matrix(asked["asked_vector"].combine_chunks())
-        best = _Best(len(matrix), k)
-        for block in _blocks(found.combine_chunks(), best.block):
-            vectors = _matrix(block["found_vector"].combine_chunks())
-            best.add(block["found_key"].combine_chunks(), matrix @ vectors.T)
-        found = best.batches(asked["asked_id"].combine_chunks(), empty.schema.names)
-        return pa.Table.from_batches(found) if found else empty
+        a = a.select([f"a_{c}" for c in asked_columns]).rename_columns(asked_columns).combine_chunks()
+        f = f.select([f"f_{c}" for c in found_columns]).rename_columns(found_columns).combine_chunks()
+        ids, scores = scorer(a)
+        best = _Best(len(ids), k)
+        for batch in f.to_batches():
+            for block in _blocks(batch, best.block):
+                best.add(block.column(key), scores(block))
+        batches = best.batches(ids, empty.schema.names)
+        return pa.Table.from_batches(batches) if batches else empty
 
-    score.__annotations__ = {"asked": pa.Table, "found": pa.Table, "return": pa.Table}
-    return left.groupBy("asked_q", "asked_v").cogroup(right.groupBy("found_q", "found_v")).applyInArrow(score, schema)
+    score.__annotations__ = {"a": pa.Table, "f": pa.Table, "return": pa.Table}
+    return left.groupBy("_aq", "_av").cogroup(right.groupBy("_fq", "_fv")).applyInArrow(score, schema)
 
 
 def _arrow_schema(schema: T.StructType) -> pa.Schema:
@@ -225,9 +229,11 @@ def similarity_search(
     if len(head) <= max_broadcast and sum(len(r[vector]) for r in head) <= BROADCAST_VALUES:
         partial = _scan_top_k(head, candidates, k, query_id, key, vector, schema)
     else:
-        partial = _block_top_k(
-            asked, candidates, k, query_id, key, vector, schema, asked.count(), candidates.count()
-        )
+        def scorer(rows: pa.Table):
+            matrix = _matrix(rows[vector].combine_chunks())
+            return rows[query_id].combine_chunks(), lambda block: matrix @ _matrix(block.column(vector)).T
+
+        partial = _block_top_k(asked, candidates, k, query_id, key, schema, scorer)
     return top_k(partial, k, query_id, key, SPREAD)
 
 
@@ -247,22 +253,15 @@ class _TermWeights(NamedTuple):
     average: float  # chunk length in tokens
 
 
-def _term_weights(rows, query_id: str, df: dict[str, int], n_chunks: int, average: float) -> _TermWeights:
-    terms = sorted(df)
-    place = {t: i for i, t in enumerate(terms)}
-    ids = list(dict.fromkeys(r[query_id] for r in rows))
-    of_query = {q: i for i, q in enumerate(ids)}
-    asked = sorted((place[r["term"]], of_query[r[query_id]]) for r in rows if r["term"] in place)
-    counts = np.array([df[t] for t in terms], dtype=np.float64)
-    term = np.array([t for t, _ in asked], dtype=np.int64)
-    return _TermWeights(
-        pa.array(ids),
-        pa.array(terms, pa.string()),
-        np.log(1.0 + (n_chunks - counts + 0.5) / (counts + 0.5)),
-        np.searchsorted(term, np.arange(len(terms) + 1)),
-        np.array([q for _, q in asked], dtype=np.int64),
-        average,
-    )
+def _term_weights(ids: pa.Array, terms: pa.Array, idf: np.ndarray, average: float) -> _TermWeights:
+    """From one entry per query and term."""
+    who, what = ids.dictionary_encode(), terms.dictionary_encode()
+    term = what.indices.to_numpy()
+    order = np.argsort(term, kind="stable")
+    weight = np.empty(len(what.dictionary))
+    weight[term] = idf
+    first = np.searchsorted(term[order], np.arange(len(weight) + 1))
+    return _TermWeights(who.dictionary, what.dictionary, weight, first, who.indices.to_numpy()[order].astype(np.int64), average)
 
 
 def _bm25(block: pa.RecordBatch, weights: _TermWeights) -> np.ndarray:
@@ -299,21 +298,7 @@ def _scan_keywords(candidates: DataFrame, weights: _TermWeights, k: int, key: st
                 best.add(block.column(key), _bm25(block, weights))
         yield from best.batches(weights.query_ids, schema.names)
 
-    return candidates.select(key, "doc_len", "terms", "tfs").mapInArrow(score, schema)
-
-
-def _join_keywords(candidates, index, terms: DataFrame, n_chunks: int, average: float, query_id, key) -> DataFrame:
-    """Terms and postings meet on term and a salt of the chunk, which spreads a frequent term over many tasks."""
-    df = postings(index).groupBy("term").agg(F.count("*").alias("df"))
-    idf = F.log(1.0 + (n_chunks - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    weights = terms.join(df, "term").select(query_id, "term", idf.alias("idf"), copies.alias("_s"))
-    length = F.col("doc_len") / average
-    part = (F.col("tf") * (K1 + 1.0)) / (F.col("tf") + K1 * (1.0 - B + B * length))
-    rows = postings(candidates, key, "doc_len").select("term", key, part.alias("_part"), salt(F.col(key), SPREAD).alias("_s"))
-    return rows.join(weights, ["term", "_s"]).groupBy(query_id, key).agg(
-        F.round(F.sum(F.col("idf") * F.col("_part")), SCORE_DIGITS).alias("score")
-    )
+    return candidates.mapInArrow(score, schema)
 
 
 def keyword_search(
@@ -328,25 +313,37 @@ def keyword_search(
 ) -> DataFrame:
     """BM25. Filters hold before ranking; term weights and lengths always come from the whole index.
 
-    Few query terms (counted first) go to every task, which scans its part of the index once. More are
-    joined to the postings.
+    Few query terms (counted first) go to every task, which scans its part of the index once. More meet
+    the index in pairs of blocks.
     """
-    candidates = apply_filters(index, filters)
+    candidates = apply_filters(index, filters).select(key, "doc_len", "terms", "tfs")
     schema = _ranked_schema(queries, index, query_id, key)
-    terms = query_terms(queries, query_id, text)
     corpus = index.agg(F.count("*").alias("n"), F.avg("doc_len").alias("length")).first()
-    head = terms.limit(max_broadcast + 1).collect()
-    if not corpus["length"] or (max_broadcast and not head):
+    if not corpus["length"]:
         return _no_hits(index, schema)
-    if len(head) <= max_broadcast and len({r[query_id] for r in head}) <= BROADCAST_QUERIES:
-        vocabulary = F.broadcast(terms.select("term").distinct())
-        found = postings(index).join(vocabulary, "term", "left_semi")
-        df = {r["term"]: r["df"] for r in found.groupBy("term").agg(F.count("*").alias("df")).collect()}
-        weights = _term_weights(head, query_id, df, corpus["n"], corpus["length"])
-        scored = _scan_keywords(candidates, weights, k, key, schema)
-    else:
-        scored = _join_keywords(candidates, index, terms, corpus["n"], corpus["length"], query_id, key)
-    return top_k(scored, k, query_id, key, SPREAD)
+    average = corpus["length"]
+    terms = query_terms(queries, query_id, text)
+    few = terms.limit(max_broadcast + 1).count() <= max_broadcast
+    vocabulary = terms.select("term").distinct()
+    found = postings(index).join(F.broadcast(vocabulary) if few else vocabulary, "term", "left_semi")
+    df = found.groupBy("term").agg(F.count("*").alias("df"))
+    idf = F.log(1.0 + (corpus["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    weights = terms.join(df, "term").select(query_id, "term", idf.alias("idf"))
+    if few:
+        rows = weights.collect()
+        if not rows:
+            return _no_hits(index, schema)
+        ids, words, values = zip(*rows)
+        if len(set(ids)) <= BROADCAST_QUERIES:
+            sent = _term_weights(pa.array(ids), pa.array(words), np.array(values), average)
+            return top_k(_scan_keywords(candidates, sent, k, key, schema), k, query_id, key, SPREAD)
+
+    def scorer(rows: pa.Table):
+        ids, words, values = (rows[c].combine_chunks() for c in (query_id, "term", "idf"))
+        block_weights = _term_weights(ids, words, values.to_numpy(), average)
+        return block_weights.query_ids, lambda block: _bm25(block, block_weights)
+
+    return top_k(_block_top_k(weights, candidates, k, query_id, key, schema, scorer), k, query_id, key, SPREAD)
 
 
 def _no_hits(index: DataFrame, schema: T.StructType) -> DataFrame:

@@ -426,7 +426,7 @@ ORACLES: dict[str, str] = {
     "knn_filtered": knn("v.label in (1, 3)"),
     "similarity_topk": f"{SEARCH}, {VECTORS}, {by_vector('vec')} " + RANKED.format("vec"),
     "bm25_topk": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
-    "bm25_topk_salted": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
+    "bm25_topk_blocks": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
     "hybrid_topk": hybrid() + RANKED.format("hits"),
     "hybrid_filtered": hybrid(FILTERED) + """
         select query_id, chunk_id, score, rank, chunk_text, path, year, month from hits join chunks using (chunk_id)""",

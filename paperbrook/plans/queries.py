@@ -522,7 +522,7 @@ def bm25_topk(spark, sf_dir):
 
 
 @query
-def bm25_topk_salted(spark, sf_dir):
+def bm25_topk_blocks(spark, sf_dir):
     """The same search by the way taken when there are too many query terms to send to every task."""
     return ranked(
         search.keyword_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), max_broadcast=0)

@@ -9,7 +9,7 @@ from paperbrook.operators.index import build_index
 from paperbrook.plans.corpus import Corpus
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.functions.text import decode_text
-from paperbrook.streaming.files import stream_new_files, track_stream
+from paperbrook.streaming.files import index_stream, stream_new_files, track_stream
 
 T0 = datetime(2024, 1, 1)
 
@@ -138,3 +138,33 @@ def test_file_stream(spark, tmp_path):
     (target / "d.pdf").write_bytes(b"y")
     assert {r.path[-5:] for r in run().collect()} == {"a.pdf", "b.PDF", "d.pdf"}
     assert run().count() == 3
+
+
+def test_indexing_a_file_stream(spark, corpus, tmp_path):
+    target = tmp_path / "in" / "Housing" / "2024" / "May"
+    target.mkdir(parents=True)
+    run = lambda: index_stream(
+        stream_new_files(spark, str(tmp_path / "in"), "*.txt", content=True), corpus, f"file:{tmp_path}/in/", T0
+    )
+    (target / "a.txt").write_text("first file")
+    run()
+    (target / "b.txt").write_text("second file")
+    run()
+    assert {(r.path[-5:], r.chunk_text, r.year) for r in corpus.chunks().collect()} == {
+        ("a.txt", "first file", 2024), ("b.txt", "second file", 2024)
+    }
+    assert {r.status for r in corpus.tracking().collect()} == {"INDEXED"}
+
+
+def test_folders_by_category_are_pruned(spark, tmp_path, rows):
+    split = Corpus(spark, str(tmp_path / "split"), partition_by=("category", "year"))
+    plain = Corpus(spark, str(tmp_path / "plain"))
+    for corpus in (split, plain):
+        corpus.sync(listing(spark, ONE), texts(spark, ONE), T0)
+        corpus.sync(listing(spark, TWO), texts(spark, TWO), T0)
+    columns = plain.chunks().columns
+    assert rows(split.chunks().select(columns)) == rows(plain.chunks())
+    plan = split.index().where("category = 'Housing' and year >= 2024")._jdf.queryExecution().executedPlan().toString()
+    assert "(year" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    queries = spark.createDataFrame([(1, "alpha omega")], "query_id long, text string")
+    assert rows(split.answer(queries)) == rows(plain.answer(queries))

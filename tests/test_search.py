@@ -123,7 +123,9 @@ def test_similarity_edge_cases(spark):
 
 
 @pytest.mark.parametrize("max_broadcast", [search.BROADCAST_TERMS, 0])
-def test_keyword_matches_brute_force(queries, index, max_broadcast):
+def test_keyword_matches_brute_force(queries, index, monkeypatch, max_broadcast):
+    monkeypatch.setattr(search, "BLOCK_QUERIES", 2)
+    monkeypatch.setattr(search, "BLOCK_ROWS", 50)
     asked = [(r.query_id, r.text) for r in queries.collect()]
     result = search.keyword_search(queries, index, 10, max_broadcast=max_broadcast)
     assert hits(result) == brute_bm25(make_rows(120), asked, 10)
