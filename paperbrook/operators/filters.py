@@ -28,6 +28,13 @@ COMPARISONS: dict[str, Callable[[Column, Any], Column]] = {
     ">=": operator.ge,
 }
 
+# The columns a question about the corpus may filter by, and their domains.
+CORPUS_DOMAINS: dict[str, Any] = {
+    "category": ["Construction", "Housing"],
+    "year": (1900, 2100),
+    "month": (1, 12),
+}
+
 # Python types a literal may have for a column type.
 LITERALS: list[tuple[type, tuple[type, ...]]] = [
     (T.StringType, (str,)),

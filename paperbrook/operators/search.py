@@ -83,6 +83,12 @@ def _cut(rows: pa.Table, k: int) -> pa.Table:
     return rows.filter(pa.array(place < k))
 
 
+def _rounded(scores: np.ndarray) -> np.ndarray:
+    """Halves away from zero, as SQL rounds."""
+    scaled = scores * 10.0**SCORE_DIGITS
+    return np.trunc(scaled + np.copysign(0.5, scaled)) / 10.0**SCORE_DIGITS
+
+
 class _Best:
     """Running k best keys for each query over the blocks of one task; holds a few times k rows per query."""
 
@@ -95,7 +101,7 @@ class _Best:
 
     def add(self, keys: pa.Array, scores: np.ndarray, queries: np.ndarray | None = None) -> None:
         """Scores of one block, a row per query (of ``queries``, or all); minus infinity where there is no hit."""
-        scores = np.round(scores, SCORE_DIGITS)
+        scores = _rounded(scores)
         floor = self.floor if queries is None else self.floor[queries]
         hit = (scores >= floor[:, None]) & (scores > -np.inf)
         n = scores.shape[1]

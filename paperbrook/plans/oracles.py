@@ -430,6 +430,8 @@ ORACLES: dict[str, str] = {
     "hybrid_topk": hybrid() + RANKED.format("hits"),
     "hybrid_filtered": hybrid(FILTERED) + """
         select query_id, chunk_id, score, rank, chunk_text, path, year, month from hits join chunks using (chunk_id)""",
+    "hybrid_one_month": hybrid("category = 'Construction' and year = 2025 and month = 5") + RANKED.format("hits"),
+    "hybrid_before_september": hybrid("month < 9") + RANKED.format("hits"),
     "search_envelope": SEARCH.replace(
         "select item_id as query_id, text from benchmark",
         "select conv_id || '-' || turn as query_id, text from conversations where role = 'user'",

@@ -551,6 +551,20 @@ def hybrid_filtered(spark, sf_dir):
     return ranked(search.with_columns(hits, chunks, columns, queries=queries), *columns)
 
 
+@query
+def hybrid_one_month(spark, sf_dir):
+    """The search by three exact keys: one category, year and month."""
+    items = [{"key": "category", "value": "Construction"}, {"key": "year", "value": 2025}, {"key": "month", "value": 5}]
+    filters.validate_filters(items, written_index(spark, sf_dir).schema, domains=filters.CORPUS_DOMAINS)
+    return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), filters=items))
+
+
+@query
+def hybrid_before_september(spark, sf_dir):
+    items = [{"key": "month <", "value": 9}]
+    return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), filters=items))
+
+
 def user_queries(spark, sf_dir):
     turns = table(spark, sf_dir, "conversations").where(F.col("role") == "user")
     return turns.select(F.concat_ws("-", "conv_id", "turn").alias("query_id"), "text")

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from paperbrook.functions.paths import path_metadata
 from paperbrook.operators.chunking import make_chunks
+from paperbrook.operators.filters import CORPUS_DOMAINS
 from paperbrook.operators.index import build_index
 from paperbrook.plans.corpus import Corpus
 from paperbrook.sources.files import list_files, read_contents
@@ -103,6 +104,10 @@ def test_answers(spark, corpus):
     assert answer.status == "OK" and answer.docs[0].chunk_text == "gamma delta"
     with pytest.raises(ValueError):
         corpus.answer(queries, [{"key": "colour", "value": "red"}])
+    with pytest.raises(ValueError):
+        corpus.answer(queries, [{"key": "month", "value": 13}], domains=CORPUS_DOMAINS)
+    with pytest.raises(ValueError):
+        corpus.answer(queries, [{"key": "path", "value": "x"}], domains=CORPUS_DOMAINS)
 
 
 def test_from_real_files(spark, corpus, tmp_path):

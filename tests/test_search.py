@@ -43,7 +43,7 @@ def queries(spark):
 def brute_knn(asked, found, k):
     out = []
     for q, a in asked:
-        scored = sorted(((round(float(np.dot(a, v)), 6), c) for c, v in found), key=lambda x: (-x[0], x[1]))
+        scored = sorted(((float(search._rounded(np.dot(a, v))), c) for c, v in found), key=lambda x: (-x[0], x[1]))
         out += [(q, c, s, n) for n, (s, c) in enumerate(scored[:k], 1)]
     return sorted(out)
 
