@@ -1,6 +1,6 @@
 """The registered queries: every operator run over whole tables.
 
-The reference documents are given folders of the shape ``/corpus/<category>/<year>/<month>/<id>.txt``.
+Documents are given folders of the shape ``/corpus/<category>/<year>/<month>/<id>.txt``.
 Two listings a day apart differ by whole sources: one has gone, one has come, one was revised.
 """
 

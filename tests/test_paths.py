@@ -46,8 +46,8 @@ def test_root_is_literal_and_only_a_prefix(spark):
 
 
 @pytest.mark.parametrize("uri,decode,expected", [
-    ("dbfs:/Volumes/a%20b", False, "/Volumes/a%20b"),
-    ("dbfs:/Volumes/a%20b+c", True, "/Volumes/a b+c"),
+    ("store:/files/a%20b", False, "/files/a%20b"),
+    ("store:/files/a%20b+c", True, "/files/a b+c"),
     ("file:///x/y", False, "/x/y"),
     ("/x/100%", True, "/x/100%"),
 ])
