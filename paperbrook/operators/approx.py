@@ -7,7 +7,9 @@ angle between them tend to share a code. A search reads only the rows whose code
 from __future__ import annotations
 
 import hashlib
+import operator
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +22,8 @@ from paperbrook.operators.search import (
 )
 
 TABLES, BITS = 8, 8
+# With more possible codes than this no filter is written; rows of other codes are then skipped in the tasks.
+MAX_LITERAL_CODES = 8192
 
 
 def _planes(tables: int, bits: int, dim: int) -> np.ndarray:
@@ -54,6 +58,15 @@ def hash_vectors(df: DataFrame, dim: int, tables: int = TABLES, bits: int = BITS
     return codes.select(*df.columns, F.posexplode_outer("_codes").alias("lsh_table", "lsh_code"))
 
 
+def _has_code(rows) -> Column:
+    """The codes of the queries as plain values, which prune the folders of an index split by code."""
+    codes: dict[int, set[int]] = {}
+    for r in rows:
+        codes.setdefault(r["lsh_table"], set()).add(r["lsh_code"])
+    tests = [(F.col("lsh_table") == t) & F.col("lsh_code").isin(sorted(c)) for t, c in sorted(codes.items())]
+    return reduce(operator.or_, tests)
+
+
 def _scan_codes(rows, hashed: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
     """Few queries: each task scores its rows against the queries of the same code and keeps k per query.
 
@@ -107,14 +120,14 @@ def approx_search(
 ) -> DataFrame:
     """The k best among the vectors sharing a code; give ``hash_vectors`` output to search a built index.
 
-    Only codes the queries have are read: with few queries (counted first) their codes prune the index.
+    With few queries (counted first) their codes prune an index written with ``lsh_table`` and ``lsh_code``
+    as partition columns.
     """
     hashed = index if "lsh_code" in index.columns else hash_vectors(index, dim, tables, bits, vector)
     asked = hash_vectors(queries.select(query_id, vector), dim, tables, bits, vector)
     head = asked.limit(max_broadcast * tables + 1).collect()
     if head and len(head) <= max_broadcast * tables:
-        codes = F.broadcast(asked.select("lsh_table", "lsh_code").distinct())
-        wanted = hashed.join(codes, ["lsh_table", "lsh_code"], "left_semi")
+        wanted = hashed.where(_has_code(head)) if tables << bits <= MAX_LITERAL_CODES else hashed
         partial = _scan_codes(head, wanted, k, query_id, key, vector, _ranked_schema(queries, index, query_id, key))
         # A pair found through several tables has the same score in each.
         scored = partial.groupBy(query_id, key).agg(F.first("score").alias("score"))

@@ -223,3 +223,17 @@ def test_approx_search_scores_candidates_exactly(spark):
         expected += [(*r, n) for n, r in enumerate(mine, 1)]
     assert result == sorted(expected)
     assert hits(approx.approx_search(queries, hashed, 8, k=5, bits=3, max_broadcast=0)) == result
+
+
+def test_approx_search_prunes_a_written_index(spark, tmp_path):
+    found = [(i, v) for i, v in enumerate(vector_rows(40, 6))]
+    vectors = spark.createDataFrame(found, "chunk_id long, embedding array<double>")
+    queries = vectors.where("chunk_id < 2").select(F.col("chunk_id").alias("query_id"), "embedding")
+    approx.hash_vectors(vectors, 8, bits=3).write.partitionBy("lsh_table", "lsh_code").parquet(f"{tmp_path}/h")
+    result = approx.approx_search(queries, spark.read.parquet(f"{tmp_path}/h"), 8, k=5, bits=3)
+    assert hits(result) == hits(approx.approx_search(queries, vectors, 8, k=5, bits=3))
+    with_values = result._jdf.queryExecution().optimizedPlan().toString()
+    assert "lsh_table" in with_values and "LeftSemi" not in with_values
+    files = sum(1 for _ in (tmp_path / "h").rglob("*.parquet"))
+    read = spark.read.parquet(f"{tmp_path}/h").where(approx._has_code(approx.hash_vectors(queries, 8, bits=3).collect()))
+    assert len(read.select(F.input_file_name()).distinct().collect()) < files
