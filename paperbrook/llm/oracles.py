@@ -30,3 +30,60 @@ select doc_id, len(w)::bigint as n_words, coalesce(n_hit, 0)::bigint as n_hit, c
        sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from doc left join words using (doc_id) left join items using (doc_id)
 """
+
+ASSIGN = (
+    r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|"
+    r"[aA][pP][iI]_?[kK][eE][yY])[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?([A-Za-z0-9+/_.=-]+)"
+)
+
+
+def positions(name: str, pattern: str, holds: str) -> str:
+    return rf"""
+{name}_cut as (
+  select doc_id, regexp_extract_all(t, '{pattern}') as m, string_split_regex(t, '{pattern}') as g from doc
+), {name} as (
+  select doc_id, '{name}' as kind, m[i] as match,
+         coalesce(list_sum(list_transform(g[1:i], lambda x: length(x))), 0)
+         + coalesce(list_sum(list_transform(m[1:i-1], lambda x: length(x))), 0) as s
+  from {name}_cut, unnest(range(1, len(m) + 1)) r(i) where {holds}
+)"""
+
+
+ORACLES["op9_secrets"] = rf"""
+with doc as (select doc_id, coalesce(text, '') as t from documents),
+{positions("assign", ASSIGN, f"length(regexp_extract(m[i], '{ASSIGN}', 2)) >= 12")},
+{positions("access", "AKIA[A-Z0-9]+", "length(m[i]) >= 18")},
+{positions("hex", "[0-9a-f]+", "length(m[i]) >= 16")},
+{positions("candidate", "[A-Za-z0-9+/_-]+={0,2}", "length(m[i]) >= 20")},
+wanted as (
+  select doc_id, s, rtrim(match, '=') as match, case when regexp_matches(match, '^[0-9A-Fa-f]+$') then 'entropy_hex'
+    else 'entropy_base64' end as kind
+  from candidate
+  where regexp_matches(match, '[0-9]') and regexp_matches(match, '[A-Za-z]') and length(rtrim(match, '=')) >= 20
+    and not regexp_matches(match, '^[0-9A-Fa-f]{{8}}(-[0-9A-Fa-f]{{4}}){{3}}-[0-9A-Fa-f]{{12}}$')
+    and not regexp_matches(lower(match), 'example|sample|placeholder|changeme|dummy|xxxx|0123456789|1234567890|abcdefgh')
+    and not regexp_matches(match, '^(data[:/]|iVBORw0KGgo)')
+), hot as (
+  select doc_id, kind, s, j from wanted, unnest(range(1, length(match) - 18)) r(j)
+  where round(list_aggregate(string_split(substr(match, j, 20), ''), 'entropy'), 6)
+        >= case kind when 'entropy_hex' then 2.9 else 3.6 end
+), runs as (
+  select *, sum(apart) over (partition by doc_id, s order by j) as run
+  from (select *, case when j - lag(j) over (partition by doc_id, s order by j) <= 20 then 0 else 1 end as apart from hot)
+), spans as (
+  select doc_id, kind, s::bigint as s, (s + length(match))::bigint as e, k
+  from (select *, 1 as k from assign union all select *, 2 from access union all select *, 3 from hex)
+  union all
+  select doc_id, kind, (s + min(j) - 1)::bigint, (s + max(j) + 19)::bigint,
+         case kind when 'entropy_hex' then 4 else 5 end
+  from runs group by doc_id, kind, s, run
+), each as (
+  select doc_id, count(*) filter (k = 1) as n_assign, count(*) filter (k = 2) as n_access, count(*) filter (k = 3) as n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, k, e) filter (k <= 3) as base,
+    string_agg(kind || ':' || s || ':' || e, ',' order by s, k, e) as spans
+  from spans group by doc_id
+)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+       sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join each using (doc_id)
+"""

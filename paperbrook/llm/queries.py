@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperbrook.llm import decontaminate, simhash
+from paperbrook.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity
 from paperbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -30,3 +30,30 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     word = F.lpad(F.lower(F.hex("f0")), 16, "0")
     return found.select("doc_id", word.alias("fingerprint"), "component_id")
+
+
+@query
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = (F.col("copies") * F.col("size")).alias("taken")
+    return mixing.mix(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", taken)
+
+
+@query
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s.kind.isin(*secret_scan.BASE_KINDS))
+    kinds = F.transform("spans", lambda s: s.kind)
+    of_kind = [F.size(kinds) - F.size(F.array_remove(kinds, kind)) for kind in secret_scan.BASE_KINDS]
+    counts = [n.cast("bigint").alias(f"n_{kind}") for n, kind in zip(of_kind, secret_scan.BASE_KINDS, strict=True)]
+    digest = F.sha2(secret_scan.span_list(base), 256).alias("base_sha256")
+    return found.select("doc_id", *counts, digest, secret_scan.span_list(F.col("spans")).alias("spans"))
+
+
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
