@@ -53,7 +53,8 @@ def settle(rows: list[dict], last: bool) -> None:
     """Pivotal rounding of the fractions x of the rows in place; at most one stays fractional, none if ``last``.
 
     Two fractional rows exchange words, one up and the other down, until one of them is 0 or 1; the direction is
-    drawn so that each expectation stays. The words of both together never change.
+    drawn so that each expectation stays. The words of both together never change. The last open row of a source
+    goes to the nearer side.
     """
     open_row = None
     for row in rows:
@@ -72,7 +73,7 @@ def settle(rows: list[dict], last: bool) -> None:
                     each["x"] = float(round(each["x"]))
             open_row = next((each for each in (a, b) if 0 < each["x"] < 1), None)
     if last and open_row is not None:
-        open_row["x"] = float(open_row["u"] < open_row["x"])
+        open_row["x"] = float(open_row["x"] >= 0.5)
 
 
 def round_blocks(open_rows: DataFrame, last: bool) -> DataFrame:
@@ -95,7 +96,7 @@ def mix(
     A document's expected copies are its source's target over its source's words, at most ``most``. Whole copies
     are sure; fractions are rounded in blocks of about ``block_rows`` rows of a source, dealt by a hash of the id,
     and each block passes on one open row at most, ``fanout`` blocks meeting in one of the next level until a
-    source has one. So a source misses its target by less than one document, and no task holds more than a block.
+    source has one. So a source misses its target by half a document at most, and no task holds more than a block.
     Choices hang on hashes of ids, so reruns agree.
 
     Null texts have size 0. Rows without words are rounded by a hash of their own, for they move no words; rows of

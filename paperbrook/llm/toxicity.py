@@ -25,7 +25,9 @@ FOLD = str.maketrans({**LOOKALIKES, **SUBSTITUTES, **{chr(0xFF41 + i): chr(97 +
 WORD = re.compile(r"[^\W\d_]+")
 # Harmless phrases in which an entry of the lexicon does not count (fixed values; a parameter).
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy")
-STEM, LONGEST, MIN_DOCS, MIN_GAIN, MAX_ENTRIES = 4, 24, 3, 14.0, 2000
+STEM, LONGEST, MIN_DOCS, MAX_ENTRIES = 4, 24, 3, 2000
+# Log-likelihood ratio an entry needs beyond twice the logarithm of the number of beginnings that were tried.
+MIN_GAIN = 6.0
 
 
 def fold(text: str | None) -> str:
@@ -106,12 +108,18 @@ def gain(toxic: int, clean: int, all_toxic: int, all_clean: int) -> float:
     return 2 * sum(seen * math.log(seen / expected) for seen, expected in parts if seen)
 
 
-def choose_entries(counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int) -> dict[str, float]:
-    """Word beginnings that mark toxic texts: each made as long as most of its texts allow, none inside another."""
+def choose_entries(
+    counts: dict[str, tuple[int, int]], all_toxic: int, all_clean: int, tried: int
+) -> dict[str, float]:
+    """Word beginnings that mark toxic texts: each made as long as most of its texts allow, none inside another.
+
+    The more beginnings were ``tried``, the more an entry must tell, so that none is there by chance.
+    """
+    least = MIN_GAIN + 2 * math.log(max(tried, 1))
     strong = {}
     for stem, (toxic, clean) in counts.items():
         weight = math.log((toxic + 0.5) / (all_toxic + 1) / ((clean + 0.5) / (all_clean + 1)))
-        if toxic >= MIN_DOCS and weight >= 2 and gain(toxic, clean, all_toxic, all_clean) >= MIN_GAIN:
+        if toxic >= MIN_DOCS and weight >= 3 and gain(toxic, clean, all_toxic, all_clean) >= least:
             strong[stem] = weight
     grown = set()
     for stem in strong:
@@ -170,12 +178,13 @@ def fit(
     if not toxic or not clean:
         return ToxicityModel({}, exceptions, -math.inf, 0.0)
     words = sample.select("doc_id", "y", F.explode("words").alias("word"))
-    leaning = stem_counts(words, (STEM, STEM)).where(
+    stems = written(stem_counts(words, (STEM, STEM)), "stems")
+    leaning = stems.where(
         (F.col("toxic") >= MIN_DOCS) & (F.col("toxic") * clean > 3 * F.col("clean") * toxic)
     )
     near = words.withColumn("stem", F.substring("word", 1, STEM)).join(leaning.select("stem"), "stem", "left_semi")
     counted = stem_counts(near, (STEM, LONGEST)).where(F.col("toxic") >= MIN_DOCS).collect()
-    lexicon = choose_entries({r.stem: (r.toxic, r.clean) for r in counted}, toxic, clean)
+    lexicon = choose_entries({r.stem: (r.toxic, r.clean) for r in counted}, toxic, clean, stems.count())
     texts = labelled_sample(docs, labels, "toxic", MODULUS, HELD, rows).select("y", "text")
     points = features(texts, lexicon, exceptions).select("y", "x").toPandas()  # two numbers for each sampled row
     bias, slope = logistic(points.x.to_numpy(float), points.y.to_numpy(float))
