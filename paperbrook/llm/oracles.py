@@ -87,3 +87,17 @@ select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_acc
        sha256(coalesce(base, '')) as base_sha256, coalesce(spans, '') as spans
 from documents left join each using (doc_id)
 """
+
+BITS_40 = " || ".join(
+    "array_to_string(list_transform(range(8), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"1 + ((('0x' || substr(h, {1 + 10 * part}, 10))::bigint >> (35 - 5 * i)::int) & 31)::int, 1)), '')"
+    for part in range(4)
+)
+ORACLES["op6_warc"] = f"""
+with page as (select page_id, coalesce(html, '') as p, sha1(coalesce(html, '')) as h from pages),
+top as (select *, max(page_id) over (partition by p) as first from page)
+select page_id, strlen(p)::bigint as payload_bytes, {BITS_40} as payload_digest,
+       case when page_id = first then 'response' else 'revisit' end as record_type,
+       case when page_id <> first then first end as refers_to
+from top
+"""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperbrook.llm import decontaminate, mixing, quality, secret_scan, simhash, toxicity
+from paperbrook.llm import decontaminate, mixing, packing, quality, secret_scan, simhash, toxicity, warc
 from paperbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,13 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_all(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.token_output(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_and_read(table(spark, sf_dir, "pages"))
