@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paperbrook.llm import decontaminate, mixing, packing, quality, secret_scan, simhash, toxicity, warc
+from paperbrook.llm import (
+    chaining, decontaminate, mixing, packing, permutation, quality, secret_scan, simhash, toxicity, warc,
+)
 from paperbrook.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -67,3 +69,13 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.archive_and_read(table(spark, sf_dir, "pages"))
+
+
+@query
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chaining.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+@query
+def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
