@@ -47,5 +47,14 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among ``ids``; null ids match null ids.
+
+    The ids are written first, so the planner sends them to every task when they are few and moves no text.
+    """
+    gone = written(ids.select(F.col("doc_id").alias("gone_id")).distinct(), label)
+    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+
+
 def slices(count: int, size: int) -> Iterator[slice]:
     return (slice(at, at + size) for at in range(0, count, size))

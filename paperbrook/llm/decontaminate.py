@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import ascii_lower, blocks, union_all, written
+from paperbrook.llm.common import ascii_lower, blocks, union_all, without, written
 
 WINDOW, SHINGLE = 10, 4
 # Everything in ASCII but digits and lower-case letters parts words (fixed by the contract).
@@ -131,3 +131,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), "items",
         (n_hit > 0).alias("contaminated"),
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
+    """The rows of ``docs`` without any window of an item, all columns as they are; rows of one id go together."""
+    return without(docs, find_items(docs, benchmark, window).where("contaminated"), "contaminated")

@@ -134,3 +134,15 @@ def mix(
 def draw(level: int) -> Column:
     """A number in [0, 1) from the hash of the row."""
     return F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+
+
+def mixed(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are.
+
+    Rows that share an id, or have none, come as often as the one of them that is taken most.
+    """
+    copies = mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("copies").alias("copies"))
+    copies = written(copies.where("copies > 0"), "copies")
+    packed = docs.select(F.struct(*docs.columns).alias("given"))
+    taken = packed.join(copies, F.col("given.doc_id").eqNullSafe(F.col("taken_id")))
+    return taken.select("given", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("given.*")

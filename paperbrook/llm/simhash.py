@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import slices, written
+from paperbrook.llm.common import slices, without, written
 from paperbrook.llm.components import components
 
 HASH_SEED = 42
@@ -85,7 +85,7 @@ def distance(a: list[Column], b: list[Column]) -> Column:
     return sum((F.bit_count(x.bitwiseXOR(y)) for x, y in zip(a, b, strict=True)), F.lit(0))
 
 
-def linked_pairs(nodes: list[int], signatures: np.ndarray, radius: int) -> list[tuple[int, int]]:
+def linked_pairs(nodes: np.ndarray, signatures: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """A spanning forest of the links among the members of one bucket, found by comparing all of them here."""
     root = np.arange(len(nodes))
     found = []
@@ -99,16 +99,24 @@ def linked_pairs(nodes: list[int], signatures: np.ndarray, radius: int) -> list[
 
 
 def in_buckets(members: DataFrame, radius: int, words: int) -> DataFrame:
-    """Links (a, b) within grouped buckets (nodes array, s array)."""
+    """Links (a, b) within buckets, each one array of (node, f0, ...); those of two are compared all at once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs = []
-            for row in batch.column(0).to_pylist():
-                signatures = np.array([[m[f"f{at}"] for at in range(words)] for m in row], dtype=np.int64)
-                pairs += linked_pairs([m["node"] for m in row], signatures.view(np.uint64), radius)
-            a, b = zip(*pairs, strict=True) if pairs else ((), ())
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            column = batch.column(0)
+            fields = [f.to_numpy(zero_copy_only=False) for f in column.flatten().flatten()]
+            nodes, signatures = fields[0], np.column_stack(fields[1:]).view(np.uint64)
+            ends = np.cumsum(column.value_lengths().to_numpy())
+            starts = np.append(0, ends[:-1]) if len(ends) else ends
+            two = starts[ends - starts == 2]
+            far = np.bitwise_count(signatures[two] ^ signatures[two + 1]).sum(1, dtype=np.int64) if len(two) else two
+            near = two[far <= radius]
+            a, b = [nodes[near]], [nodes[near + 1]]
+            for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
+                pairs = np.array(linked_pairs(nodes[start:end], signatures[start:end], radius), np.int64).reshape(-1, 2)
+                a.append(pairs[:, 0])
+                b.append(pairs[:, 1])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
 
     return members.mapInArrow(run, "a bigint, b bigint")
 
@@ -207,8 +215,19 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     """Near duplicates on five-word shingles at a similarity of 0.8, estimated from 256 fingerprint bits.
 
     A similarity of 0.8 of the shingle sets is a cosine of 0.889 of the shingle counts, and bits differ in
-    arccos(0.889)/pi = 15.2% of all positions; one and a half standard errors more, 47 of 256 bits, count as
-    linked. Four words with 15 tables each, over 36 bits at radius 3, bring 93% of such pairs together at 0.8 and
-    99% at 0.85; the closer, the more.
+    arccos(0.889)/pi = 15.2% of all positions; two standard errors more, 50 of 256 bits, count as linked. Four words
+    with 15 tables each, over 32 bits at radius 3, bring 97% of such pairs together at 0.8 and 99% at 0.85; the
+    closer, the more, and all that differ in three of the 32 bits of any word.
     """
-    return near_duplicates(docs, words_each=5, words=4, bits=36, table_radius=3, link_radius=47)
+    return near_duplicates(docs, words_each=5, words=4, bits=32, table_radius=3, link_radius=50)
+
+
+def keep_firsts(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are the first of their group of :func:`similar_texts`, all columns as they are.
+
+    The smallest id of a group stays, in all rows that share it. Rows without an id go as soon as one of them is
+    like a row with an id, for nothing tells them apart.
+    """
+    found = similar_texts(docs)
+    later = found.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return without(docs, later, "later")

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from paperbrook.llm.common import written
 from paperbrook.llm.training import SAMPLE_ROWS, id_remainder, labelled_sample
 
-MODULUS, HELD = 5, 0
+MODULUS, HELD, THRESHOLD = 5, 0, 0.5
 # Letters that look like Latin ones, and digits and signs that stand for letters (fixed values).
 LOOKALIKES = dict(zip("авеёкмнорстухіїјѕɡοαειυκρτνɑıо", "abeekmhopctyxiijsgoaeiukptvaio", strict=True))
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s"}
@@ -82,7 +82,7 @@ def feature(total: float, words: int) -> float:
 
 
 def features(docs: DataFrame, lexicon: dict[str, float], exceptions: tuple[str, ...]) -> DataFrame:
-    """The columns of ``docs`` but its text (the last column), with the feature x and the number of hits."""
+    """The columns of ``docs`` but its text (the last column), with the feature _x and the number of _hits."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = automaton(lexicon, exceptions)
@@ -94,10 +94,10 @@ def features(docs: DataFrame, lexicon: dict[str, float], exceptions: tuple[str,
                 xs.append(feature(total, len(folded.split())))
                 counts.append(hits)
             columns = [*batch.columns[:-1], pa.array(xs, pa.float64()), pa.array(counts, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "x", "hits"])
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names[:-1], "_x", "_hits"])
 
-    kept = [f for f in docs.schema.fields[:-1]]
-    schema = T.StructType([*kept, T.StructField("x", T.DoubleType()), T.StructField("hits", T.LongType())])
+    added = [T.StructField("_x", T.DoubleType()), T.StructField("_hits", T.LongType())]
+    schema = T.StructType([*docs.schema.fields[:-1], *added])
     return docs.mapInArrow(run, schema)
 
 
@@ -186,25 +186,32 @@ def fit(
     counted = stem_counts(near, (STEM, LONGEST)).where(F.col("toxic") >= MIN_DOCS).collect()
     lexicon = choose_entries({r.stem: (r.toxic, r.clean) for r in counted}, toxic, clean, stems.count())
     texts = labelled_sample(docs, labels, "toxic", MODULUS, HELD, rows).select("y", "text")
-    points = features(texts, lexicon, exceptions).select("y", "x").toPandas()  # two numbers for each sampled row
-    bias, slope = logistic(points.x.to_numpy(float), points.y.to_numpy(float))
+    points = features(texts, lexicon, exceptions).select("y", "_x").toPandas()  # two numbers for each sampled row
+    bias, slope = logistic(points["_x"].to_numpy(float), points["y"].to_numpy(float))
     return ToxicityModel(lexicon, exceptions, bias, slope)
 
 
-def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
-    """(doc_id, score, hits) for every row of ``docs`` (doc_id, text), in one pass without a shuffle.
+def with_score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
+    """(given, score, hits): each row of ``docs`` as a struct, scored in one pass without a shuffle.
 
     Null and empty texts have no hits and get the curve's lowest score. Repeated rows and null ids give a row each.
     """
-    found = features(docs.select("doc_id", "text"), model.lexicon, model.exceptions)
-    raw = F.lit(model.bias) + F.lit(model.slope) * F.col("x") if model.lexicon else F.lit(-math.inf)
-    return found.select("doc_id", (1 / (1 + F.exp(-raw))).alias("score"), "hits")
+    packed = docs.select(F.struct(*docs.columns).alias("given"), docs["text"].alias("_text"))
+    found = features(packed, model.lexicon, model.exceptions)
+    raw = F.lit(model.bias) + F.lit(model.slope) * F.col("_x") if model.lexicon else F.lit(-math.inf)
+    return found.select("given", (1 / (1 + F.exp(-raw))).alias("score"), F.col("_hits").alias("hits"))
 
 
 def score_all(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     """(doc_id, held_out, score, predicted, hits) for every row of ``docs``, with a model fitted on ``labels``."""
-    scored = score(docs, fit(docs, labels, rows=rows))
+    scored = with_score(docs.select("doc_id", "text"), fit(docs, labels, rows=rows))
+    scored = scored.select("given.doc_id", "score", "hits")
     return scored.select(
         "doc_id", (id_remainder(MODULUS) == HELD).alias("held_out"), "score",
-        (F.col("score") >= 0.5).cast("int").alias("predicted"), "hits",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"), "hits",
     )
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` whose score stays below the threshold, all columns as they are."""
+    return with_score(docs, fit(docs, labels, rows=rows)).where(F.col("score") < THRESHOLD).select("given.*")
