@@ -4,12 +4,13 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,7 +26,9 @@ FOLD = str.maketrans({**LOOKALIKES, **SUBSTITUTES, **{chr(0xFF41 + i): chr(97 +
 WORD = re.compile(r"[^\W\d_]+")
 # Harmless phrases in which an entry of the lexicon does not count (fixed values; a parameter).
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "pathetic fallacy")
-STEM, LONGEST, MIN_DOCS, MAX_ENTRIES = 4, 24, 3, 2000
+STEM, LONGEST, MIN_DOCS, MAX_ENTRIES = 3, 24, 3, 2000
+# Lengths of beginnings at which words are first looked over.
+PROBES = (3, 4, 7)
 # Log-likelihood ratio an entry needs beyond twice the logarithm of the number of beginnings that were tried.
 MIN_GAIN = 6.0
 
@@ -144,22 +147,27 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
 
 
 def folded_words(sample: DataFrame) -> DataFrame:
-    """(y, doc, words) with the distinct folded words of each sampled text."""
+    """(likeness, y, words) with the distinct folded words of each sampled text.
+
+    ``likeness`` is the least hash of three words in a row: copies have the same one, and near copies mostly.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [sorted(set(WORD.findall(fold(text)))) for text in batch.column(2).to_pylist()]
-            columns = [batch.column(0), batch.column(1), pa.array(words, pa.list_(pa.string()))]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "y", "words"])
+            texts = [fold(text) for text in batch.column(1).to_pylist()]
+            words = [sorted(set(WORD.findall(text))) for text in texts]
+            runs = [text.split() for text in texts]
+            least = [min(zlib.crc32(" ".join(r[at : at + 3]).encode()) for at in range(max(1, len(r) - 2))) for r in runs]
+            columns = [pa.array(least, pa.int64()), batch.column(0), pa.array(words, pa.list_(pa.string()))]
+            yield pa.RecordBatch.from_arrays(columns, ["likeness", "y", "words"])
 
-    return sample.select("doc_id", "y", "text").mapInArrow(run, "doc_id bigint, y int, words array<string>")
+    return sample.select("y", "text").mapInArrow(run, "likeness bigint, y int, words array<string>")
 
 
-def stem_counts(words: DataFrame, lengths: tuple[int, int]) -> DataFrame:
-    """(stem, toxic, clean): texts of each class that have a word with that beginning."""
-    cut = F.explode(F.sequence(F.lit(lengths[0]), F.least(F.length("word"), F.lit(lengths[1]))))
-    stems = words.where(F.length("word") >= lengths[0]).select("doc_id", "y", "word", cut.alias("n"))
-    each = stems.select("doc_id", "y", F.substring("word", F.lit(1), F.col("n")).alias("stem")).distinct()
+def stem_counts(words: DataFrame, lengths: Column) -> DataFrame:
+    """(stem, toxic, clean): texts of each class that have a word with that beginning; like texts count once."""
+    stems = words.select("likeness", "y", "word", F.explode(lengths).alias("n")).where(F.length("word") >= F.col("n"))
+    each = stems.select("likeness", "y", F.substring("word", F.lit(1), F.col("n")).alias("stem")).distinct()
     return each.groupBy("stem").agg(F.sum("y").alias("toxic"), F.sum(1 - F.col("y")).alias("clean"))
 
 
@@ -168,22 +176,24 @@ def fit(
 ) -> ToxicityModel:
     """Learn the lexicon and the curve from at most ``rows`` labelled texts.
 
-    Word beginnings of four letters are counted first; only those that lean to toxic texts are counted at their
-    other lengths. What comes to the driver is bounded by the sample. Without labelled texts of both classes the
+    Word beginnings of a few lengths are counted first; only words that lean to toxic texts at one of them are
+    counted at all lengths. What comes to the driver is bounded by the sample. Without labelled texts of both classes the
     lexicon is empty and every score is zero.
     """
     sample = written(folded_words(labelled_sample(docs, labels, "toxic", MODULUS, HELD, rows)), "sample")
-    totals = sample.agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
+    totals = sample.select("likeness", "y").distinct().agg(F.sum("y").alias("toxic"), F.count("*").alias("n")).first()
     toxic, clean = int(totals.toxic or 0), int(totals.n - (totals.toxic or 0))
     if not toxic or not clean:
         return ToxicityModel({}, exceptions, -math.inf, 0.0)
-    words = sample.select("doc_id", "y", F.explode("words").alias("word"))
-    stems = written(stem_counts(words, (STEM, STEM)), "stems")
-    leaning = stems.where(
-        (F.col("toxic") >= MIN_DOCS) & (F.col("toxic") * clean > 3 * F.col("clean") * toxic)
-    )
-    near = words.withColumn("stem", F.substring("word", 1, STEM)).join(leaning.select("stem"), "stem", "left_semi")
-    counted = stem_counts(near, (STEM, LONGEST)).where(F.col("toxic") >= MIN_DOCS).collect()
+    words = sample.select("likeness", "y", F.explode("words").alias("word"))
+    probes = F.array(*[F.lit(n) for n in PROBES])
+    stems = written(stem_counts(words, probes), "stems")
+    leaning = stems.where((F.col("toxic") >= MIN_DOCS) & (F.col("toxic") * clean > 3 * F.col("clean") * toxic))
+    begun = words.select("word", F.explode(probes).alias("n")).distinct().where(F.length("word") >= F.col("n"))
+    begun = begun.withColumn("stem", F.substring("word", F.lit(1), F.col("n"))).join(leaning, "stem", "left_semi")
+    near = words.join(begun.select("word").distinct(), "word", "left_semi")
+    every = F.sequence(F.lit(STEM), F.greatest(F.least(F.length("word"), F.lit(LONGEST)), F.lit(STEM)))
+    counted = stem_counts(near, every).where(F.col("toxic") >= MIN_DOCS).collect()
     lexicon = choose_entries({r.stem: (r.toxic, r.clean) for r in counted}, toxic, clean, stems.count())
     texts = labelled_sample(docs, labels, "toxic", MODULUS, HELD, rows).select("y", "text")
     points = features(texts, lexicon, exceptions).select("y", "_x").toPandas()  # two numbers for each sampled row
