@@ -95,16 +95,19 @@ def track_mark_deleted(track: DataFrame, listing: DataFrame) -> DataFrame:
 
 
 def track_mark_indexed(track: DataFrame, paths: DataFrame, as_of: datetime | Column | None = None) -> DataFrame:
-    """Rows of the given paths become INDEXED. ``paths`` must be a written set, not a filter on ``track``."""
+    """Rows of the given paths become INDEXED. ``paths`` must be a written set, not a filter on ``track``.
+
+    ``as_of`` is one time, or a column of ``paths``; a path that is given twice takes the latest.
+    """
     if as_of is None:
         as_of = F.current_timestamp()
     stamp = as_of if isinstance(as_of, Column) else F.lit(as_of)
-    done = paths.select("path").distinct().withColumn("_done", F.lit(True))
+    done = paths.groupBy("path").agg(F.max(stamp.cast("timestamp")).alias("_at"), F.lit(True).alias("_done"))
     return (
         track.join(done, "path", "left")
         .withColumns({
             "status": F.when(F.col("_done"), INDEXED).otherwise(F.col("status")),
-            "indexed_at": F.when(F.col("_done"), stamp.cast("timestamp")).otherwise(F.col("indexed_at")),
+            "indexed_at": F.when(F.col("_done"), F.col("_at")).otherwise(F.col("indexed_at")),
         })
         .select(*track.columns)
     )

@@ -1,6 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from paperbrook.functions.paths import path_metadata
@@ -173,3 +174,68 @@ def test_folders_by_category_are_pruned(spark, tmp_path, rows):
     assert "(year" in plan.split("PartitionFilters: [")[1].split("]")[0]
     queries = spark.createDataFrame([(1, "alpha omega")], "query_id long, text string")
     assert rows(split.answer(queries)) == rows(plain.answer(queries))
+
+
+def state(corpus):
+    return {r.path[-1]: (r.status, r.version) for r in corpus.tracking().collect()}
+
+
+def test_a_file_without_text_is_tried_again(spark, corpus):
+    metrics = corpus.sync(listing(spark, ONE), texts(spark, ONE[:1]), T0).first()
+    assert (metrics.rows_to_index, metrics.rows_unread) == (3, 2)
+    assert state(corpus) == {"a": ("INDEXED", 1), "b": ("NEW", 1), "c": ("NEW", 1)}
+    nothing = texts(spark, ONE).withColumn("text", F.when(~F.col("path").endswith("/c"), F.col("text")))
+    assert corpus.sync(listing(spark, ONE), nothing, T0).first().rows_unread == 1
+    assert state(corpus) == {"a": ("INDEXED", 1), "b": ("INDEXED", 1), "c": ("NEW", 1)}
+    assert {r.path[-1] for r in corpus.chunks().collect()} == {"a", "b"}
+
+
+def test_an_empty_text_has_arrived(spark, corpus):
+    corpus.sync(listing(spark, [("e", 0, "")]), texts(spark, [("e", 0, "")]), T0)
+    assert state(corpus) == {"e": ("INDEXED", 1)} and corpus.chunks().count() == 0
+
+
+def test_full_refresh_with_a_time_that_went_back(spark, corpus, rows):
+    late = [("a", 10, "one"), ("b", 20, "two")]
+    back = [("a", 5, "one again"), ("b", 20, "two again")]
+    times = lambda given: listing(spark, given).select("path", "modification_ts").join(texts(spark, given), "path")
+    corpus.sync(listing(spark, late), times(late), T0)
+    corpus.sync(listing(spark, back), times(back), T0, full_refresh=True)
+    assert {r.chunk_text for r in corpus.chunks().collect()} == {"one again", "two again"}
+    assert corpus.last_run() == (2, 2)
+
+
+def test_full_refresh_keeps_what_it_cannot_read(spark, corpus):
+    corpus.sync(listing(spark, ONE), texts(spark, ONE), T0)
+    renewed = [("a", 0, "renewed")]
+    metrics = corpus.sync(listing(spark, ONE), texts(spark, renewed), T0, full_refresh=True).first()
+    assert metrics.rows_unread == 2 and metrics.base_run == 1
+    found = {r.path[-1]: r.chunk_text for r in corpus.chunks().where("ordinal = 0").collect()}
+    assert found["a"] == "renewed" and found["b"] == "gamma delta" and set(found) == {"a", "b", "c"}
+    assert metrics.vector_rows == corpus.chunks().count() == corpus.index().count()
+
+
+def test_many_pending_files_move_no_text(spark, corpus, rows, monkeypatch):
+    monkeypatch.setattr("paperbrook.plans.corpus.MANY_FILES", 0)
+    extra = ONE + [("unlisted", 0, "not in the listing")]
+    carried = texts(spark, extra).selectExpr("*", "'Housing' category", "2024 year", "5 month")
+    corpus.sync(listing(spark, ONE), carried, T0)
+    second = texts(spark, TWO).selectExpr("*", "'Housing' category", "2024 year", "5 month")
+    corpus.sync(listing(spark, TWO), second, T0)
+    live = corpus.tracking().where("is_current").join(texts(spark, TWO), "path")
+    assert rows(corpus.chunks().drop("run")) == rows(make_chunks(live))
+    path = corpus.folder + "/texts"
+    carried.write.parquet(path)
+    pending = spark.read.parquet(f"{corpus.folder}/pending/run=1")
+    plan = corpus._with_versions(spark.read.parquet(path), pending, 1)._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+
+
+def test_lost_tracking_is_an_error(spark, corpus, monkeypatch):
+    corpus.sync(listing(spark, ONE), texts(spark, ONE), T0)
+    place = Corpus._path
+    monkeypatch.setattr(Corpus, "_path", lambda c, table, run=None: place(c, "gone" if table == "tracking" else table, run))
+    with pytest.raises(AnalysisException):
+        corpus.tracking()
+    with pytest.raises(AnalysisException):
+        corpus.sync(listing(spark, TWO), texts(spark, TWO), T0)

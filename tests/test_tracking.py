@@ -87,7 +87,7 @@ def test_reports(spark, indexed, rows):
     track = tracking.track_sync(indexed, listing(spark, [("a", 1)]))
     assert rows(reports.status_counts(track)) == [("DELETED", 2), ("UPDATED", 1)]
     assert rows(reports.category_status_counts(track)) == [("Housing", "DELETED", 2), ("Housing", "UPDATED", 1)]
-    assert rows(reports.run_metrics(track, track, 1024, 256)) == [(1, 2, 3, 1024, 256)]
+    assert rows(reports.run_metrics(track, track.agg(F.count("*")).scalar(), 1024, 256)) == [(1, 2, 3, 1024, 256)]
 
 
 def test_missing_table_reads_as_empty(spark, tmp_path):
