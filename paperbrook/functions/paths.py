@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,7 +57,38 @@ def path_metadata(files: DataFrame, root: str) -> DataFrame:
     )
 
 
-def glob_match(path: Column, suffixes: list[str]) -> Column:
-    """File name ends in one of the suffixes, in any case: the listing glob for rows already read."""
-    names = "|".join(s.lstrip(".") for s in suffixes)
-    return path.rlike(rf"(?i)\.({names})$")
+def glob_regex(glob: str) -> str:
+    """A listing glob as a pattern for file names: ``*``, ``?``, ``[...]`` and ``{a,b}``; all else is literal."""
+    out, at, depth = "", 0, 0
+    while at < len(glob):
+        sign = glob[at]
+        end = glob.find("]", at + 2) if sign == "[" else -1
+        if sign == "*":
+            out += "[^/]*"
+        elif sign == "?":
+            out += "[^/]"
+        elif end > 0:
+            inside = glob[at + 1 : end]
+            negated = inside[0] in "!^"
+            inside = inside[1:] if negated else inside
+            out += ("[^" if negated else "[") + re.sub(r"([\\\[\]^&])", r"\\\1", inside) + "]"
+            at = end
+        elif sign == "{":
+            out, depth = out + "(?:", depth + 1
+        elif sign == "}" and depth:
+            out, depth = out + ")", depth - 1
+        elif sign == "," and depth:
+            out += "|"
+        else:
+            if sign == "\\" and at + 1 < len(glob):
+                at += 1
+            out += re.escape(glob[at])
+        at += 1
+    if depth:
+        raise ValueError(f"a brace is not closed: {glob}")
+    return out
+
+
+def glob_match(path: Column, glob: str) -> Column:
+    """File name matches the glob: the listing glob for rows already read."""
+    return path.rlike(f"(^|/){glob_regex(glob)}$")

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from paperbrook.functions.paths import month_numbers
-
 LISTED = """
 listed as (
   select doc_id, source, text, n_chars,
@@ -88,7 +86,12 @@ next as (select * from upserted where path not in (select path from located wher
 
 CHUNK_COLUMNS = "path, chunk_id, chunk_text, category, year, month"
 
-MONTH_VALUES = ", ".join(f"('{name}', {number})" for name, number in month_numbers().items())
+# The names of the months, long and short, written out here on their own.
+MONTH_VALUES = """
+  ('january', 1), ('jan', 1), ('february', 2), ('feb', 2), ('march', 3), ('mar', 3), ('april', 4), ('apr', 4),
+  ('may', 5), ('june', 6), ('jun', 6), ('july', 7), ('jul', 7), ('august', 8), ('aug', 8), ('september', 9),
+  ('sep', 9), ('sept', 9), ('october', 10), ('oct', 10), ('november', 11), ('nov', 11), ('december', 12), ('dec', 12)
+"""
 
 
 def recursive_chunks() -> str:
@@ -165,12 +168,16 @@ from stripped where chunk_text <> ''""")
 PAGE_TEXT = r"""
 with a as (select page_id, regexp_replace(html,
     '(?is)<script\b.*?</script\s*>|<style\b.*?</style\s*>|<!--.*?-->', ' ', 'g') as t from pages),
-b as (select page_id, regexp_replace(t,
-    '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|title|nav|article|footer)\s*>', chr(10), 'g') as t from a),
-c as (select page_id, regexp_replace(t, '(?s)<[^>]*>', '', 'g') as t from b),
-d as (select page_id, replace(replace(replace(replace(replace(replace(t,
-    '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&') as t from c),
-e as (select page_id, regexp_replace(t, '[ \t\r]+', ' ', 'g') as t from d)
+b as (select page_id, regexp_replace(t, '(?i)<br\s*/?>|</(p|div|li|h[1-6]|tr|title|nav|article|section|header|footer|'
+    'aside|ul|ol|dt|dd|option|caption|blockquote|pre)\s*>', chr(10), 'g') as t from a),
+c as (select page_id, regexp_replace(regexp_replace(t, '(?i)</t[dh]\s*>', ' ', 'g'), '(?s)<[^>]*>', '', 'g') as t from b),
+ref as (select page_id, string_split_regex(t, '&#[0-9]{1,7};|&[a-z]{2,6};') as g,
+    regexp_extract_all(t, '&#[0-9]{1,7};|&[a-z]{2,6};') as r from c),
+d as (select page_id, array_to_string(list_transform(range(1, len(g) + 1), lambda i: g[i] || case
+    when i > len(r) then '' when r[i] = '&nbsp;' then chr(160) when r[i] = '&lt;' then '<' when r[i] = '&gt;' then '>'
+    when r[i] = '&quot;' then '"' when r[i] = '&amp;' then '&' when r[i] = '&eacute;' then 'é'
+    when r[i] = '&copy;' then '©' when r[i] = '&middot;' then '·' when r[i] like '&#%' then chr(r[i][3:-2]::int) else r[i] end), '') as t from ref),
+e as (select page_id, regexp_replace(t, '[ \t\r\x{00A0}]+', ' ', 'g') as t from d)
 select page_id, trim(regexp_replace(t, ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) as text from e
 """
 
@@ -340,13 +347,13 @@ ORACLES: dict[str, str] = {
     "files_to_index_full_refresh": MERGED + "select path, status, version from synced where status <> 'DELETED'",
     "files_to_delete": MERGED + "select path, status, version from synced where status = 'DELETED'",
     "run_metrics": MERGED + f"""
-        , old_files as (select *, 1 as version from one), {windows('old_files', 'old')}
+        , live_files as (select *, 1 as version from two), {windows('live_files', 'live')}
         select count(*) filter (status in ('NEW', 'UPDATED')) as rows_to_index,
           count(*) filter (status = 'DELETED') as rows_to_delete,
-          (select count(*) from old) as vector_rows, 1024::bigint as chunk_size, 256::bigint as chunk_overlap
+          (select count(*) from live) as vector_rows, 1024::bigint as chunk_size, 256::bigint as chunk_overlap
         from synced""",
-    "path_metadata": DAYS + """
-        select path, rel_path, replace(rel_path, '/', '|') as levels, category, year, month from two""",
+    "path_metadata": f"""with {LISTED}
+        select path, rel_path, replace(rel_path, '/', '|') as levels, category, year, month from located""",
     "page_paths": r"""
         with p as (select page_id, regexp_replace(url, '^[A-Za-z][A-Za-z0-9+.\-]*:/+', '/') as path from pages)
         select page_id, path, substr(path, 2) as rel_path, string_split(substr(path, 2), '/')[1] as category,
@@ -361,10 +368,10 @@ ORACLES: dict[str, str] = {
         select month_name, month::int as month, count(*) as n
         from name left join (values {MONTH_VALUES}) m(name, month) on lower(month_name) = name
         group by month_name, month""",
-    "metadata_violations": DAYS + """
+    "metadata_violations": f"""with {LISTED}
         select path, concat_ws(',', case when category <> 'Housing' then 'category' end,
           case when year not between 2023 and 2024 then 'year' end,
-          case when month not between 1 and 11 then 'month' end) as violations from two""",
+          case when month not between 1 and 11 then 'month' end) as violations from located""",
     "page_text": PAGE_TEXT,
     "joined_pages": """
         select doc_id, array_to_string(list_transform(string_split(text, ' '),

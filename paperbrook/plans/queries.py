@@ -246,7 +246,7 @@ def run_metrics(spark, sf_dir):
 
 @query
 def path_metadata(spark, sf_dir):
-    return listing(spark, sf_dir, 2).select(
+    return files(spark, sf_dir).select(
         "path", "rel_path", F.array_join("levels", "|").alias("levels"), "category", "year", "month"
     )
 
@@ -270,7 +270,7 @@ def month_names(spark, sf_dir):
 @query
 def metadata_violations(spark, sf_dir):
     checked = quality.validate_metadata(
-        listing(spark, sf_dir, 2), categories=["Housing"], years=(2023, 2024), months=(1, 11)
+        files(spark, sf_dir), categories=["Housing"], years=(2023, 2024), months=(1, 11)
     )
     return checked.select("path", F.array_join("violations", ",").alias("violations"))
 
@@ -449,7 +449,7 @@ QUERIES.update({name: _filter_query(*parts) for name, parts in FILTERS.items()})
 @query
 def filter_glob(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
-    return pages.where(paths.glob_match(F.col("url"), [".HTML"])).select("page_id", "url")
+    return pages.where(paths.glob_match(F.col("url"), "*.[hH][tT][mM][lL]")).select("page_id", "url")
 
 
 # Index

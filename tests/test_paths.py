@@ -70,6 +70,14 @@ def test_listing_walks_folders_and_matches_any_case(spark, tmp_path):
     assert [bytes(r.content) for r in read_contents(spark, str(tmp_path), "*.txt").collect()] == [b"12345"]
 
 
-def test_glob_on_rows(spark):
-    df = spark.createDataFrame([("a.PDF",), ("b.pdfx",), ("c.pdf",)], "p string")
-    assert [r.p for r in df.where(paths.glob_match(F.col("p"), ["pdf"])).collect()] == ["a.PDF", "c.pdf"]
+@pytest.mark.parametrize(("glob", "names"), [
+    ("*.[pP][dD][fF]", ["/x/a.PDF", "c.pdf"]),
+    ("*.tar.gz", ["a.tar.gz"]),
+    ("?.{pdf,txt}", ["c.pdf", "/y/d.txt"]),
+    ("[!ac]*", ["b.pdfx", "/y/d.txt"]),
+    ("a.*", ["/x/a.PDF", "a.tar.gz", "a.tarXgz"]),
+])
+def test_glob_on_rows(spark, glob, names):
+    rows = [("/x/a.PDF",), ("b.pdfx",), ("c.pdf",), ("a.tar.gz",), ("a.tarXgz",), ("/y/d.txt",), (None,)]
+    df = spark.createDataFrame(rows, "p string")
+    assert sorted(r.p for r in df.where(paths.glob_match(F.col("p"), glob)).collect()) == sorted(names)

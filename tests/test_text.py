@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from paperbrook.functions import text
@@ -13,6 +14,17 @@ def test_html_text(spark):
     assert one(spark, html, text.html_text) == "A &lt; b\nc\nd e"
 
 
+@pytest.mark.parametrize(("html", "expected"), [
+    ("<table><tr><td>12</td><td>34</td></tr><tr><th>a</th><td>b</td></tr></table>", "12 34\na b"),
+    ("<dl><dt>term</dt><dd>meaning</dd></dl><select><option>x</option><option>y</option></select>", "term\nmeaning\nx\ny"),
+    ("caf&eacute; &#8217;s &#x2019;t &#X1F600; &copy;", "café ’s ’t 😀 ©"),
+    ("&amp;#65; &amp;amp; &unknown; &#0; &#xD800; &#9999999; & alone", "&#65; &amp; &unknown; &#0; &#xD800; &#9999999; & alone"),
+    ("", ""), (None, None),
+])
+def test_html_text_by_hand(spark, html, expected):
+    assert one(spark, html, text.html_text) == expected
+
+
 def test_join_pages_keeps_empty_pages(spark):
     assert one(spark, ["a", None, "b"], text.join_pages, "array<string>") == "a\n\nb"
     assert one(spark, [], text.join_pages, "array<string>") == ""
@@ -20,6 +32,8 @@ def test_join_pages_keeps_empty_pages(spark):
 
 def test_decode_text(spark):
     assert one(spark, bytearray("äé".encode()), text.decode_text, "binary") == "äé"
+    assert one(spark, bytearray(b"caf\xe9 ok"), text.decode_text, "binary") == "caf\ufffd ok"
+    assert one(spark, None, text.decode_text, "binary") is None
 
 
 def test_tokens(spark):
