@@ -18,12 +18,13 @@ from pyspark.sql import functions as F
 
 from paperbrook.functions.ids import salt
 from paperbrook.operators.search import (
-    BROADCAST_QUERIES, K, SCORE_DIGITS, SPREAD, _Best, _matrix, _ranked_schema, top_k,
+    BROADCAST_QUERIES, BROADCAST_VALUES, K, SCORE_DIGITS, SPREAD, _Best, _matrix, _no_hits, _ranked_schema, ids_of,
+    query_blocks, refuse_repeats, top_k,
 )
 
 TABLES, BITS = 8, 8
-# With more possible codes than this no filter is written; rows of other codes are then skipped in the tasks.
-MAX_LITERAL_CODES = 8192
+# Codes of a block of queries that are written into the filter of its scan.
+BLOCK_CODES = 8192
 
 
 def _planes(tables: int, bits: int, dim: int) -> np.ndarray:
@@ -62,23 +63,22 @@ def _has_code(rows) -> Column:
     """The codes of the queries as plain values, which prune the folders of an index split by code."""
     codes: dict[int, set[int]] = {}
     for r in rows:
-        codes.setdefault(r["lsh_table"], set()).add(r["lsh_code"])
+        for table, code in enumerate(r["codes"]):
+            codes.setdefault(table, set()).add(code)
     tests = [(F.col("lsh_table") == t) & F.col("lsh_code").isin(sorted(c)) for t, c in sorted(codes.items())]
     return reduce(operator.or_, tests)
 
 
-def _scan_codes(rows, hashed: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
-    """Few queries: each task scores its rows against the queries of the same code and keeps k per query.
+def _scan_codes(rows, ids: pa.Array, hashed: DataFrame, k: int, key: str, vector: str, schema) -> DataFrame:
+    """A block of queries: each task scores its rows against the queries of the same code and keeps k per query.
 
     A code held by a third of all vectors stays spread over the tasks that read it.
     """
-    ids = pa.array(list(dict.fromkeys(r[query_id] for r in rows)))
-    place = {q: i for i, q in enumerate(ids.to_pylist())}
-    matrix = np.zeros((len(ids), len(rows[0][vector])))
+    matrix = np.array([r[vector] for r in rows], dtype=np.float64)
     asked: dict[tuple[int, int], list[int]] = {}
-    for r in rows:
-        matrix[place[r[query_id]]] = r[vector]
-        asked.setdefault((r["lsh_table"], r["lsh_code"]), []).append(place[r[query_id]])
+    for place, r in enumerate(rows):
+        for code in enumerate(r["codes"]):
+            asked.setdefault(code, []).append(place)
     sent = hashed.sparkSession.sparkContext.broadcast((ids, matrix, {c: np.array(q) for c, q in asked.items()}))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,19 +120,25 @@ def approx_search(
 ) -> DataFrame:
     """The k best among the vectors sharing a code; give ``hash_vectors`` output to search a built index.
 
-    With few queries (counted first) their codes prune an index written with ``lsh_table`` and ``lsh_code``
-    as partition columns.
+    Each block of queries is one scan, and its codes, at most ``BLOCK_CODES`` of them, prune an index written with
+    ``lsh_table`` and ``lsh_code`` as partition columns. A query id must stand once.
     """
     hashed = index if "lsh_code" in index.columns else hash_vectors(index, dim, tables, bits, vector)
-    asked = hash_vectors(queries.select(query_id, vector), dim, tables, bits, vector)
-    head = asked.limit(max_broadcast * tables + 1).collect()
-    if head and len(head) <= max_broadcast * tables:
-        wanted = hashed.where(_has_code(head)) if tables << bits <= MAX_LITERAL_CODES else hashed
-        partial = _scan_codes(head, wanted, k, query_id, key, vector, _ranked_schema(queries, index, query_id, key))
-        # A pair found through several tables has the same score in each.
-        scored = partial.groupBy(query_id, key).agg(F.first("score").alias("score"))
-    else:
-        scored = candidate_scores(asked, hashed, query_id, key, vector)
+    asked = queries.where(F.col(vector).isNotNull())
+    asked = asked.select(query_id, vector, plane_codes(F.col(vector), dim, tables, bits).alias("codes"))
+    refuse_repeats(queries, query_id)
+    schema = _ranked_schema(queries, index, query_id, key)
+    most = max(1, min(max_broadcast, BLOCK_CODES // tables, BROADCAST_VALUES // dim))
+    scans = []
+    for block in query_blocks(asked, query_id, -(-queries.count() // most)):
+        rows = block.collect()
+        if rows:
+            ids = ids_of(rows, queries, query_id)
+            scans.append(_scan_codes(rows, ids, hashed.where(_has_code(rows)), k, key, vector, schema))
+    if not scans:
+        return _no_hits(index, schema)
+    # A pair found through several tables has the same score in each.
+    scored = reduce(DataFrame.unionByName, scans).groupBy(query_id, key).agg(F.first("score").alias("score"))
     return top_k(scored, k, query_id, key, SPREAD)
 
 

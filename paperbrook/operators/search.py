@@ -6,6 +6,7 @@ Scores are rounded before they are ranked and ties go to the smaller key, so eve
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import Any, NamedTuple
 
 import numpy as np
@@ -21,18 +22,20 @@ from paperbrook.functions.text import tokens
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.filters import apply_filters
 from paperbrook.operators.index import postings
+from paperbrook.session import new_run_folder
+from paperbrook.sources.tables import write_snapshot
 
 K = 42
 SCORE_DIGITS, FUSED_DIGITS = 6, 9
 K1, B = 1.2, 0.75  # Robertson and Zaragoza 2009
 RRF_K = 60  # Cormack et al. 2009
 
-# Queries up to this count (and values up to this count) are sent to every task; more are joined in blocks.
+# Queries, numbers of their vectors, and query terms that one scan of the index takes along; more make more scans.
 BROADCAST_QUERIES = 4096
 BROADCAST_VALUES = 1 << 22
 BROADCAST_TERMS = 200_000
-# Block sides of the distributed join: rows a task holds of each side at a time.
-BLOCK_QUERIES, BLOCK_ROWS = 4096, 1 << 16
+# Hits that are sent to the table their columns come from, counted as queries times k.
+BROADCAST_HITS = 200_000
 # Scores held at a time while a block is ranked.
 SCORE_CELLS = 1 << 22
 SPREAD = 16
@@ -150,68 +153,42 @@ def _ranked_schema(queries: DataFrame, vectors: DataFrame, query_id: str, key: s
     ])
 
 
-def _scan_top_k(rows, vectors: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
-    """Few queries: they go to every task, each task scans its vectors once and keeps k rows per query."""
-    ids = pa.array([r[query_id] for r in rows])
+def refuse_repeats(queries: DataFrame, query_id: str) -> None:
+    """A query id that stands twice would mix two queries in one answer."""
+    twice = queries.groupBy(query_id).count().where("count > 1").limit(1).collect()
+    if twice:
+        raise ValueError(f"query id given more than once: {twice[0][0]!r}")
+
+
+def query_blocks(queries: DataFrame, query_id: str, parts: int) -> list[DataFrame]:
+    """The queries in parts by a hash of their id."""
+    if parts <= 1:
+        return [queries]
+    return [queries.where(F.pmod(F.xxhash64(query_id), F.lit(parts)) == part) for part in range(parts)]
+
+
+def ids_of(rows, queries: DataFrame, query_id: str) -> pa.Array:
+    """Ids in the type the result has, whatever Python makes of them."""
+    return pa.array([r[query_id] for r in rows], to_arrow_type(queries.schema[query_id].dataType))
+
+
+def _scan_top_k(rows, asked: DataFrame, vectors: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
+    """A block of queries goes to every task, each task scans its vectors once and keeps k rows per query."""
     matrix = np.array([r[vector] for r in rows], dtype=np.float64)
-    sent = vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    sent = vectors.sparkSession.sparkContext.broadcast((ids_of(rows, asked, query_id), matrix))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
         best = _Best(len(matrix), k)
         for batch in batches:
             for block in _blocks(batch, best.block):
-                best.add(block.column(key), matrix @ _matrix(block.column(vector)).T)
+                found = _matrix(block.column(vector))
+                best.add(block.column(key), np.where(found.any(axis=1), matrix @ found.T, -np.inf))
         yield from best.batches(ids, schema.names)
 
     return vectors.mapInArrow(score, schema)
 
 
-def _block_top_k(asked: DataFrame, found: DataFrame, k: int, query_id: str, key: str, schema, scorer) -> DataFrame:
-    """Many queries: both sides are cut into blocks of bounded size and every pair of blocks is one task.
-
-    ``scorer`` takes the rows of one query block and gives their ids and a function from index rows to
-    scores. Each task returns k rows per query of its block, never the pairs themselves.
-    """
-    q_blocks = max(-(-asked.select(query_id).distinct().count() // BLOCK_QUERIES), 1)
-    v_blocks = max(-(-found.count() // BLOCK_ROWS), 1)
-
-    def copies(n: int):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
-
-    # New names on both sides: the two may be the same table, and cogroup tells columns apart by origin.
-    left = asked.select(
-        *[F.col(c).alias(f"a_{c}") for c in asked.columns],
-        salt(F.col(query_id), q_blocks).alias("_aq"), copies(v_blocks).alias("_av"),
-    )
-    right = found.select(
-        *[F.col(c).alias(f"f_{c}") for c in found.columns],
-        copies(q_blocks).alias("_fq"), salt(F.col(key), v_blocks).alias("_fv"),
-    )
-    asked_columns, found_columns = asked.columns, found.columns
-    empty = _arrow_schema(schema).empty_table()
-
-    def score(a: pa.Table, f: pa.Table) -> pa.Table:
-        if not a.num_rows or not f.num_rows:
-            return empty
-        a = a.select([f"a_{c}" for c in asked_columns]).rename_columns(asked_columns).combine_chunks()
-        f = f.select([f"f_{c}" for c in found_columns]).rename_columns(found_columns).combine_chunks()
-        ids, scores = scorer(a)
-        best = _Best(len(ids), k)
-        for batch in f.to_batches():
-            for block in _blocks(batch, best.block):
-                best.add(block.column(key), scores(block))
-        batches = best.batches(ids, empty.schema.names)
-        return pa.Table.from_batches(batches) if batches else empty
-
-    score.__annotations__ = {"a": pa.Table, "f": pa.Table, "return": pa.Table}
-    return left.groupBy("_aq", "_av").cogroup(right.groupBy("_fq", "_fv")).applyInArrow(score, schema)
-
-
-def _arrow_schema(schema: T.StructType) -> pa.Schema:
-    return pa.schema([(f.name, to_arrow_type(f.dataType)) for f in schema])
-
-
 def similarity_search(
     queries: DataFrame,
     index: DataFrame,
@@ -224,23 +201,24 @@ def similarity_search(
 ) -> DataFrame:
     """Exact k nearest by dot product, which is the cosine on unit vectors.
 
-    Filters hold before ranking. The query side is counted before it is sent anywhere.
+    Filters hold before ranking. A zero vector on either side has no direction and gives no hit. Queries are
+    counted by rows and numbers, and each block of at most ``max_broadcast`` of them is one scan of the index,
+    which is never moved. A query id must stand once.
     """
     candidates = apply_filters(index, filters).where(F.col(vector).isNotNull()).select(key, vector)
-    asked = queries.where(F.col(vector).isNotNull()).select(query_id, vector)
+    asked = queries.where(F.exists(vector, lambda x: x != 0)).select(query_id, vector)
     schema = _ranked_schema(queries, index, query_id, key)
-    head = asked.limit(max_broadcast + 1).collect()
-    if not head:
+    refuse_repeats(asked, query_id)
+    size = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(vector)), F.lit(0)).alias("values")).first()
+    parts = max(-(-size["n"] // max(max_broadcast, 1)), -(-size["values"] // BROADCAST_VALUES))
+    scans = []
+    for block in query_blocks(asked, query_id, parts):
+        rows = block.collect()
+        if rows:
+            scans.append(_scan_top_k(rows, asked, candidates, k, query_id, key, vector, schema))
+    if not scans:
         return _no_hits(index, schema)
-    if len(head) <= max_broadcast and sum(len(r[vector]) for r in head) <= BROADCAST_VALUES:
-        partial = _scan_top_k(head, candidates, k, query_id, key, vector, schema)
-    else:
-        def scorer(rows: pa.Table):
-            matrix = _matrix(rows[vector].combine_chunks())
-            return rows[query_id].combine_chunks(), lambda block: matrix @ _matrix(block.column(vector)).T
-
-        partial = _block_top_k(asked, candidates, k, query_id, key, schema, scorer)
-    return top_k(partial, k, query_id, key, SPREAD)
+    return top_k(reduce(DataFrame.unionByName, scans), k, query_id, key, SPREAD)
 
 
 def query_terms(queries: DataFrame, query_id: str = "query_id", text: str = "text") -> DataFrame:
@@ -319,37 +297,38 @@ def keyword_search(
 ) -> DataFrame:
     """BM25. Filters hold before ranking; term weights and lengths always come from the whole index.
 
-    Few query terms (counted first) go to every task, which scans its part of the index once. More meet
-    the index in pairs of blocks.
+    Query terms are counted, and each block of at most ``max_broadcast`` of them is one scan of the index. Terms
+    of the index are counted within tasks before they meet, so a term of every chunk gathers nowhere.
     """
     candidates = apply_filters(index, filters).select(key, "doc_len", "terms", "tfs")
     schema = _ranked_schema(queries, index, query_id, key)
+    refuse_repeats(queries, query_id)
     corpus = index.agg(F.count("*").alias("n"), F.avg("doc_len").alias("length")).first()
     if not corpus["length"]:
         return _no_hits(index, schema)
-    average = corpus["length"]
     terms = query_terms(queries, query_id, text)
-    few = terms.limit(max_broadcast + 1).count() <= max_broadcast
+    size = terms.agg(F.count("*").alias("terms"), F.count_distinct(query_id).alias("queries")).first()
     vocabulary = terms.select("term").distinct()
-    found = postings(index).join(F.broadcast(vocabulary) if few else vocabulary, "term", "left_semi")
-    df = found.groupBy("term").agg(F.count("*").alias("df"))
+    if size["terms"] <= BROADCAST_TERMS:
+        counted = postings(index).join(F.broadcast(vocabulary), "term", "left_semi").groupBy("term")
+        df = counted.agg(F.count("*").alias("df"))
+    else:
+        df = postings(index).groupBy("term").agg(F.count("*").alias("df")).join(vocabulary, "term", "left_semi")
     idf = F.log(1.0 + (corpus["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weights = terms.join(df, "term").select(query_id, "term", idf.alias("idf"))
-    if few:
-        rows = weights.collect()
-        if not rows:
-            return _no_hits(index, schema)
-        ids, words, values = zip(*rows)
-        if len(set(ids)) <= BROADCAST_QUERIES:
-            sent = _term_weights(pa.array(ids), pa.array(words), np.array(values), average)
-            return top_k(_scan_keywords(candidates, sent, k, key, schema), k, query_id, key, SPREAD)
-
-    def scorer(rows: pa.Table):
-        ids, words, values = (rows[c].combine_chunks() for c in (query_id, "term", "idf"))
-        block_weights = _term_weights(ids, words, values.to_numpy(), average)
-        return block_weights.query_ids, lambda block: _bm25(block, block_weights)
-
-    return top_k(_block_top_k(weights, candidates, k, query_id, key, schema, scorer), k, query_id, key, SPREAD)
+    parts = max(-(-size["terms"] // max(max_broadcast, 1)), -(-size["queries"] // BROADCAST_QUERIES))
+    if parts > 1:
+        weights = write_snapshot(weights, new_run_folder(index.sparkSession, "terms"))
+    scans = []
+    for block in query_blocks(weights, query_id, parts):
+        rows = block.collect()
+        if rows:
+            words, values = pa.array([r["term"] for r in rows]), np.array([r["idf"] for r in rows])
+            sent = _term_weights(ids_of(rows, queries, query_id), words, values, corpus["length"])
+            scans.append(_scan_keywords(candidates, sent, k, key, schema))
+    if not scans:
+        return _no_hits(index, schema)
+    return top_k(reduce(DataFrame.unionByName, scans), k, query_id, key, SPREAD)
 
 
 def _no_hits(index: DataFrame, schema: T.StructType) -> DataFrame:
@@ -391,18 +370,19 @@ def hybrid_search(
 
 def with_columns(
     hits: DataFrame, chunks: DataFrame, columns: list[str], key: str = "chunk_id", max_chars: int | None = None,
-    text: str = "chunk_text", queries: DataFrame | None = None,
+    text: str = "chunk_text", queries: DataFrame | None = None, k: int = K,
 ) -> DataFrame:
     """Bring result columns to the ranked keys, after ranking.
 
-    Hits are at most k per query: given the query table, its rows are counted and few enough queries send
-    the hits to the wide chunk table, which then is not shuffled.
+    Hits are at most k per query: given the query table, its rows are counted, and when queries times k are few
+    enough the hits are sent to the wide chunk table, which then is not shuffled.
     """
     wanted = [c for c in columns if c != key]
     rows = chunks.select(key, *wanted)
     if max_chars is not None and text in wanted:
         rows = rows.withColumn(text, F.left(F.col(text), F.lit(max_chars)))
-    few = queries is not None and queries.limit(BROADCAST_QUERIES + 1).count() <= BROADCAST_QUERIES
+    most = BROADCAST_HITS // max(k, 1)
+    few = queries is not None and queries.limit(most + 1).count() <= most
     return rows.join(F.broadcast(hits) if few else hits, key).select(*hits.columns, *wanted)
 
 

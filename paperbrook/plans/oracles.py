@@ -244,7 +244,8 @@ def by_vector(name: str, where: str = "true", k: int = 42) -> str:
   select * from (
     select *, {TOP} as rank from (
       select query_id, c.chunk_id, round(coalesce(sum(weight * a_weight), 0), 6) as score
-      from (select query_id, chunk_id, from asked, chunks where {where}) c
+      from (select query_id, chunk_id, from asked, chunks where {where}
+        and query_id in (select query_id from asked_vec) and chunk_id in (select chunk_id from chunk_vec)) c
       left join (select query_id as qid, chunk_id as cid, v.weight, a.weight as a_weight
                  from asked_vec a join chunk_vec v using (bucket)) s on s.qid = c.query_id and s.cid = c.chunk_id
       group by c.query_id, c.chunk_id
@@ -435,6 +436,18 @@ ORACLES: dict[str, str] = {
     "bm25_topk": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
     "bm25_topk_blocks": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
     "hybrid_topk": hybrid() + RANKED.format("hits"),
+    "knn_int_ids": f"select query_id::int as query_id, chunk_id, score, rank from ({knn(k=10)})",
+    "hybrid_no_hits": hybrid(search=SEARCH.replace(
+        "asked as (select item_id as query_id, text from benchmark)",
+        "asked as (select item_id as query_id, case when item_id % 2 = 0 then '. . .' else text end as text from benchmark)",
+    )) + """
+        select query_id, case when count(chunk_id) > 0 then 'OK' else 'NO_RESULTS' end as status, count(chunk_id) as num_results
+        from asked left join hits using (query_id) group by query_id""",
+    "search_envelope_json": f"{SEARCH}, {by_keyword('kw', 'month = 5', 10)}" + """
+        select query_id, '{"status":"' || case when count(chunk_id) > 0 then 'OK' else 'NO_RESULTS' end || '","num_results":'
+          || count(chunk_id) || ',"docs":[' || coalesce(string_agg('{"chunk_id":"' || chunk_id || '"}', ',' order by rank), '')
+          || ']}' as result
+        from asked left join kw using (query_id) group by query_id""",
     "hybrid_filtered": hybrid(FILTERED) + """
         select query_id, chunk_id, score, rank, chunk_text, path, year, month from hits join chunks using (chunk_id)""",
     "hybrid_one_month": hybrid("category = 'Construction' and year = 2025 and month = 5") + RANKED.format("hits"),
@@ -459,6 +472,11 @@ ORACLES: dict[str, str] = {
         select category, case when status in ('NEW', 'UPDATED') then 'INDEXED' else status end as status, version,
           count(*) as files, sum(case when status = 'DELETED' then 0 else coalesce(n, 0) end)::bigint as chunks
         from synced left join per_path using (path) group by all""",
+    "corpus_full_refresh": f"""
+        with recursive chunked as ({recursive_chunks()}), {LISTED},
+        per_path as (select path, count(*) as n from chunked group by path)
+        select category, 'INDEXED' as status, 1::bigint as version, count(*) as files, sum(coalesce(n, 0))::bigint as chunks
+        from located left join per_path using (path) group by category""",
     "corpus_answers": f"with recursive {CHUNKED_RUNS}," + hybrid(FILTERED, 10, f"""
         chunks as (
           select path, chunk_text, category, year, month, md5(path || '|' || version || '|' || ordinal) as chunk_id

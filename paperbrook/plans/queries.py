@@ -507,8 +507,15 @@ def knn_topk(spark, sf_dir):
 
 @query
 def knn_topk_blocks(spark, sf_dir):
-    """The same search by the way taken when there are too many queries to send to every task."""
-    return ranked(search.similarity_search(vector_queries(spark, sf_dir), vectors(spark, sf_dir), max_broadcast=0))
+    """The same search in several scans, as when there are too many queries for one."""
+    return ranked(search.similarity_search(vector_queries(spark, sf_dir), vectors(spark, sf_dir), max_broadcast=200))
+
+
+@query
+def knn_int_ids(spark, sf_dir):
+    """Ten nearest, with ids of a narrower type than the index has."""
+    asked = vector_queries(spark, sf_dir).withColumn("query_id", F.col("query_id").cast("int"))
+    return ranked(search.similarity_search(asked, vectors(spark, sf_dir), k=10))
 
 
 @query
@@ -530,9 +537,9 @@ def bm25_topk(spark, sf_dir):
 
 @query
 def bm25_topk_blocks(spark, sf_dir):
-    """The same search by the way taken when there are too many query terms to send to every task."""
+    """The same search in several scans, as when there are too many query terms for one."""
     return ranked(
-        search.keyword_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), max_broadcast=0)
+        search.keyword_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), max_broadcast=500)
     )
 
 
@@ -541,6 +548,16 @@ def hybrid_topk(spark, sf_dir):
     return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir)))
 
 
+@query
+def hybrid_no_hits(spark, sf_dir):
+    """Every other query has lost its words: it gets NO_RESULTS, not the first chunks."""
+    words = F.when(F.col("query_id") % 2 == 0, F.regexp_replace("text", r"[\p{L}\p{N}]", ".")).otherwise(F.col("text"))
+    queries = benchmark_queries(spark, sf_dir).withColumn("text", words)
+    hits = search.hybrid_search(queries, written_index(spark, sf_dir))
+    answers = search.result_envelope(queries, hits, ["chunk_id"])
+    return answers.select("query_id", "status", F.col("num_results").cast("bigint").alias("num_results"))
+
+
 SEARCH_FILTERS = [
     {"key": "category", "value": "Construction"},
     {"key": "year >=", "value": 2024},
@@ -590,6 +607,14 @@ def search_envelope(spark, sf_dir):
     )
 
 
+@query
+def search_envelope_json(spark, sf_dir):
+    """The keyword answers of one month to every benchmark text, each as one string."""
+    queries = benchmark_queries(spark, sf_dir)
+    hits = search.keyword_search(queries, written_index(spark, sf_dir), k=10, filters=[{"key": "month", "value": 5}])
+    return search.result_envelope(queries, hits, ["chunk_id"], as_json=True)
+
+
 @query
 def approx_topk(spark, sf_dir):
     return ranked(approx.approx_search(vector_queries(spark, sf_dir), vectors(spark, sf_dir), DIM))
@@ -623,6 +648,25 @@ def corpus_runs(spark, sf_dir):
     )
 
 
+@query
+def corpus_full_refresh(spark, sf_dir):
+    """A first run, then a full refresh in which half of the files have older times than they had: all are split again."""
+    corpus = Corpus(spark, new_run_folder(spark, "corpus"))
+    given = files(spark, sf_dir)
+    first = listing(spark, sf_dir, 2).unionByName(listing(spark, sf_dir, 1), allowMissingColumns=True)
+    first = first.dropDuplicates(["path"]).withColumn("modification_ts", F.lit(START))
+    older = F.when(F.pmod(F.length("path"), F.lit(2)) == 0, F.lit(START) - F.expr("interval 1 day")).otherwise(F.lit(START))
+    again = first.withColumn("modification_ts", older)
+    times = again.select("path", "modification_ts")
+    corpus.sync(first, given.select("path", "text"), INDEXED_AT)
+    corpus.sync(again, given.select("path", "text").join(times, "path"), INDEXED_AT, full_refresh=True)
+    per_path = corpus.chunks().groupBy("path").agg(F.count("*").alias("chunks"))
+    tracked = corpus.tracking().join(per_path, "path", "left")
+    return tracked.groupBy("category", "status", "version").agg(
+        F.count("*").alias("files"), F.sum(F.coalesce("chunks", F.lit(0))).alias("chunks")
+    )
+
+
 @query
 def corpus_answers(spark, sf_dir):
     """Filtered answers from a corpus kept in step by two runs."""

@@ -87,11 +87,9 @@ def vector_rows(n, seed, copies=False):
     return rows.tolist()
 
 
-@pytest.mark.parametrize("max_broadcast", [search.BROADCAST_QUERIES, 0])
+@pytest.mark.parametrize("max_broadcast", [search.BROADCAST_QUERIES, 4])
 @pytest.mark.parametrize("k", [1, 7, 500])
-def test_similarity_matches_brute_force_with_ties(spark, monkeypatch, max_broadcast, k):
-    monkeypatch.setattr(search, "BLOCK_QUERIES", 4)
-    monkeypatch.setattr(search, "BLOCK_ROWS", 32)
+def test_similarity_matches_brute_force_with_ties(spark, max_broadcast, k):
     found = [(f"v{i:03d}", v) for i, v in enumerate(vector_rows(90, 1, copies=True))]
     asked = list(enumerate(vector_rows(9, 2)))
     vectors = spark.createDataFrame(found, "chunk_id string, embedding array<double>").repartition(5)
@@ -122,15 +120,43 @@ def test_similarity_edge_cases(spark):
         assert hits(search.similarity_search(queries, vectors.where("chunk_id = 'x'"), max_broadcast=way)) == []
 
 
-@pytest.mark.parametrize("max_broadcast", [search.BROADCAST_TERMS, 0])
-def test_keyword_matches_brute_force(queries, index, monkeypatch, max_broadcast):
-    monkeypatch.setattr(search, "BLOCK_QUERIES", 2)
-    monkeypatch.setattr(search, "BLOCK_ROWS", 50)
+@pytest.mark.parametrize("max_broadcast", [search.BROADCAST_TERMS, 2])
+def test_keyword_matches_brute_force(queries, index, max_broadcast):
     asked = [(r.query_id, r.text) for r in queries.collect()]
     result = search.keyword_search(queries, index, 10, max_broadcast=max_broadcast)
     assert hits(result) == brute_bm25(make_rows(120), asked, 10)
 
 
+@pytest.mark.parametrize("kind", ["int", "smallint", "bigint", "string", "date", "decimal(9,0)"])
+def test_query_ids_of_any_type(spark, index, kind):
+    given = {"date": ["2024-01-01", "2024-01-02"]}.get(kind, ["1", "2"])
+    rows = spark.createDataFrame([(i, "alpha beta") for i in given], "i string, text string")
+    queries = embed(rows.select(F.col("i").cast(kind).alias("query_id"), "text"))
+    for found in (search.similarity_search(queries, index, 3), search.keyword_search(queries, index, 3),
+                  search.hybrid_search(queries, index, 3), approx.approx_search(queries, index, 64, 3)):
+        assert dict(found.dtypes)["query_id"] == kind and found.count() >= 0
+    with pytest.raises(ValueError, match="more than once"):
+        search.similarity_search(queries.union(queries), index)
+    with pytest.raises(ValueError, match="more than once"):
+        search.keyword_search(queries.union(queries), index)
+
+
+def test_a_query_without_tokens_has_no_hits(spark, index, chunks):
+    queries = spark.createDataFrame([(1, "... !!!"), (2, None)], "query_id int, text string")
+    found = search.with_columns(search.hybrid_search(queries, index, 3), chunks, ["path"])
+    answers = search.result_envelope(queries, found, ["path"]).collect()
+    assert [(r.status, r.num_results) for r in answers] == [("NO_RESULTS", 0)] * 2
+
+
+def test_the_index_is_never_exchanged(spark, tmp_path):
+    vectors = spark.createDataFrame(list(enumerate(vector_rows(50, 1))), "chunk_id long, embedding array<double>")
+    vectors.write.parquet(f"{tmp_path}/v")
+    index = spark.read.parquet(f"{tmp_path}/v")
+    queries = vectors.select(F.col("chunk_id").alias("query_id"), "embedding")
+    plan = search.similarity_search(queries, index, 3, max_broadcast=10)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") >= 5 and all("embedding" not in line for line in plan.splitlines() if "Exchange" in line)
+
+
 def test_keyword_filter_holds_before_ranking_and_weights_stay_global(queries, index):
     asked = [(r.query_id, r.text) for r in queries.collect()]
     items = [{"key": "category", "value": "Housing"}, {"key": "month <", "value": 9}]
@@ -222,7 +248,7 @@ def test_approx_search_scores_candidates_exactly(spark):
         mine = sorted((r for r in best if r[0] == q), key=lambda r: (-r[2], r[1]))[:5]
         expected += [(*r, n) for n, r in enumerate(mine, 1)]
     assert result == sorted(expected)
-    assert hits(approx.approx_search(queries, hashed, 8, k=5, bits=3, max_broadcast=0)) == result
+    assert hits(approx.approx_search(queries, hashed, 8, k=5, bits=3, max_broadcast=7)) == result
 
 
 def test_approx_search_prunes_a_written_index(spark, tmp_path):
@@ -235,5 +261,6 @@ def test_approx_search_prunes_a_written_index(spark, tmp_path):
     with_values = result._jdf.queryExecution().optimizedPlan().toString()
     assert "lsh_table" in with_values and "LeftSemi" not in with_values
     files = sum(1 for _ in (tmp_path / "h").rglob("*.parquet"))
-    read = spark.read.parquet(f"{tmp_path}/h").where(approx._has_code(approx.hash_vectors(queries, 8, bits=3).collect()))
+    codes = queries.select(approx.plane_codes(F.col("embedding"), 8, bits=3).alias("codes")).collect()
+    read = spark.read.parquet(f"{tmp_path}/h").where(approx._has_code(codes))
     assert len(read.select(F.input_file_name()).distinct().collect()) < files
