@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from paperbrook.llm.common import written
+
 # The three base patterns in the order of their listing (fixed values). A run is always taken whole, so the least
 # length of the last two can stand in the pattern; the first takes short values too, which then fail.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -101,6 +103,7 @@ def scan(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", text.alias("text"))
     rows = rows.select("row", "doc_id", F.posexplode_outer(every).alias("at", "m")).select("row", "doc_id", "at", "m.*")
     before = W.partitionBy("row", "kind").orderBy("at").rowsBetween(W.unboundedPreceding, 0)
+    rows = written(rows, "matches")  # read twice below, and row numbers hold for one reading only
     placed = rows.withColumn("end", F.sum(F.col("gap") + F.col("n")).over(before))
     placed = placed.withColumn("start", F.col("end") - F.col("n"))
     value = F.regexp_extract("match", ASSIGN, 2)
