@@ -487,4 +487,9 @@ ORACLES: dict[str, str] = {
         from asked left join (select * from hits join chunks using (chunk_id)) using (query_id) group by query_id""",
     "track_streamed": MERGED + "select path, length, mtime, category, year, month, status2 as status, version, is_current from ("
         "select *, case when status = 'INDEXED' then 'NEW' else status end as status2 from merged)",
+    "files_streamed": f"""
+        with recursive chunked as ({recursive_chunks().replace("select path, text from located", "select path, text || chr(10) as text from located")}),
+        {LISTED}, per_path as (select path, count(*) as n from chunked group by path)
+        select path, category, year, month, 'INDEXED' as status, 1::bigint as version, coalesce(n, 0) as chunks
+        from located left join per_path using (path)""",
 }

@@ -22,7 +22,7 @@ from paperbrook.session import new_run_folder
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.sources.schemas import TRACKING
 from paperbrook.sources.tables import balance, empty_tracking, write_snapshot
-from paperbrook.streaming.files import latest_batch, track_stream
+from paperbrook.streaming.files import index_stream, latest_batch, stream_new_files, track_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -289,14 +289,15 @@ def joined_pages(spark, sf_dir):
 
 
 def text_folder(spark, sf_dir) -> str:
-    """Documents written as text files, one folder per language."""
+    """Every document written as a text file of its own, in a folder per language and document."""
     folder = new_run_folder(spark, "files")
-    table(spark, sf_dir, "documents").select("lang", "text").write.partitionBy("lang").text(folder)
+    docs = table(spark, sf_dir, "documents").select("lang", "doc_id", "text")
+    docs.write.partitionBy("lang", "doc_id").text(folder)
     return folder
 
 
 def parent_folder(path: Column) -> Column:
-    return F.element_at(paths.path_levels(path), -2)
+    return F.element_at(paths.path_levels(path), -3)
 
 
 @query
@@ -690,3 +691,29 @@ def track_streamed(spark, sf_dir):
         arrivals = spark.readStream.schema(schema).parquet(f"{folder}/listings")
         track_stream(arrivals, folder, ROOT, START)
     return track_rows(latest_batch(spark, folder)).drop("indexed")
+
+
+def written_file(path: Column) -> Column:
+    """The path a document would have, from that of the file Spark wrote for it: folders without column names."""
+    return F.regexp_replace(F.regexp_replace(path, "/[a-z_]+=", "/"), "/([0-9]+)/part-[^/]*$", "/$1.txt")
+
+
+@query
+def files_streamed(spark, sf_dir):
+    """Real files, one for each document, arriving in two lots and indexed by a stream of their bytes."""
+    root, corpus = new_run_folder(spark, "arrivals"), Corpus(spark, new_run_folder(spark, "corpus"))
+    levels = F.split(F.col("path"), "/")
+    docs = files(spark, sf_dir).select(
+        "text", *[F.get(levels, F.lit(at)).alias(name) for at, name in ((2, "category"), (3, "year"), (4, "month"))],
+        F.regexp_replace(F.get(levels, F.lit(5)), "[.]txt$", "").cast("bigint").alias("doc_id"),
+    )
+    for lot in (0, 1):
+        half = docs.where(F.col("doc_id") % 2 == lot)
+        half.write.mode("append").partitionBy("category", "year", "month", "doc_id").text(f"{root}/documents")
+        arriving = stream_new_files(spark, f"{root}/documents", "*.[tT][xX][tT]", content=True)
+        named = arriving.withColumn("path", F.concat(F.lit(ROOT), F.substring_index(written_file(F.col("path")), "/documents/", -1)))
+        index_stream(named, corpus, ROOT, INDEXED_AT)
+    per_path = corpus.chunks().groupBy("path").agg(F.count("*").alias("chunks"))
+    return corpus.tracking().join(per_path, "path", "left").select(
+        "path", "category", "year", "month", "status", "version", F.coalesce("chunks", F.lit(0)).alias("chunks")
+    )

@@ -11,7 +11,14 @@ from paperbrook.operators.index import build_index
 from paperbrook.plans.corpus import Corpus
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.functions.text import decode_text
-from paperbrook.streaming.files import index_stream, stream_new_files, track_stream
+from paperbrook.streaming.files import (
+    fold_stream,
+    index_stream,
+    last_batch,
+    latest_batch,
+    stream_new_files,
+    track_stream,
+)
 
 T0 = datetime(2024, 1, 1)
 
@@ -239,3 +246,33 @@ def test_lost_tracking_is_an_error(spark, corpus, monkeypatch):
         corpus.tracking()
     with pytest.raises(AnalysisException):
         corpus.sync(listing(spark, TWO), texts(spark, TWO), T0)
+
+
+def test_a_fresh_checkpoint_goes_on_from_the_last_batch(spark, tmp_path):
+    root, folder = tmp_path / "in", str(tmp_path / "state")
+    target = root / "Housing" / "2024" / "May"
+    target.mkdir(parents=True)
+    files = lambda: stream_new_files(spark, str(root), "*.txt")
+    names = lambda df: sorted(r.path[-5:] for r in df.collect())
+    for name in ("a.txt", "b.txt"):
+        (target / name).write_bytes(b"x")
+        track_stream(files(), folder, f"file:{root}/", T0)
+    (target / "c.txt").write_bytes(b"x")
+    again = track_stream(files(), folder, f"file:{root}/", T0)
+    assert names(again) == ["a.txt", "b.txt", "c.txt"]
+    written = spark.read.parquet(f"{folder}/tracking/batch=2")
+    assert names(written) == ["c.txt"]
+    folded = fold_stream(spark, folder)
+    assert names(folded) == names(again) and last_batch(spark, folder) == 3
+    (tmp_path / "state" / "checkpoint").rename(tmp_path / "old-checkpoint")
+    (target / "d.txt").write_bytes(b"x")
+    after = track_stream(files(), folder, f"file:{root}/", T0)
+    assert names(after) == ["a.txt", "b.txt", "c.txt", "d.txt"]
+    assert {r.version for r in after.collect()} == {1}
+
+
+def test_a_lost_batch_is_an_error(spark, tmp_path):
+    folder = str(tmp_path / "state")
+    spark.range(1).write.parquet(f"{folder}/done/batch=4")
+    with pytest.raises(AnalysisException):
+        latest_batch(spark, folder)
