@@ -152,18 +152,26 @@ def vector_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("query_id"), "embedding")
 
 
-_written: dict[tuple[str, str], DataFrame] = {}
+_written: dict[tuple[str, str, str], DataFrame] = {}
 
 
-def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The index over all chunks, written to the shared folder once per application, as a search would find it."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+def written_once(spark: SparkSession, sf_dir: str, label: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A table in the shared folder, written by the first query of an application that asks for it."""
+    at = (spark.sparkContext.applicationId, sf_dir, label)
     if at not in _written:
-        built = build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))
-        _written[at] = write_snapshot(built, new_run_folder(spark, "index"))
+        _written[at] = write_snapshot(build(), new_run_folder(spark, label))
     return _written[at]
 
 
+def written_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return written_once(spark, sf_dir, "chunks", lambda: chunking.make_chunks(files(spark, sf_dir), fixed=True))
+
+
+def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index over all chunks, as a search would find it."""
+    return written_once(spark, sf_dir, "index", lambda: build_index(written_chunks(spark, sf_dir)))
+
+
 def ranked(hits: DataFrame, *more: str) -> DataFrame:
     return hits.select("query_id", "chunk_id", "score", F.col("rank").cast("bigint").alias("rank"), *more)
 
@@ -387,9 +395,9 @@ def chunk_delete(spark, sf_dir):
     return chunk_rows(chunk_store.chunk_delete(old_chunks(spark, sf_dir), gone_paths(spark, sf_dir)))
 
 
-def next_chunks(spark, sf_dir):
+def next_chunks(spark, sf_dir, old):
     """Day one's chunks after an upsert on equal ids and the removal of a source."""
-    upserted = chunk_store.chunk_upsert(old_chunks(spark, sf_dir), new_chunks(spark, sf_dir, version_in_id=False))
+    upserted = chunk_store.chunk_upsert(old, new_chunks(spark, sf_dir, version_in_id=False))
     return chunk_store.chunk_delete(upserted, gone_paths(spark, sf_dir))
 
 
@@ -400,17 +408,16 @@ def touched_paths(spark, sf_dir):
 
 @query
 def chunk_changes(spark, sf_dir):
-    feed = chunk_store.change_feed(
-        old_chunks(spark, sf_dir), next_chunks(spark, sf_dir), scope=touched_paths(spark, sf_dir)
-    )
+    old = write_snapshot(old_chunks(spark, sf_dir), new_run_folder(spark, "chunks"))
+    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir, old), scope=touched_paths(spark, sf_dir))
     return chunk_rows(feed, F.col("_change_type").alias("change_type"))
 
 
 @query
 def chunk_changes_applied(spark, sf_dir):
     """The feed applied to the old table is the new table."""
-    old = old_chunks(spark, sf_dir)
-    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir), scope=touched_paths(spark, sf_dir))
+    old = write_snapshot(old_chunks(spark, sf_dir), new_run_folder(spark, "chunks"))
+    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir, old), scope=touched_paths(spark, sf_dir))
     return chunk_rows(chunk_store.apply_changes(old, feed))
 
 
@@ -478,8 +485,8 @@ def index_postings(spark, sf_dir):
 
 def synced_index(spark, sf_dir) -> DataFrame:
     """Day one's index after the feed of the chunk changes, which is written first, as it is read twice."""
-    old = old_chunks(spark, sf_dir)
-    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir), scope=touched_paths(spark, sf_dir))
+    old = write_snapshot(old_chunks(spark, sf_dir), new_run_folder(spark, "chunks"))
+    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir, old), scope=touched_paths(spark, sf_dir))
     return sync_index(build_index(old), write_snapshot(feed, new_run_folder(spark, "feed")))
 
 
@@ -571,9 +578,8 @@ def hybrid_filtered(spark, sf_dir):
     """Hits of a filtered search with their result columns."""
     queries = benchmark_queries(spark, sf_dir)
     hits = search.hybrid_search(queries, written_index(spark, sf_dir), filters=SEARCH_FILTERS)
-    chunks = chunking.make_chunks(files(spark, sf_dir), fixed=True)
     columns = ["chunk_text", "path", "year", "month"]
-    return ranked(search.with_columns(hits, chunks, columns, queries=queries), *columns)
+    return ranked(search.with_columns(hits, written_chunks(spark, sf_dir), columns, queries=queries), *columns)
 
 
 @query

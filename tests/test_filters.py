@@ -3,52 +3,52 @@ import pytest
 from paperbrook.operators.filters import apply_filters, parse_key
 
 ROWS = [
-    (1, "red", "blue", 5, "Hello big World"),
-    (2, "blue", "green", 9, "othello"),
-    (3, "green", "red", 12, "say hello_world"),
+    (1, "amber", "teal", 5, "River wide Bridge"),
+    (2, "teal", "olive", 9, "driver"),
+    (3, "olive", "amber", 12, "old river_bridge"),
     (4, None, None, None, None),
 ]
 
 
 @pytest.fixture(scope="module")
 def df(spark):
-    return spark.createDataFrame(ROWS, "id int, color1 string, color2 string, price int, title string")
+    return spark.createDataFrame(ROWS, "id int, shade string, trim string, weight int, note string")
 
 
 @pytest.mark.parametrize("key,value,ids", [
-    ("color1", "red", [1]),
+    ("shade", "amber", [1]),
     ("id", [1, 3], [1, 3]),
     ("id", [3], [3]),
-    ("color1 NOT", "red", [2, 3]),
-    ("color1 NOT", ["red", "blue"], [3]),
-    ("price <", 9, [1]),
-    ("price <=", 9, [1, 2]),
-    ("price >", 9, [3]),
-    ("price>=", 9, [2, 3]),
-    ("color1 OR color2", ["red", "yellow"], [1, 3]),
-    ("title LIKE", "hello", [1, 3]),
-    ("title LIKE", "WORLD hello", [1, 3]),
-    ("title LIKE", "big", [1]),
+    ("shade NOT", "amber", [2, 3]),
+    ("shade NOT", ["amber", "teal"], [3]),
+    ("weight <", 9, [1]),
+    ("weight <=", 9, [1, 2]),
+    ("weight >", 9, [3]),
+    ("weight>=", 9, [2, 3]),
+    ("shade OR trim", ["amber", "white"], [1, 3]),
+    ("note LIKE", "river", [1, 3]),
+    ("note LIKE", "BRIDGE river", [1, 3]),
+    ("note LIKE", "wide", [1]),
 ])
 def test_operators(df, key, value, ids):
     assert sorted(r.id for r in apply_filters(df, [{"key": key, "value": value}]).collect()) == ids
 
 
 def test_items_are_joined_by_and(df):
-    items = [{"key": "price >", "value": 5}, {"key": "color2", "value": ["red", "blue"]}]
+    items = [{"key": "weight >", "value": 5}, {"key": "trim", "value": ["amber", "teal"]}]
     assert [r.id for r in apply_filters(df, items).collect()] == [3]
     assert apply_filters(df, []).count() == apply_filters(df, None).count() == 4
 
 
 @pytest.mark.parametrize("item", [
-    {"key": "colour", "value": "red"},
-    {"key": "color1 OR nothing", "value": "red"},
-    {"key": "price", "value": "nine"},
-    {"key": "price", "value": True},
-    {"key": "color1", "value": 5},
-    {"key": "price LIKE", "value": "5"},
-    {"key": "title LIKE", "value": "..."},
-    {"key": "price <", "value": [1, 2]},
+    {"key": "tone", "value": "amber"},
+    {"key": "shade OR nothing", "value": "amber"},
+    {"key": "weight", "value": "nine"},
+    {"key": "weight", "value": True},
+    {"key": "shade", "value": 5},
+    {"key": "weight LIKE", "value": "5"},
+    {"key": "note LIKE", "value": "..."},
+    {"key": "weight <", "value": [1, 2]},
     {"key": "id", "value": []},
     {"key": "", "value": 1},
     {"key": "id"},
@@ -60,9 +60,9 @@ def test_bad_filters_are_refused_before_any_job(df, item):
 
 
 def test_domains_and_allowed_columns(df):
-    ok = {"allowed": ["price", "color1"], "domains": {"price": (1, 12), "color1": ["red", "blue"]}}
-    assert apply_filters(df, [{"key": "price", "value": 12}], **ok).count() == 1
-    for item in [{"key": "price", "value": 13}, {"key": "color1", "value": "green"}, {"key": "id", "value": 1}]:
+    ok = {"allowed": ["weight", "shade"], "domains": {"weight": (1, 12), "shade": ["amber", "teal"]}}
+    assert apply_filters(df, [{"key": "weight", "value": 12}], **ok).count() == 1
+    for item in [{"key": "weight", "value": 13}, {"key": "shade", "value": "olive"}, {"key": "id", "value": 1}]:
         with pytest.raises(ValueError):
             apply_filters(df, [item], **ok)
 
@@ -76,6 +76,6 @@ def test_parse_key():
 
 def test_comparisons_reach_the_scan(spark, df, tmp_path):
     df.write.parquet(f"{tmp_path}/t")
-    plan = apply_filters(spark.read.parquet(f"{tmp_path}/t"), [{"key": "price >=", "value": 9}, {"key": "color1", "value": "blue"}])
+    plan = apply_filters(spark.read.parquet(f"{tmp_path}/t"), [{"key": "weight >=", "value": 9}, {"key": "shade", "value": "teal"}])
     text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "GreaterThanOrEqual(price,9)" in text and "EqualTo(color1,blue)" in text
+    assert "GreaterThanOrEqual(weight,9)" in text and "EqualTo(shade,teal)" in text
