@@ -99,26 +99,41 @@ def linked_pairs(nodes: np.ndarray, signatures: np.ndarray, radius: int) -> list
 
 
 def in_buckets(members: DataFrame, radius: int, words: int) -> DataFrame:
-    """Links (a, b) within buckets, each one array of (node, f0, ...); those of two are compared all at once."""
+    """Links (a, b) among the members (bucket, node, f0, ...) of each bucket.
+
+    A bucket's rows stand together after the sort and are compared as they come by; those of two all at once.
+    """
+
+    def compare(columns: list[np.ndarray]) -> pa.RecordBatch:
+        bucket, nodes, signatures = columns[0], columns[1], np.column_stack(columns[2:]).view(np.uint64)
+        starts = np.append(0, np.flatnonzero(np.diff(bucket)) + 1)
+        ends = np.append(starts[1:], len(bucket))
+        two = starts[ends - starts == 2]
+        near = two[np.bitwise_count(signatures[two] ^ signatures[two + 1]).sum(1, dtype=np.int64) <= radius]
+        a, b = [nodes[near]], [nodes[near + 1]]
+        for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
+            pairs = np.array(linked_pairs(nodes[start:end], signatures[start:end], radius), np.int64).reshape(-1, 2)
+            a.append(pairs[:, 0])
+            b.append(pairs[:, 1])
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] | None = None
         for batch in batches:
-            column = batch.column(0)
-            fields = [f.to_numpy(zero_copy_only=False) for f in column.flatten().flatten()]
-            nodes, signatures = fields[0], np.column_stack(fields[1:]).view(np.uint64)
-            ends = np.cumsum(column.value_lengths().to_numpy())
-            starts = np.append(0, ends[:-1]) if len(ends) else ends
-            two = starts[ends - starts == 2]
-            far = np.bitwise_count(signatures[two] ^ signatures[two + 1]).sum(1, dtype=np.int64) if len(two) else two
-            near = two[far <= radius]
-            a, b = [nodes[near]], [nodes[near + 1]]
-            for start, end in zip(starts[ends - starts > 2], ends[ends - starts > 2], strict=True):
-                pairs = np.array(linked_pairs(nodes[start:end], signatures[start:end], radius), np.int64).reshape(-1, 2)
-                a.append(pairs[:, 0])
-                b.append(pairs[:, 1])
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in (a, b)], ["a", "b"])
-
-    return members.mapInArrow(run, "a bigint, b bigint")
+            if not batch.num_rows:
+                continue
+            fresh = [c.to_numpy() for c in batch.columns]
+            held = fresh if held is None else [np.concatenate(x) for x in zip(held, fresh, strict=True)]
+            last = int(np.searchsorted(held[0], held[0][-1]))  # the last bucket may go on in the next batch
+            if last:
+                yield compare([c[:last] for c in held])
+                held = [c[last:] for c in held]
+        if held is not None:
+            yield compare(held)
+
+    columns = ["bucket", "node", *(f"f{at}" for at in range(words))]
+    dealt = members.select(*columns).repartition("bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
 def ball_links(nodes: DataFrame, radius: int) -> DataFrame:
@@ -153,8 +168,8 @@ def dense_pairs(members: DataFrame, radius: int, words: int, block: int) -> Data
     dealt = own.withColumn("other", F.explode(others)).select(
         "bucket", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), *columns
     )
-    grouped = dealt.groupBy("bucket", "i", "j").agg(F.collect_set(F.struct(*columns)).alias("m")).select("m")
-    return in_buckets(grouped, radius, words)
+    together = dealt.withColumn("bucket", F.xxhash64("bucket", "i", "j")).distinct()
+    return in_buckets(together, radius, words)
 
 
 def links(
@@ -173,13 +188,11 @@ def links(
             kept = F.col(f"f{word}").bitwiseAND(F.lit(signed(mask)))
             keys.append(F.xxhash64(F.lit(word * 1000 + number), kept))
     buckets = classes.select(*columns, F.explode(F.array(*keys)).alias("bucket"))
-    sizes = written(buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1"), "buckets")
-    members = buckets.join(sizes, "bucket")
-    small = members.where(F.col("n") <= dense).groupBy("bucket")
-    pairs = in_buckets(small.agg(F.collect_list(F.struct(*columns)).alias("m")).select("m"), link_radius, words)
-    large = sizes.where(F.col("n") > dense)
+    large = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where(F.col("n") > dense)
+    large = written(large, "buckets")
     if large.isEmpty():
-        return pairs
+        return in_buckets(buckets, link_radius, words)
+    pairs = in_buckets(buckets.join(large, "bucket", "left_anti"), link_radius, words)
     crowded = written(buckets.join(large, "bucket"), "dense")
     if words == 1 and bits == 64 and table_radius == link_radius:
         return pairs.union(ball_links(crowded.select("f0").distinct(), link_radius))
