@@ -52,6 +52,11 @@ def build_index(vectors: DataFrame, pivots: np.ndarray) -> DataFrame:
     return vectors.mapInArrow(run, "vec_id bigint, v array<double>, ranks binary")
 
 
+def inner_products(rows: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Row by row in the same order of additions, so equal vectors score alike wherever they stand in a block."""
+    return (rows * query).sum(1)
+
+
 def search_block(
     ids: np.ndarray, vectors: np.ndarray, ranks: np.ndarray, query_ids: np.ndarray, queries: np.ndarray,
     query_ranks: np.ndarray, k: int, share: float,
@@ -59,12 +64,13 @@ def search_block(
     """(query number, row numbers, scores): of each query its best k rows of the block.
 
     The inverted file of a pivot lists the rows that have it among their nearest. A query reads the files of its own
-    nearest pivots, orders what it finds by the footrule (the sum of differences of ranks), and compares the best
-    of that order exactly.
+    nearest pivots, orders what it finds by the footrule (the sum of differences of ranks, ties to the smaller id),
+    and compares the best of that order exactly.
     """
     pivots = ranks.shape[1]
     files = [np.flatnonzero(ranks[:, p] < POSTED) for p in range(pivots)]
     wide = ranks.astype(np.int16)
+    place = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
     keep = max(LEAST, k, int(np.ceil(share * len(ids))))
     for number in range(len(query_ids)):
         met = np.zeros(len(ids), dtype=bool)
@@ -76,8 +82,9 @@ def search_block(
             found = np.flatnonzero(ids != query_ids[number])
         if len(found) > keep:
             footrule = np.abs(wide[found] - query_ranks[number].astype(np.int16)).sum(1, dtype=np.int32)
-            found = found[np.argpartition(footrule, keep - 1)[:keep]]
-        scores = vectors[found] @ queries[number]
+            order = footrule.astype(np.int64) * len(ids) + place[found]
+            found = found[np.argpartition(order, keep - 1)[:keep]]
+        scores = inner_products(vectors[found], queries[number])
         best = np.lexsort((ids[found], -scores))[:k]
         yield number, found[best], scores[best]
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from paperbrook.llm import chaining, components, decontaminate, mixing, packing, quality, secret_scan, simhash, toxicity, warc
+from paperbrook.llm import chaining, components, decontaminate, mixing, packing, permutation, quality, secret_scan, simhash, toxicity, warc
 
 
 @pytest.mark.parametrize(("bits", "radius"), [(64, 4), (32, 3), (12, 2)])
@@ -231,6 +231,17 @@ def test_best_fit_decreasing():
             assert spans[0][0] == 0 and all(a[1] == b[0] for a, b in zip(spans, spans[1:], strict=False)) and spans[-1][1] <= 50
 
 
+def test_equal_vectors_come_in_the_order_of_their_ids(spark):
+    rng = np.random.default_rng(4)
+    one, other = (rng.normal(size=33).tolist() for _ in range(2))
+    ids = rng.permutation(np.arange(1, 1004)).tolist()
+    rows = [(i, one) for i in ids] + [(2000 + i, other) for i in ids] + [(0, one)]
+    given = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3, "vec_id")
+    found = permutation.nearest(given, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.rank, r.vec_id) for r in found] == [(i, i) for i in range(1, 21)]
+    assert len({r.score for r in found}) == 1
+
+
 def test_selected_records_are_read_alone(spark, tmp_path):
     rows = [(i, f"http://h/{i}", f"<p>{i % 40}</p>" * (i % 5 + 1)) for i in range(300)]
     given = spark.createDataFrame(rows, "page_id bigint, url string, html string")
