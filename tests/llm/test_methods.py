@@ -108,6 +108,22 @@ def test_a_passage_in_many_texts_makes_a_row_for_each(documents):
     assert len(found) == 49 and {r.doc_id for r in found} | {r.other_id for r in found} == set(range(50))
 
 
+def test_a_passage_of_lines_that_stand_alone_in_many_texts(documents):
+    texts = []
+    for number in range(6):
+        rng = random.Random(number)
+
+        def fresh(count, rng=rng, number=number):
+            return " ".join(f"w{number}x{rng.randrange(10**9)}" for _ in range(count))
+
+        lines = [fresh(10) for _ in range(6)]
+        texts += [" ".join([fresh(100), *lines, fresh(100)]) for _ in "ab"]
+        texts += [" ".join(f"{line} {fresh(3)}" for line in rng.sample(lines, 6)) for _ in range(60)]
+    found = chaining.repeated_passages(documents(texts)).collect()
+    pairs = {frozenset((r.doc_id, r.other_id)) for r in found}
+    assert {frozenset((62 * n, 62 * n + 1)) for n in range(6)} <= pairs
+
+
 def test_windows_by_brute_force(spark, documents):
     rng = random.Random(8)
     items = [" ".join(rng.choice("abcd") for _ in range(n)) for n in (1, 2, 3, 9, 10, 11, 14, 30)]
