@@ -60,6 +60,26 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 for i in range(201)} | {400: 400, 500: 400}
 
 
+def random_tree(rng, count, path):
+    ids = rng.sample(range(1, 1000), count)
+    return [(ids[at], ids[at - 1 if path else rng.randrange(at)]) for at in range(1, count)]
+
+
+def roots_of(spark, links):
+    found = components.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert len(found) == len({r.node for r in found})
+    return {r.node: r.root for r in found}
+
+
+def test_components_end_with_one_root_for_each_node(spark):
+    assert roots_of(spark, [(4, 3), (4, 1), (5, 3), (5, 2)]) == {i: 1 for i in range(1, 6)}
+    for seed in (1, 2, 32):  # 1 and 32 leave a node with two parents when no parent is a child
+        rng = random.Random(seed)
+        tree = random_tree(rng, rng.randint(5, 20), path=seed % 2 == 0)
+        nodes = {n for link in tree for n in link}
+        assert roots_of(spark, tree) == {n: min(nodes) for n in nodes}
+
+
 def test_chains_are_the_best_rising_ones():
     def worth(chain):
         skipped = sum(b[0] - a[0] + b[1] - a[1] for a, b in zip(chain, chain[1:], strict=False))
