@@ -97,6 +97,35 @@ def test_chains_are_the_best_rising_ones():
         assert math.isclose(max([worth(c) for c in found], default=chaining.SEED_GAIN), best)
 
 
+@pytest.mark.parametrize("first", [50, 200, 2000])
+def test_a_second_passage_has_a_chain_of_its_own_at_every_gap(first):
+    for gap in (97, 150, 300, 1000, 5000):
+        for side in ((gap, 0), (0, gap), (gap, gap)):
+            one = [(at, at) for at in range(0, first, 9)]
+            two = [(first + side[0] + at, first + side[1] + at) for at in range(0, 60, 9)]
+            found = chaining.chains_of(one + two)
+            assert sorted(found) == [one, two]
+
+
+def test_two_passages_of_one_pair_of_texts(documents):
+    rng = random.Random(15)
+
+    def fresh(count):
+        return [f"w{rng.randrange(10**9)}" for _ in range(count)]
+
+    texts, gaps = [], (110, 200, 400)
+    for gap in gaps:
+        one, two = fresh(400), fresh(60)
+        texts += [" ".join(fresh(20) + one + fresh(gap) + two + fresh(20)) for _ in "ab"]
+    spans = {at: [] for at in range(len(texts))}
+    for r in chaining.repeated_passages(documents(texts)).collect():
+        spans[r.doc_id].append((r.start, r.end))
+        spans[r.other_id].append((r.other_start, r.other_end))
+    for at, gap in enumerate(gaps):
+        want = [(20, 420), (420 + gap, 480 + gap)]
+        assert sorted(spans[2 * at]) == sorted(spans[2 * at + 1]) == want
+
+
 def test_shared_runs_share_a_seed():
     rng = random.Random(5)
     memo = chaining.WordHashes()
