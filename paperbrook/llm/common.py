@@ -47,13 +47,22 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def without(docs: DataFrame, ids: DataFrame, label: str) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is not among ``ids``; null ids match null ids.
+def text_key(docs: DataFrame) -> Column:
+    """With the doc_id, what tells rows apart that share an id or have none."""
+    return F.xxhash64(docs["text"])
 
-    The ids are written first, so the planner sends them to every task when they are few and moves no text.
+
+def without(docs: DataFrame, keys: DataFrame, label: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id and :func:`text_key` are not among ``keys``; null ids match null ids.
+
+    The keys are written first, so the planner sends them to every task when they are few and moves no text.
     """
-    gone = written(ids.select(F.col("doc_id").alias("gone_id")).distinct(), label)
-    return docs.join(gone, docs["doc_id"].eqNullSafe(gone["gone_id"]), "left_anti")
+    gone = keys.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")).distinct()
+    return docs.join(gone := written(gone, label), same_row(docs, gone), "left_anti")
+
+
+def same_row(docs: DataFrame, gone: DataFrame) -> Column:
+    return docs["doc_id"].eqNullSafe(gone["gone_id"]) & (text_key(docs) == gone["gone_text"])
 
 
 def slices(count: int, size: int) -> Iterator[slice]:

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import slices, without, written
+from paperbrook.llm.common import same_row, slices, text_key, without, written
 from paperbrook.llm.components import components
 
 HASH_SEED = 42
@@ -45,9 +45,10 @@ def fingerprint(hashes: np.ndarray, mixed: int = 0) -> int:
     return int(np.packbits(2 * total > len(hashes), bitorder="little").view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, words_each: int = 4, words: int = 1) -> DataFrame:
+def fingerprints(docs: DataFrame, words_each: int = 4, words: int = 1, keyed: bool = False) -> DataFrame:
     """(doc_id, f0, f1, ...) for every row, null and empty texts included: those have zero fingerprints.
 
+    With ``keyed`` the text_key comes after the doc_id.
     Each 64-bit word comes from its own mixing of the same shingle hashes; the first is the plain hash.
     """
 
@@ -58,11 +59,13 @@ def fingerprints(docs: DataFrame, words_each: int = 4, words: int = 1) -> DataFr
                 for hashes in (shingle_hashes(t, words_each) for t in batch.column(1).cast(pa.binary()).to_pylist())
             ]
             columns = [pa.array([row[at] for row in rows], pa.int64()) for at in range(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["doc_id", *(f"f{at}" for at in range(words))])
+            kept = [batch.column(name) for name in names]
+            yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, *(f"f{at}" for at in range(words))])
 
-    columns = ", ".join(f"f{at} bigint" for at in range(words))
-    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return given.mapInArrow(run, f"doc_id bigint, {columns}")
+    names = ["doc_id", "text_key"] if keyed else ["doc_id"]
+    columns = ", ".join(f"{name} bigint" for name in [*names, *(f"f{at}" for at in range(words))])
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(docs).alias("text_key"))
+    return given.select("doc_id", "text", *names[1:]).mapInArrow(run, columns)
 
 
 def covering_masks(bits: int, radius: int, seed: int = 1) -> list[int]:
@@ -201,19 +204,21 @@ def links(
 
 def near_duplicates(
     docs: DataFrame, words_each: int = 4, words: int = 1, bits: int = 64, table_radius: int = 4, link_radius: int = 4,
-    dense: int = DENSE,
+    dense: int = DENSE, keyed: bool = False,
 ) -> DataFrame:
     """(doc_id, f0, ..., component_id) for every row of ``docs`` (doc_id, text).
 
     Rows with equal signatures are one class; classes are linked by at most ``link_radius`` differing bits.
     ``component_id`` is the smallest doc_id reachable. Null and empty texts have the zero fingerprint and are
     linked like any other; rows with a null doc_id get the component of their class, null if no row of it has an
-    id. Repeated rows give repeated results. Other columns are not read.
+    id. Repeated rows give repeated results. Other columns are not read. With ``keyed`` there is a text_key too, and
+    ``component_id`` is the first of doc_id, null last, and text_key (none, doc_id, text_key).
     """
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key") if keyed else F.col("doc_id")
     sign = [f"f{at}" for at in range(words)]
-    prints = written(fingerprints(docs, words_each, words), "fingerprints")
+    prints = written(fingerprints(docs, words_each, words, keyed), "fingerprints")
     node = F.col("f0") if words == 1 else F.xxhash64(*sign)
-    classes = prints.groupBy(*sign).agg(F.min("doc_id").alias("first_id")).withColumn("node", node)
+    classes = prints.groupBy(*sign).agg(F.min(first).alias("first_id")).withColumn("node", node)
     classes = written(classes, "classes")
     roots = components(links(classes, words, bits, table_radius, link_radius, dense))
     placed = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
@@ -232,15 +237,23 @@ def similar_texts(docs: DataFrame) -> DataFrame:
     with 15 tables each, over 32 bits at radius 3, bring 97% of such pairs together at 0.8 and 99% at 0.85; the
     closer, the more, and all that differ in three of the 32 bits of any word.
     """
-    return near_duplicates(docs, words_each=5, words=4, bits=32, table_radius=3, link_radius=50)
+    return near_duplicates(docs, words_each=5, words=4, bits=32, table_radius=3, link_radius=50, keyed=True)
 
 
 def keep_firsts(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that are the first of their group of :func:`similar_texts`, all columns as they are.
 
-    The smallest id of a group stays, in all rows that share it. Rows without an id go as soon as one of them is
-    like a row with an id, for nothing tells them apart.
+    One row of a group stays: the smallest id, rows without an id last, then the smallest text_key; of rows that are
+    equal in both, the least by all columns. Only the texts of such equal rows are shuffled.
     """
-    found = similar_texts(docs)
-    later = found.where(F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    return without(docs, later, "later")
+    first = F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) & (F.col("text_key") == F.col("component_id.text_key"))
+    found = written(similar_texts(docs).select("doc_id", "text_key", first.alias("first")), "firsts")
+    kept = without(docs, found.where(~F.col("first")), "later")
+    equal = found.where("first").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
+    equal = written(equal.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")), "equal")
+    if equal.isEmpty():
+        return kept
+    packed = docs.select(F.struct(*docs.columns).alias("given"), docs["doc_id"].alias("_id"), text_key(docs).alias("_text"))
+    same = F.col("_id").eqNullSafe(F.col("gone_id")) & (F.col("_text") == F.col("gone_text"))
+    once = packed.join(equal, same).groupBy("_id", "_text").agg(F.min("given").alias("given"))
+    return kept.join(equal, same_row(kept, equal), "left_anti").union(once.select("given.*"))

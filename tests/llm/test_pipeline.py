@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline as pipeline  # noqa: E402
 
-from paperbrook.llm import mixing, packing  # noqa: E402
+from paperbrook.llm import decontaminate, mixing, packing, simhash  # noqa: E402
 from paperbrook.llm.common import written  # noqa: E402
 
 SF = "/root/testdata/sf0.01"
@@ -108,3 +108,18 @@ def test_every_copy_is_tokenised_without_loss(outputs):
     for (doc_id, text), times in given.items():
         whole = [i for at in range(len(held)) if (doc_id, at) in held for i in held[doc_id, at][0]]
         assert coder.decode(whole) == text and found[doc_id] == times
+
+
+def test_rows_that_share_an_id_or_have_none_are_decided_each(spark):
+    def text(name):
+        return " ".join(f"{name}{at}" for at in range(60))
+
+    rows = [(None, text("a"), "s"), (None, text("a"), "t"), (None, text("b"), "s"), (None, "x " + text("c"), "s"),
+            (1, text("a"), "s"), (1, text("d"), "s"), (1, text("d"), "s"), (2, text("e"), "s"), (None, text("f"), "s"),
+            (None, text("f"), "t"), (3, None, "s")]
+    given = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    clean = decontaminate.drop_contaminated(given, spark.createDataFrame([(1, text("c")), (2, text("d"))], "item_id int, text string"))
+    want = [r for r in rows if r[1] not in ("x " + text("c"), text("d"))]
+    assert sorted(map(tuple, clean.collect()), key=repr) == sorted(want, key=repr)
+    want = [rows[at] for at in (2, 3, 4, 5, 7, 8, 10)]
+    assert sorted(map(tuple, simhash.keep_firsts(given).collect()), key=repr) == sorted(want, key=repr)
