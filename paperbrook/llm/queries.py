@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperbrook.llm import (
-    chaining, decontaminate, mixing, packing, permutation, quality, secret_scan, simhash, toxicity, warc,
+    chaining, context_tree, decontaminate, mixing, packing, periodic, permutation, quality, secret_scan, simhash, toxicity,
+    warc,
 )
 from paperbrook.llm.common import table
+from paperbrook.llm.training import id_remainder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -79,3 +81,16 @@ def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = context_tree.scores(table(spark, sf_dir, "documents"), id_remainder(7) != 2)
+    held_out = F.coalesce(id_remainder(7) == 2, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte")
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return periodic.periodic_runs(docs, F.crc32(docs["doc_id"].cast("string").cast("binary")))
