@@ -101,3 +101,42 @@ select page_id, strlen(p)::bigint as payload_bytes, {BITS_40} as payload_digest,
        case when page_id <> first then first end as refers_to
 from top
 """
+
+# crc32 bit by bit: each byte is met, then eight steps (-1) follow.
+CRC32 = """xor(4294967295, list_reduce(list_concat([4294967295::bigint], flatten(list_transform(
+  string_split({0}, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda c, b: case when b >= 0 then xor(c, b) else xor(c >> 1, 3988292384 * (c & 1)) end))"""
+
+ORACLES["op11_prefix_trie"] = rf"""
+with own as (
+  select conv_id, row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), coalesce(text, '')) as pos,
+         sha256(concat(strlen(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) as turn,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')) as words
+  from conversations where conv_id is not null
+), convs as (select conv_id, {CRC32.format("conv_id::varchar")} % 4 as h from (select distinct conv_id from own)
+), parts as (
+  select convs.conv_id, 0 as part, pos, turn, words from convs join own on own.conv_id = convs.conv_id - convs.conv_id % 20 and pos <= h
+  union all
+  select convs.conv_id, 1, pos, turn, words from convs join own on own.conv_id = convs.conv_id and pos > h
+), path as (
+  select conv_id, row_number() over w as depth, string_agg(turn, '') over w as node, words,
+         count(*) over (partition by conv_id) as n from parts window w as (partition by conv_id order by part, pos)
+  union all
+  select conv_id, 0, '', 0, (select count(*) from parts where parts.conv_id = convs.conv_id) from convs
+), nodes as (
+  select node, any_value(depth) as depth, min(conv_id) as conv_id, count(*) as n_convs, any_value(words) as words,
+         string_agg(conv_id::varchar, ',' order by conv_id) filter (where depth = n) as ends
+  from path group by node
+), up as (select node, left(node, greatest(len(node) - 64, 0)) as parent from nodes where depth > 0
+), kids as (select parent as node, count(*) as n_children from up group by parent
+), pairs as (
+  select distinct a.node, b.node as below from path a join path b on a.conv_id = b.conv_id and b.depth >= a.depth
+), sums as (
+  select pairs.node, count(*) filter (where kids.node is null) as n_leaves, sum((b.n_convs - 1) * b.words) as saved
+  from pairs join nodes b on b.node = pairs.below left join kids on kids.node = pairs.below group by pairs.node
+)
+select nodes.conv_id, depth::bigint as depth, p.conv_id as parent_conv_id, nodes.n_convs, coalesce(n_children, 0)::bigint as n_children,
+       n_leaves::bigint as n_leaves, saved::bigint as saved_tokens, sha256(coalesce(ends, '')) as ends_sha256
+from nodes join sums using (node) left join kids using (node) left join up using (node)
+left join (select node as parent, conv_id from nodes) p using (parent)
+"""

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paperbrook.llm import (
-    chaining, context_tree, decontaminate, mixing, packing, periodic, permutation, quality, secret_scan, simhash, toxicity,
-    warc,
+    chaining, context_tree, decontaminate, mixing, packing, periodic, permutation, prefix_trie, quality, secret_scan, simhash,
+    toxicity, warc,
 )
 from paperbrook.llm.common import table
 from paperbrook.llm.training import id_remainder
@@ -83,6 +83,12 @@ def op5_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return permutation.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    heads = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 4
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"), heads)
+
+
 @query
 def op12_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = context_tree.scores(table(spark, sf_dir, "documents"), id_remainder(7) != 2)
