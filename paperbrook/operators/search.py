@@ -22,6 +22,7 @@ from paperbrook.functions.text import tokens
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.filters import apply_filters
 from paperbrook.operators.index import postings
+from paperbrook.operators.statistics import totals
 from paperbrook.session import new_run_folder
 from paperbrook.sources.tables import write_snapshot
 
@@ -285,6 +286,56 @@ def _scan_keywords(candidates: DataFrame, weights: _TermWeights, k: int, key: st
     return candidates.mapInArrow(score, schema)
 
 
+def _document_frequencies(index: DataFrame, vocabulary: DataFrame | None) -> DataFrame:
+    """Number of chunks of each term, counted within tasks before they meet; of a small vocabulary only."""
+    pairs = postings(index)
+    if vocabulary is not None:
+        pairs = pairs.join(F.broadcast(vocabulary), "term", "left_semi")
+    return pairs.groupBy("term").agg(F.count("*").alias("df"))
+
+
+def term_weights(
+    queries: DataFrame, statistics: DataFrame | None, query_id: str, text: str, max_broadcast: int,
+    index: DataFrame | None = None,
+) -> Iterator[tuple[pa.Array, _TermWeights, np.ndarray]]:
+    """For each block of queries their ids, the weights of their terms, and the number of chunks of each term.
+
+    ``statistics`` are those of the whole index; without them the index is counted. Terms that no chunk has are
+    left out, and so are queries without any other. A block has at most ``max_broadcast`` terms.
+    """
+    if statistics is None:
+        corpus = index.agg(F.count("*").alias("n"), F.avg("doc_len").alias("length")).first()
+        n, average = corpus["n"], corpus["length"]
+    else:
+        n, average = totals(statistics)
+    if not average:
+        return
+    terms = query_terms(queries, query_id, text)
+    size = terms.agg(F.count("*").alias("terms"), F.count_distinct(query_id).alias("queries")).first()
+    vocabulary = terms.select("term").distinct()
+    few = size["terms"] <= BROADCAST_TERMS
+    if statistics is not None:
+        df = statistics.select("term", "df")
+        df = df.join(F.broadcast(vocabulary) if few else vocabulary, "term", "left_semi")
+    elif few:
+        df = _document_frequencies(index, vocabulary)
+    else:
+        df = _document_frequencies(index, None).join(vocabulary, "term", "left_semi")
+    weights = terms.join(df, "term").select(query_id, "term", "df")
+    parts = max(-(-size["terms"] // max(max_broadcast, 1)), -(-size["queries"] // BROADCAST_QUERIES))
+    if parts > 1:
+        weights = write_snapshot(weights, new_run_folder(queries.sparkSession, "terms"))
+    for block in query_blocks(weights, query_id, parts):
+        rows = block.collect()
+        if rows:
+            counts = np.array([r["df"] for r in rows], dtype=np.float64)
+            words, values = pa.array([r["term"] for r in rows]), np.log(1.0 + (n - counts + 0.5) / (counts + 0.5))
+            sent = _term_weights(ids_of(rows, queries, query_id), words, values, average)
+            of_term = np.zeros(len(sent.terms), np.int64)
+            of_term[pc.index_in(words, value_set=sent.terms).to_numpy()] = counts.astype(np.int64)
+            yield sent.query_ids, sent, of_term
+
+
 def keyword_search(
     queries: DataFrame,
     index: DataFrame,
@@ -294,38 +345,19 @@ def keyword_search(
     text: str = "text",
     key: str = "chunk_id",
     max_broadcast: int = BROADCAST_TERMS,
+    statistics: DataFrame | None = None,
 ) -> DataFrame:
     """BM25. Filters hold before ranking; term weights and lengths always come from the whole index.
 
-    Query terms are counted, and each block of at most ``max_broadcast`` of them is one scan of the index. Terms
-    of the index are counted within tasks before they meet, so a term of every chunk gathers nowhere.
+    With the kept ``statistics`` of the index no posting is counted; without them the terms of the queries are
+    counted first, within tasks before they meet, so a term of every chunk gathers nowhere. Each block of at most
+    ``max_broadcast`` query terms is one scan of the index.
     """
     candidates = apply_filters(index, filters).select(key, "doc_len", "terms", "tfs")
     schema = _ranked_schema(queries, index, query_id, key)
     refuse_repeats(queries, query_id)
-    corpus = index.agg(F.count("*").alias("n"), F.avg("doc_len").alias("length")).first()
-    if not corpus["length"]:
-        return _no_hits(index, schema)
-    terms = query_terms(queries, query_id, text)
-    size = terms.agg(F.count("*").alias("terms"), F.count_distinct(query_id).alias("queries")).first()
-    vocabulary = terms.select("term").distinct()
-    if size["terms"] <= BROADCAST_TERMS:
-        counted = postings(index).join(F.broadcast(vocabulary), "term", "left_semi").groupBy("term")
-        df = counted.agg(F.count("*").alias("df"))
-    else:
-        df = postings(index).groupBy("term").agg(F.count("*").alias("df")).join(vocabulary, "term", "left_semi")
-    idf = F.log(1.0 + (corpus["n"] - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weights = terms.join(df, "term").select(query_id, "term", idf.alias("idf"))
-    parts = max(-(-size["terms"] // max(max_broadcast, 1)), -(-size["queries"] // BROADCAST_QUERIES))
-    if parts > 1:
-        weights = write_snapshot(weights, new_run_folder(index.sparkSession, "terms"))
-    scans = []
-    for block in query_blocks(weights, query_id, parts):
-        rows = block.collect()
-        if rows:
-            words, values = pa.array([r["term"] for r in rows]), np.array([r["idf"] for r in rows])
-            sent = _term_weights(ids_of(rows, queries, query_id), words, values, corpus["length"])
-            scans.append(_scan_keywords(candidates, sent, k, key, schema))
+    blocks = term_weights(queries, statistics, query_id, text, max_broadcast, index)
+    scans = [_scan_keywords(candidates, sent, k, key, schema) for _, sent, _ in blocks]
     if not scans:
         return _no_hits(index, schema)
     return top_k(reduce(DataFrame.unionByName, scans), k, query_id, key, SPREAD)
@@ -360,11 +392,12 @@ def hybrid_search(
     text: str = "text",
     key: str = "chunk_id",
     dim: int = DIM,
+    statistics: DataFrame | None = None,
 ) -> DataFrame:
     """Vector and keyword search over the same filtered chunks, fused. Query vectors are made unless given."""
     embedded = queries if "embedding" in queries.columns else embed(queries, text, dim)
     by_vector = similarity_search(embedded, index, k, filters, query_id, key)
-    by_keyword = keyword_search(queries, index, k, filters, query_id, text, key)
+    by_keyword = keyword_search(queries, index, k, filters, query_id, text, key, statistics=statistics)
     return fuse(by_vector, by_keyword, k, query_id, key)
 
 

@@ -322,6 +322,12 @@ from next left join moment using (chunk_id)
 """
 
 
+def statistics(chunks: str) -> str:
+    return f"""
+select term, count(*) as df, 0::bigint as length from postings group by term
+union all select null, count(*), sum(len({tokens('chunk_text')}))::bigint from {chunks}"""
+
+
 ORACLES: dict[str, str] = {
     "track_status_by_category": MERGED + COUNTS.format("category, status"),
     "track_status": MERGED + COUNTS.format("status"),
@@ -429,12 +435,17 @@ ORACLES: dict[str, str] = {
     "index_postings": CHUNKS + f", {postings('chunks')} select term, chunk_id, tf, doc_len, category, year from postings",
     "index_sync_postings": REVISED + f", {postings('next')} select term, chunk_id, tf, doc_len from postings",
     "index_sync_vectors": sync_moments(),
+    "postings_stored": CHUNKS + f", {postings('chunks')} select term, chunk_id, tf, doc_len, category, year from postings",
+    "index_statistics": CHUNKS + f", {postings('chunks')} {statistics('chunks')}",
+    "index_statistics_synced": REVISED + f", {postings('next')} {statistics('next')}",
     "knn_topk": knn(),
     "knn_topk_blocks": knn(),
     "knn_filtered": knn("v.label in (1, 3)"),
     "similarity_topk": f"{SEARCH}, {VECTORS}, {by_vector('vec')} " + RANKED.format("vec"),
     "bm25_topk": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
     "bm25_topk_blocks": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
+    "bm25_pruned": f"{SEARCH}, {by_keyword('kw')} " + RANKED.format("kw"),
+    "bm25_pruned_filtered": f"{SEARCH}, {by_keyword('kw', FILTERED)} " + RANKED.format("kw"),
     "hybrid_topk": hybrid() + RANKED.format("hits"),
     "knn_int_ids": f"select query_id::int as query_id, chunk_id, score, rank from ({knn(k=10)})",
     "hybrid_no_hits": hybrid(search=SEARCH.replace(

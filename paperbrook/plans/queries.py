@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperbrook.functions import paths, text
-from paperbrook.operators import approx, chunk_store, chunking, filters, quality, reports, search, tracking
+from paperbrook.operators import approx, chunk_store, chunking, filters, inverted, quality, reports, search, statistics, tracking
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.plans.corpus import Corpus
@@ -172,6 +172,22 @@ def written_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return written_once(spark, sf_dir, "index", lambda: build_index(written_chunks(spark, sf_dir)))
 
 
+def written_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Term statistics of that index, as a run keeps them."""
+    return written_once(spark, sf_dir, "statistics", lambda: statistics.index_statistics(written_index(spark, sf_dir)))
+
+
+_inverted: dict[tuple[str, str], inverted.Inverted] = {}
+
+
+def written_inverted(spark: SparkSession, sf_dir: str) -> inverted.Inverted:
+    """The inverted file of that index."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _inverted:
+        _inverted[at] = inverted.write_inverted(written_index(spark, sf_dir), new_run_folder(spark, "inverted"))
+    return _inverted[at]
+
+
 def ranked(hits: DataFrame, *more: str) -> DataFrame:
     return hits.select("query_id", "chunk_id", "score", F.col("rank").cast("bigint").alias("rank"), *more)
 
@@ -504,6 +520,33 @@ def index_sync_vectors(spark, sf_dir):
     return rows.select("chunk_id", F.col("doc_len").cast("bigint").alias("doc_len"), F.round(total, 6).alias("moment"))
 
 
+def posting_statistics(rows: DataFrame) -> DataFrame:
+    return rows.select("term", "df", "length")
+
+
+@query
+def postings_stored(spark, sf_dir):
+    """Postings decoded from the blocks of the inverted file, with the keys of their chunks."""
+    file = written_inverted(spark, sf_dir)
+    rows = file.postings().join(file.docs().select("doc", "chunk_id", "category", "year"), "doc")
+    lengths = {c: F.col(c).cast("bigint") for c in ("tf", "doc_len")}
+    return rows.select("term", "chunk_id", "tf", "doc_len", "category", "year").withColumns(lengths)
+
+
+@query
+def index_statistics(spark, sf_dir):
+    return posting_statistics(statistics.index_statistics(build_index(chunking.make_chunks(files(spark, sf_dir), fixed=True))))
+
+
+@query
+def index_statistics_synced(spark, sf_dir):
+    """Day one's statistics after the signed rows of the change feed; the index is not read again."""
+    old = write_snapshot(old_chunks(spark, sf_dir), new_run_folder(spark, "chunks"))
+    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir, old), scope=touched_paths(spark, sf_dir))
+    before = statistics.index_statistics(build_index(old))
+    return posting_statistics(statistics.sync_statistics(before, statistics.feed_delta(feed)))
+
+
 # Search
 
 
@@ -540,7 +583,24 @@ def similarity_topk(spark, sf_dir):
 
 @query
 def bm25_topk(spark, sf_dir):
-    return ranked(search.keyword_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir)))
+    kept = written_statistics(spark, sf_dir)
+    return ranked(search.keyword_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), statistics=kept))
+
+
+@query
+def bm25_pruned(spark, sf_dir):
+    """The same hits from the stored inverted file, whose blocks are skipped where they cannot matter."""
+    kept, file = written_statistics(spark, sf_dir), written_inverted(spark, sf_dir)
+    return ranked(inverted.pruned_keyword_search(benchmark_queries(spark, sf_dir), file, kept)[0])
+
+
+@query
+def bm25_pruned_filtered(spark, sf_dir):
+    """One category, a year and months, in several scans."""
+    items = [{"key": "category", "value": "Construction"}, {"key": "year >=", "value": 2024}, {"key": "month <", "value": 9}]
+    kept, file = written_statistics(spark, sf_dir), written_inverted(spark, sf_dir)
+    asked = benchmark_queries(spark, sf_dir)
+    return ranked(inverted.pruned_keyword_search(asked, file, kept, filters=items, max_broadcast=5000)[0])
 
 
 @query
@@ -553,7 +613,8 @@ def bm25_topk_blocks(spark, sf_dir):
 
 @query
 def hybrid_topk(spark, sf_dir):
-    return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir)))
+    kept = written_statistics(spark, sf_dir)
+    return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), statistics=kept))
 
 
 @query
