@@ -8,6 +8,7 @@ from paperbrook.functions.paths import path_metadata
 from paperbrook.operators.chunking import make_chunks
 from paperbrook.operators.filters import CORPUS_DOMAINS
 from paperbrook.operators.index import build_index
+from paperbrook.operators.statistics import index_statistics
 from paperbrook.plans.corpus import Corpus
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.functions.text import decode_text
@@ -83,6 +84,24 @@ def test_compact_and_full_refresh_keep_the_rows(spark, corpus, rows):
     assert rows(corpus.chunks().drop("run")) == chunks
 
 
+def test_statistics_follow_the_runs(spark, corpus, rows):
+    for files, full in ((ONE, False), (TWO, False), (TWO, False), (ONE, True), (TWO, False)):
+        corpus.sync(listing(spark, files), texts(spark, files), full_refresh=full)
+        assert rows(corpus.statistics()) == rows(index_statistics(corpus.index()))
+    corpus.compact()
+    assert rows(corpus.statistics()) == rows(index_statistics(corpus.index()))
+    corpus.sync(listing(spark, ONE[:1]), texts(spark, ONE[:1]))
+    assert rows(corpus.statistics()) == rows(index_statistics(corpus.index()))
+
+
+def test_a_path_given_twice_in_texts_is_refused(spark, corpus):
+    given = texts(spark, ONE)
+    with pytest.raises(ValueError, match="more than once in texts: '/r/Housing/2024/May/b'"):
+        corpus.sync(listing(spark, ONE), given.unionByName(given.where("path like '%/b'")))
+    assert corpus.last_run() == (0, 1)
+    assert corpus.sync(listing(spark, ONE), given).first()["rows_unread"] == 0
+
+
 def test_a_failed_run_does_not_count(spark, corpus, rows):
     corpus.sync(listing(spark, ONE), texts(spark, ONE), T0)
     before = rows(corpus.chunks()), rows(corpus.tracking())
