@@ -35,6 +35,10 @@ FILES = 8
 # A first floor in a segment comes from a query's rarest terms, until they have so many times k postings there; so many
 # times k chunks that have most of them are scored in full.
 RARE, FULL = 16, 2
+BLOCKS = (
+    "term string, seg bigint, first bigint, last bigint, n int, gaps array<int>, tfs array<int>, lens array<int>, "
+    "best double, average double, bucket int"
+)
 ROUNDING = 0.6 * 10.0**-SCORE_DIGITS
 
 
@@ -52,7 +56,7 @@ class Inverted:
 
     def blocks(self, terms: list[str] | None = None) -> DataFrame:
         """All blocks, or those in the folders of ``terms``."""
-        rows = self.spark.read.parquet(f"{self.folder}/blocks")
+        rows = self.spark.read.schema(BLOCKS).parquet(f"{self.folder}/blocks")
         if terms is None:
             return rows
         wanted = self.spark.createDataFrame([(t,) for t in terms], "term string").select(bucket_of(F.col("term"), self.buckets)).distinct()

@@ -322,6 +322,15 @@ from next left join moment using (chunk_id)
 """
 
 
+ROW_CHANGES = f"""
+        select {CHUNK_COLUMNS}, 'insert' as change_type from next where chunk_id not in (select chunk_id from old)
+        union all select {CHUNK_COLUMNS}, 'delete' from old where chunk_id not in (select chunk_id from next)
+        union all select o.* from (select {CHUNK_COLUMNS}, 'update_preimage' from old) o
+          join next n on o.chunk_id = n.chunk_id and o.chunk_text <> n.chunk_text
+        union all select n.* from (select {CHUNK_COLUMNS}, 'update_postimage' from next) n
+          join old o on o.chunk_id = n.chunk_id and o.chunk_text <> n.chunk_text"""
+
+
 def statistics(chunks: str) -> str:
     return f"""
 select term, count(*) as df, 0::bigint as length from postings group by term
@@ -403,13 +412,8 @@ ORACLES: dict[str, str] = {
         union all select {CHUNK_COLUMNS}, version from new""",
     "chunk_delete": REVISED + f"""
         select {CHUNK_COLUMNS} from old where path not in (select path from located where source = 'src0')""",
-    "chunk_changes": REVISED + f"""
-        select {CHUNK_COLUMNS}, 'insert' as change_type from next where chunk_id not in (select chunk_id from old)
-        union all select {CHUNK_COLUMNS}, 'delete' from old where chunk_id not in (select chunk_id from next)
-        union all select o.* from (select {CHUNK_COLUMNS}, 'update_preimage' from old) o
-          join next n on o.chunk_id = n.chunk_id and o.chunk_text <> n.chunk_text
-        union all select n.* from (select {CHUNK_COLUMNS}, 'update_postimage' from next) n
-          join old o on o.chunk_id = n.chunk_id and o.chunk_text <> n.chunk_text""",
+    "chunk_changes": REVISED + ROW_CHANGES,
+    "chunk_changes_by_digest": REVISED + ROW_CHANGES,
     "chunk_changes_applied": REVISED + f"select {CHUNK_COLUMNS} from next",
     "filter_equal": "select event_id from events where event_type = 'error'",
     "filter_in": "select event_id from events where event_type in ('click', 'error')",

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperbrook.functions import paths, text
-from paperbrook.operators import approx, chunk_store, chunking, filters, inverted, quality, reports, search, statistics, tracking
+from paperbrook.operators import approx, chunk_store, chunking, digests, filters, inverted, quality, reports, search, statistics, tracking
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.plans.corpus import Corpus
@@ -429,6 +429,14 @@ def chunk_changes(spark, sf_dir):
     return chunk_rows(feed, F.col("_change_type").alias("change_type"))
 
 
+@query
+def chunk_changes_by_digest(spark, sf_dir):
+    """The same feed from two whole snapshots and no list of touched paths."""
+    old = digests.write_digested(old_chunks(spark, sf_dir), new_run_folder(spark, "snapshot"))
+    new = digests.write_digested(next_chunks(spark, sf_dir, old.rows()), new_run_folder(spark, "snapshot"))
+    return chunk_rows(digests.change_feed_by_digests(old, new), F.col("_change_type").alias("change_type"))
+
+
 @query
 def chunk_changes_applied(spark, sf_dir):
     """The feed applied to the old table is the new table."""

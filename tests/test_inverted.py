@@ -119,6 +119,8 @@ def test_empty_index(spark, chunks, queries):
     index = build_index(chunks.limit(0))
     kept = statistics.index_statistics(index)
     assert statistics.totals(kept) == (0, 0.0)
-    found, report = inverted.pruned_keyword_search(queries, written(spark, index), kept)
+    file = written(spark, index)
+    assert file.postings().collect() == [] and file.blocks(["w1"]).collect() == []
+    found, report = inverted.pruned_keyword_search(queries, file, kept)
     assert found.collect() == [] and report.first().scored == 0
     assert search.keyword_search(queries, index, statistics=kept).collect() == []
