@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 # A character reference: a decimal or hexadecimal number, or one of the names that HTML defines.
 REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 
+# References that most pages have no others than; the ampersand itself comes last, so that nothing is resolved twice.
+COMMON = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "nbsp": "\u00A0", "amp": "&"}
+OTHER = rf"&(?!(?:{'|'.join(COMMON)});)" + REFERENCE[1:]
+
 TOKEN = r"[\p{L}\p{N}]+"
 
 
@@ -33,11 +37,18 @@ def _character(reference: Column) -> Column:
 
 
 def decode_references(text: Column) -> Column:
-    """Character references resolved, each once: what a resolved one forms with its neighbours is left alone."""
+    """Character references resolved, each once: what a resolved one forms with its neighbours is left alone.
+
+    The table of all names is searched only in texts that have a reference beyond the common ones.
+    """
+    plain = text
+    for name, sign in COMMON.items():
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(sign))
     found = F.transform(F.regexp_extract_all(text, F.lit(REFERENCE), F.lit(1)), _character)
     between = F.split(text, REFERENCE, -1)
     pieces = F.zip_with(between, F.concat(found, F.array(F.lit(""))), lambda plain, sign: F.concat(plain, sign))
-    return F.when(text.contains("&"), F.array_join(pieces, "")).otherwise(text)
+    every = F.array_join(pieces, "")
+    return F.when(~text.contains("&"), text).when(~text.rlike(OTHER), plain).otherwise(every)
 
 
 def html_text(html: Column) -> Column:

@@ -168,15 +168,24 @@ def query_blocks(queries: DataFrame, query_id: str, parts: int) -> list[DataFram
     return [queries.where(F.pmod(F.xxhash64(query_id), F.lit(parts)) == part) for part in range(parts)]
 
 
+def query_size(asked: DataFrame, query_id: str, vector: str) -> tuple[int, int]:
+    """Rows and numbers of a table of query vectors, whose ids must stand once; one pass."""
+    each = asked.groupBy(query_id).agg(F.count("*").alias("n"), F.sum(F.size(vector)).alias("values"))
+    sums = each.agg(F.sum("n").alias("n"), F.sum("values").alias("values"), F.max("n").alias("most")).first()
+    if (sums["most"] or 0) > 1:
+        refuse_repeats(asked, query_id)
+    return sums["n"] or 0, sums["values"] or 0
+
+
 def ids_of(rows, queries: DataFrame, query_id: str) -> pa.Array:
     """Ids in the type the result has, whatever Python makes of them."""
     return pa.array([r[query_id] for r in rows], to_arrow_type(queries.schema[query_id].dataType))
 
 
-def _scan_top_k(rows, asked: DataFrame, vectors: DataFrame, k: int, query_id: str, key: str, vector: str, schema) -> DataFrame:
-    """A block of queries goes to every task, each task scans its vectors once and keeps k rows per query."""
-    matrix = np.array([r[vector] for r in rows], dtype=np.float64)
-    sent = vectors.sparkSession.sparkContext.broadcast((ids_of(rows, asked, query_id), matrix))
+def _scan_top_k(rows: pa.Table, vectors: DataFrame, k: int, key: str, vector: str, schema) -> DataFrame:
+    """A block of queries (id, vector) goes to every task, each task scans its vectors once and keeps k rows per query."""
+    ids, found = (c.combine_chunks() for c in rows.columns)
+    sent = vectors.sparkSession.sparkContext.broadcast((ids, _matrix(found)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, matrix = sent.value
@@ -209,14 +218,13 @@ def similarity_search(
     candidates = apply_filters(index, filters).where(F.col(vector).isNotNull()).select(key, vector)
     asked = queries.where(F.exists(vector, lambda x: x != 0)).select(query_id, vector)
     schema = _ranked_schema(queries, index, query_id, key)
-    refuse_repeats(asked, query_id)
-    size = asked.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.size(vector)), F.lit(0)).alias("values")).first()
-    parts = max(-(-size["n"] // max(max_broadcast, 1)), -(-size["values"] // BROADCAST_VALUES))
+    n, values = query_size(asked, query_id, vector)
+    parts = max(-(-n // max(max_broadcast, 1)), -(-values // BROADCAST_VALUES))
     scans = []
     for block in query_blocks(asked, query_id, parts):
-        rows = block.collect()
-        if rows:
-            scans.append(_scan_top_k(rows, asked, candidates, k, query_id, key, vector, schema))
+        rows = block.toArrow()
+        if rows.num_rows:
+            scans.append(_scan_top_k(rows, candidates, k, key, vector, schema))
     if not scans:
         return _no_hits(index, schema)
     return top_k(reduce(DataFrame.unionByName, scans), k, query_id, key, SPREAD)
