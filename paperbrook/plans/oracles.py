@@ -438,6 +438,7 @@ ORACLES: dict[str, str] = {
         from vec join chunks using (chunk_id)""",
     "index_postings": CHUNKS + f", {postings('chunks')} select term, chunk_id, tf, doc_len, category, year from postings",
     "index_sync_postings": REVISED + f", {postings('next')} select term, chunk_id, tf, doc_len from postings",
+    "feed_streamed": REVISED + f", {postings('next')} select term, chunk_id, tf, doc_len from postings",
     "index_sync_vectors": sync_moments(),
     "postings_stored": CHUNKS + f", {postings('chunks')} select term, chunk_id, tf, doc_len, category, year from postings",
     "index_statistics": CHUNKS + f", {postings('chunks')} {statistics('chunks')}",

@@ -19,10 +19,11 @@ from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.plans.corpus import Corpus
 from paperbrook.session import new_run_folder
+from paperbrook.sources.feed import append_feed, stream_feed
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.sources.schemas import TRACKING
 from paperbrook.sources.tables import balance, empty_tracking, write_snapshot
-from paperbrook.streaming.files import index_stream, latest_batch, stream_new_files, track_stream
+from paperbrook.streaming.files import index_feed, index_stream, latest_batch, stream_new_files, track_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -797,3 +798,17 @@ def files_streamed(spark, sf_dir):
     return corpus.tracking().join(per_path, "path", "left").select(
         "path", "category", "year", "month", "status", "version", F.coalesce("chunks", F.lit(0)).alias("chunks")
     )
+
+
+@query
+def feed_streamed(spark, sf_dir):
+    """Day one's index kept in step by a stream of the change feed, which comes in two runs."""
+    folder = new_run_folder(spark, "feed")
+    old = write_snapshot(old_chunks(spark, sf_dir), new_run_folder(spark, "chunks"))
+    index = write_snapshot(build_index(old), new_run_folder(spark, "index"))
+    feed = chunk_store.change_feed(old, next_chunks(spark, sf_dir, old), scope=touched_paths(spark, sf_dir))
+    feed = write_snapshot(feed, new_run_folder(spark, "feed"))
+    for run in (0, 1):
+        append_feed(feed.where(F.pmod(F.xxhash64("path"), F.lit(2)) == run), folder, run)
+        synced = index_feed(stream_feed(spark, folder, feed.schema), f"{folder}/stream", index)
+    return posting_rows(synced)
