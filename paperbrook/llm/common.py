@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,10 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def written(df: DataFrame, label: str) -> DataFrame:
+def written(df: DataFrame, label: str, compression: str = "snappy") -> DataFrame:
     """The rows, written to the shared folder and read back: lineage ends there and the planner knows the size."""
     path = new_run_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -47,22 +48,32 @@ def union_all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def text_key(docs: DataFrame) -> Column:
-    """With the doc_id, what tells rows apart that share an id or have none."""
-    return F.xxhash64(docs["text"])
+ROW = ["_row_file", "_row_number"]
+# Decisions that are sent to every task at most, and the bytes one takes there.
+DECISION_BYTES = 64
 
 
-def without(docs: DataFrame, keys: DataFrame, label: str) -> DataFrame:
-    """The rows of ``docs`` whose doc_id and :func:`text_key` are not among ``keys``; null ids match null ids.
+def with_rows(docs: DataFrame) -> DataFrame:
+    """The rows with a key of their own, ``_row_file`` and ``_row_number``: a hash of their file and their number in it.
 
-    The keys are written first, so the planner sends them to every task when they are few and moves no text.
+    Rows of files keep it however often they are read. Others are written first.
     """
-    gone = keys.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")).distinct()
-    return docs.join(gone := written(gone, label), same_row(docs, gone), "left_anti")
+    key = [F.xxhash64("_metadata.file_path").alias("_row_file"), F.col("_metadata.row_index").alias("_row_number")]
+    try:
+        return docs.select("*", *key)
+    except AnalysisException:
+        return written(docs, "rows").select("*", *key)
 
 
-def same_row(docs: DataFrame, gone: DataFrame) -> Column:
-    return docs["doc_id"].eqNullSafe(gone["gone_id"]) & (text_key(docs) == gone["gone_text"])
+def without(rows: DataFrame, gone: DataFrame, label: str) -> DataFrame:
+    """The rows of :func:`with_rows` whose keys are not among ``gone``, without their keys.
+
+    The keys are written and counted. Up to ``BROADCAST_BYTES`` of them go to every task, so no text is moved; beyond,
+    rows and keys meet by a merge.
+    """
+    gone = written(gone.select(*ROW).distinct(), label)
+    few = gone.count() * DECISION_BYTES <= BROADCAST_BYTES
+    return rows.join(F.broadcast(gone) if few else gone.hint("merge"), ROW, "left_anti").drop(*ROW)
 
 
 def slices(count: int, size: int) -> Iterator[slice]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import ascii_lower, blocks, text_key, union_all, without, written
+from paperbrook.llm.common import ROW, ascii_lower, blocks, union_all, with_rows, without, written
 
 WINDOW, SHINGLE = 10, 4
 # Everything in ASCII but digits and lower-case letters parts words (fixed by the contract).
@@ -135,6 +135,6 @@ def find_items(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> D
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without any window of an item, all columns as they are; each row by its own text."""
-    keyed = docs.select(F.struct("doc_id", text_key(docs).alias("text_key")).alias("doc_id"), "text")
-    found = find_items(keyed, benchmark, window).where("contaminated")
-    return without(docs, found.select("doc_id.*"), "contaminated")
+    rows = with_rows(docs)
+    found = find_items(rows.select(F.struct(*ROW).alias("doc_id"), "text"), benchmark, window).where("contaminated")
+    return without(rows, found.select("doc_id.*"), "contaminated")

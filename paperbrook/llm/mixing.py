@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import union_all, written
+from paperbrook.llm.common import ROW, union_all, with_rows, written
 
 WEIGHTS, SHARE, MOST = (5, 2, 1), 1.0, 3
 BLOCK_ROWS, FANOUT = 4096, 64
@@ -80,7 +80,7 @@ def round_blocks(open_rows: DataFrame, last: bool) -> DataFrame:
     names = open_rows.columns
 
     def run(group: pa.Table) -> pa.Table:
-        rows = sorted(group.to_pylist(), key=lambda r: (r["u"], r["doc_id"] is None, r["doc_id"] or 0, r["size"]))
+        rows = sorted(group.to_pylist(), key=lambda r: (r["u"], r["doc_id"] is None, r["doc_id"] or 0, r["size"], *(r[c] for c in ROW)))
         settle(rows, last)
         return pa.Table.from_pylist(rows, schema=group.schema).select(names)
 
@@ -94,16 +94,19 @@ def mix(
     """(doc_id, source, size, source_size, target, copies) for every row of ``docs`` (doc_id, text, source).
 
     A document's expected copies are its source's target over its source's words, at most ``most``. Whole copies
-    are sure; fractions are rounded in blocks of about ``block_rows`` rows of a source, dealt by a hash of the id,
-    and each block passes on one open row at most, ``fanout`` blocks meeting in one of the next level until a
+    are sure; fractions are rounded in blocks of about ``block_rows`` rows of a source, dealt by a hash of the id and
+    the row's number in its file, and each block passes on one open row at most, ``fanout`` blocks meeting in one of the next level until a
     source has one. So a source misses its target by half a document at most, and no task holds more than a block.
-    Choices hang on hashes of ids, so reruns agree.
+    Choices hang on hashes of ids and row numbers, so reruns agree, and rows without an id or of one id are dealt out
+    like any others.
 
     Null texts have size 0. Rows without words are rounded by a hash of their own, for they move no words; rows of
     a null source are a source of their own. Repeated rows count each; null ids are allowed. Other columns are
-    not read.
+    not read. Each row's key (see :func:`with_rows`) comes along. One row per source is sorted in one place: sources are
+    to be few, as names of collections are.
     """
-    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"))
+    given = with_rows(docs) if ROW[0] not in docs.columns else docs
+    given = given.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), *ROW)
     sized = written(given, "sizes")
     targets = written(source_targets(sized, weights, share, most), "targets").withColumnRenamed("source", "of")
     joined = sized.join(targets, F.col("source").eqNullSafe(F.col("of"))).drop("of")
@@ -112,9 +115,9 @@ def mix(
     fraction = F.greatest(expected - whole, F.lit(0.0))
     parts = F.ceil(F.col("n_rows") / F.lit(block_rows))
     rows = joined.select(
-        "doc_id", "source", "size", "source_size", "target", whole.cast("bigint").alias("whole"),
+        "doc_id", *ROW, "source", "size", "source_size", "target", whole.cast("bigint").alias("whole"),
         F.when(fraction < EPSILON, 0.0).otherwise(fraction).alias("x"), draw(0).alias("u"),
-        F.pmod(F.xxhash64("doc_id", F.lit("block")), parts).cast("bigint").alias("block"),
+        F.pmod(F.xxhash64("doc_id", ROW[1], F.lit("block")), parts).cast("bigint").alias("block"),
     )
     moving = (F.col("x") > 0) & (F.col("size") > 0)
     still = rows.where(~moving).withColumn("x", (F.col("u") < F.col("x")).cast("double"))
@@ -128,21 +131,22 @@ def mix(
         left = done.where("x > 0 and x < 1").withColumn("u", draw(level + 1))
         left = left.withColumn("block", F.floor(F.col("block") / fanout))
     copies = (F.col("whole") + F.col("x")).cast("bigint")
-    return union_all(settled).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"))
+    return union_all(settled).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *ROW)
 
 
 def draw(level: int) -> Column:
     """A number in [0, 1) from the hash of the row."""
-    return F.pmod(F.xxhash64("doc_id", "size", F.lit(level)), F.lit(1 << 53)) / F.lit(float(1 << 53))
+    return F.pmod(F.xxhash64("doc_id", "size", ROW[1], F.lit(level)), F.lit(1 << 53)) / F.lit(float(1 << 53))
 
 
 def mixed(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` as often as the mix takes them, all columns as they are.
+    """The rows of ``docs`` as often as the mix takes them, all columns as they are; each row by its own copies.
 
-    Rows that share an id, or have none, come as often as the one of them that is taken most.
+    Nearly every row has a copy, so the decisions are as many as the rows: both meet by a merge at every size, which
+    moves each text once.
     """
-    copies = mix(docs).groupBy(F.col("doc_id").alias("taken_id")).agg(F.max("copies").alias("copies"))
-    copies = written(copies.where("copies > 0"), "copies")
-    packed = docs.select(F.struct(*docs.columns).alias("given"))
-    taken = packed.join(copies, F.col("given.doc_id").eqNullSafe(F.col("taken_id")))
+    rows = with_rows(docs)
+    copies = written(mix(rows).where("copies > 0").select(*ROW, "copies"), "copies")
+    packed = rows.select(F.struct(*docs.columns).alias("given"), *ROW)
+    taken = packed.join(copies.hint("merge"), ROW)
     return taken.select("given", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies")))).select("given.*")

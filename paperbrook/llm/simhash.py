@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.llm.common import same_row, slices, text_key, without, written
+from paperbrook.llm.common import ROW, slices, with_rows, without, written
 from paperbrook.llm.components import components
 
 HASH_SEED = 42
@@ -48,8 +48,7 @@ def fingerprint(hashes: np.ndarray, mixed: int = 0) -> int:
 def fingerprints(docs: DataFrame, words_each: int = 4, words: int = 1, keyed: bool = False) -> DataFrame:
     """(doc_id, f0, f1, ...) for every row, null and empty texts included: those have zero fingerprints.
 
-    With ``keyed`` the text_key comes after the doc_id.
-    Each 64-bit word comes from its own mixing of the same shingle hashes; the first is the plain hash.
+    With ``keyed`` the other columns as a string and the row's key come after the doc_id. Each 64-bit word comes from its own mixing of the same shingle hashes; the first is the plain hash.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -62,10 +61,11 @@ def fingerprints(docs: DataFrame, words_each: int = 4, words: int = 1, keyed: bo
             kept = [batch.column(name) for name in names]
             yield pa.RecordBatch.from_arrays([*kept, *columns], [*names, *(f"f{at}" for at in range(words))])
 
-    names = ["doc_id", "text_key"] if keyed else ["doc_id"]
-    columns = ", ".join(f"{name} bigint" for name in [*names, *(f"f{at}" for at in range(words))])
-    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), text_key(docs).alias("text_key"))
-    return given.select("doc_id", "text", *names[1:]).mapInArrow(run, columns)
+    names = ["doc_id", "rest", *ROW] if keyed else ["doc_id"]
+    kinds = [f"{name} {'string' if name == 'rest' else 'bigint'}" for name in [*names, *(f"f{at}" for at in range(words))]]
+    rest = F.struct(*[c for c in docs.columns if c not in ("doc_id", "text", *ROW)] or [F.lit(0)]).cast("string").alias("rest")
+    given = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("string").alias("text"), *([rest, *ROW] if keyed else []))
+    return given.mapInArrow(run, ", ".join(kinds))
 
 
 def covering_masks(bits: int, radius: int, seed: int = 1) -> list[int]:
@@ -211,10 +211,11 @@ def near_duplicates(
     Rows with equal signatures are one class; classes are linked by at most ``link_radius`` differing bits.
     ``component_id`` is the smallest doc_id reachable. Null and empty texts have the zero fingerprint and are
     linked like any other; rows with a null doc_id get the component of their class, null if no row of it has an
-    id. Repeated rows give repeated results. Other columns are not read. With ``keyed`` there is a text_key too, and
-    ``component_id`` is the first of doc_id, null last, and text_key (none, doc_id, text_key).
+    id. Repeated rows give repeated results. Other columns are not read. With ``keyed``, for rows with keys, there are
+    the row's key and its other columns as a string ``rest`` too, and ``component_id`` is the first of doc_id, null
+    last, ``rest`` and key (none, doc_id, rest, key).
     """
-    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key") if keyed else F.col("doc_id")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rest", *ROW) if keyed else F.col("doc_id")
     sign = [f"f{at}" for at in range(words)]
     prints = written(fingerprints(docs, words_each, words, keyed), "fingerprints")
     node = F.col("f0") if words == 1 else F.xxhash64(*sign)
@@ -227,33 +228,14 @@ def near_duplicates(
     return prints.join(named, sign)
 
 
-
-
-def similar_texts(docs: DataFrame) -> DataFrame:
-    """Near duplicates on five-word shingles at a similarity of 0.8, estimated from 256 fingerprint bits.
-
-    A similarity of 0.8 of the shingle sets is a cosine of 0.889 of the shingle counts, and bits differ in
-    arccos(0.889)/pi = 15.2% of all positions; two standard errors more, 50 of 256 bits, count as linked. Four words
-    with 15 tables each, over 32 bits at radius 3, bring 97% of such pairs together at 0.8 and 99% at 0.85; the
-    closer, the more, and all that differ in three of the 32 bits of any word.
-    """
-    return near_duplicates(docs, words_each=5, words=4, bits=32, table_radius=3, link_radius=50, keyed=True)
-
-
 def keep_firsts(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are the first of their group of :func:`similar_texts`, all columns as they are.
+    """The rows of ``docs`` that are the first of their group of :func:`near_duplicates`, all columns as they are.
 
-    One row of a group stays: the smallest id, rows without an id last, then the smallest text_key; of rows that are
-    equal in both, the least by all columns. Only the texts of such equal rows are shuffled.
+    Shingle length and bit distance are those of the operator. One row of a group stays: the smallest id, rows without an
+    id last, then the least by the other columns as a string, then any one of equal rows. Rows of an empty table stay
+    none; null and empty texts are one group.
     """
-    first = F.col("doc_id").eqNullSafe(F.col("component_id.doc_id")) & (F.col("text_key") == F.col("component_id.text_key"))
-    found = written(similar_texts(docs).select("doc_id", "text_key", first.alias("first")), "firsts")
-    kept = without(docs, found.where(~F.col("first")), "later")
-    equal = found.where("first").groupBy("doc_id", "text_key").agg(F.count("*").alias("n")).where("n > 1")
-    equal = written(equal.select(F.col("doc_id").alias("gone_id"), F.col("text_key").alias("gone_text")), "equal")
-    if equal.isEmpty():
-        return kept
-    packed = docs.select(F.struct(*docs.columns).alias("given"), docs["doc_id"].alias("_id"), text_key(docs).alias("_text"))
-    same = F.col("_id").eqNullSafe(F.col("gone_id")) & (F.col("_text") == F.col("gone_text"))
-    once = packed.join(equal, same).groupBy("_id", "_text").agg(F.min("given").alias("given"))
-    return kept.join(equal, same_row(kept, equal), "left_anti").union(once.select("given.*"))
+    rows = with_rows(docs)
+    found = near_duplicates(rows, keyed=True)
+    later = F.struct(*ROW) != F.struct(*(F.col(f"component_id.{c}") for c in ROW))
+    return without(rows, found.where(later), "later")
