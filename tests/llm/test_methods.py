@@ -338,3 +338,34 @@ def test_base32_digests(spark):
     given = spark.createDataFrame([(p,) for p in payloads], "p binary")
     got = [r[0] for r in given.select(warc.base32_sha1(F.col("p"))).collect()]
     assert got == [base64.b32encode(hashlib.sha1(p).digest()).decode() for p in payloads]
+
+
+def test_recombined_lines_are_all_found(spark):
+    rng = random.Random(9)
+    pool = [" ".join(f"l{n}w{i}" for i in range(20)) for n in range(12)]
+    texts = {}
+    for n in range(300):
+        own = [" ".join(f"d{n}x{side}{i}" for i in range(rng.randint(5, 40))) for side in "ab"]
+        texts[n] = " ".join([own[0], *rng.sample(pool, 3), own[1]])
+    held = {}
+    for n, text in texts.items():
+        words = text.split()
+        for at in range(len(words) - 49):
+            held.setdefault(" ".join(words[at : at + 50]), set()).add(n)
+    want = set().union(*(ids for ids in held.values() if len(ids) > 1))
+    rows = chaining.repeated_passages(spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    assert len(want) > 20 and want <= {r.doc_id for r in rows} | {r.other_id for r in rows}
+    for r in rows:
+        a, b = texts[r.doc_id].split()[r.start : r.end], texts[r.other_id].split()[r.other_start : r.other_end]
+        assert min(len(a), len(b)) >= 50 and r.matched >= 0.8 * max(len(a), len(b))
+
+
+def test_fenwick_maximum_by_brute_force():
+    rng = random.Random(10)
+    tree, held = chaining.FenwickMaximum(96), [(-1.0, -1)] * 96
+    for at in range(500):
+        place, value = rng.randrange(96), (rng.random(), at)
+        tree.put(place, value)
+        held[place] = max(held[place], value)
+        end = rng.randint(0, 96)
+        assert tree.largest(end) == max(held[:end], default=(-1.0, -1))
