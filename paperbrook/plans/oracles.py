@@ -431,6 +431,10 @@ ORACLES: dict[str, str] = {
     "filter_and": f"""
         select event_id from events where event_type in ('click', 'error') and user_id >= 5 and value < 50
           and list_contains({tokens('props')}, 'k')""",
+    "filters_refused": f"""with {LISTED}
+        select distinct category, year, month, case when category <> 'Housing' then 'category'
+          when year not between 2023 and 2024 then 'year' when month not between 1 and 11 then 'month' end as refused
+        from located where source <> 'src0'""",
     "filter_glob": r"select page_id, url from pages where regexp_matches(url, '(?i)\.html$')",
     "embed_chunks": CHUNKS + f"""
         , {hashed('chunks', 'chunk_id', 'chunk_text', 'vec')}
@@ -501,6 +505,12 @@ ORACLES: dict[str, str] = {
         select query_id, case when count(chunk_id) > 0 then 'OK' else 'NO_RESULTS' end as status,
           count(chunk_id)::int as num_results, coalesce(string_agg(path, ',' order by rank), '') as paths
         from asked left join (select * from hits join chunks using (chunk_id)) using (query_id) group by query_id""",
+    "corpus_answer_texts": f"with recursive {CHUNKED_RUNS}," + hybrid(FILTERED, 42, f"""
+        chunks as (
+          select path, chunk_text, category, year, month, md5(path || '|' || version || '|' || ordinal) as chunk_id
+          from chunked join synced using (path) where status <> 'DELETED'
+        ), {SEARCH_PARTS}""") + """
+        select query_id, rank, chunk_id, path, chunk_text from hits join chunks using (chunk_id)""",
     "track_streamed": MERGED + "select path, length, mtime, category, year, month, status2 as status, version, is_current from ("
         "select *, case when status = 'INDEXED' then 'NEW' else status end as status2 from merged)",
     "files_streamed": f"""

@@ -453,6 +453,8 @@ def chunk_changes_applied(spark, sf_dir):
 
 # Filters
 
+ALLOWED_VALUES = {"category": ["Housing"], "year": (2023, 2024), "month": (1, 11)}
+
 FILTERS: dict[str, tuple[str, list[str], list[dict]]] = {
     "filter_equal": ("events", ["event_id"], [{"key": "event_type", "value": "error"}]),
     "filter_in": ("events", ["event_id"], [{"key": "event_type", "value": ["click", "error"]}]),
@@ -484,6 +486,27 @@ def _filter_query(source: str, columns: list[str], items: list[dict]) -> Query:
 QUERIES.update({name: _filter_query(*parts) for name, parts in FILTERS.items()})
 
 
+def refusal(items: list[dict], schema: T.StructType) -> str | None:
+    """The column whose filter is refused, None when all are accepted."""
+    for item in items:
+        try:
+            filters.validate_filters([item], schema, list(ALLOWED_VALUES), ALLOWED_VALUES)
+        except ValueError:
+            return filters.parse_key(item["key"])[0][0]
+    return None
+
+
+@query
+def filters_refused(spark, sf_dir):
+    """Filters for every folder of the listing, of which some ask for values outside what is allowed."""
+    folders = listing(spark, sf_dir, 2).select("category", "year", "month").distinct()
+    rows = []
+    for r in folders.collect():  # folders, not files: as many as categories, years and months allow
+        items = [{"key": "category", "value": r.category}, {"key": "year >=", "value": r.year}, {"key": "month", "value": [r.month]}]
+        rows.append((r.category, r.year, r.month, refusal(items, folders.schema)))
+    return spark.createDataFrame(rows, "category string, year int, month int, refused string")
+
+
 @query
 def filter_glob(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
@@ -761,6 +784,18 @@ def corpus_answers(spark, sf_dir):
     return answers.select("query_id", "status", "num_results", found.alias("paths"))
 
 
+@query
+def corpus_answer_texts(spark, sf_dir):
+    """The documents of the answers as they are sent: as many as a search gives, with their texts, in order."""
+    corpus = Corpus(spark, new_run_folder(spark, "corpus"))
+    texts = files(spark, sf_dir).select("path", "text")
+    corpus.sync(listing(spark, sf_dir, 1), texts, INDEXED_AT)
+    corpus.sync(listing(spark, sf_dir, 2), texts, INDEXED_AT)
+    answers = corpus.answer(benchmark_queries(spark, sf_dir), SEARCH_FILTERS)
+    docs = answers.select("query_id", F.posexplode("docs").alias("at", "doc"))
+    return docs.select("query_id", (F.col("at") + 1).cast("bigint").alias("rank"), "doc.chunk_id", "doc.path", "doc.chunk_text")
+
+
 @query
 def track_streamed(spark, sf_dir):
     """Two arrivals of listing files, each taken in by a triggered stream run from the same checkpoint."""
