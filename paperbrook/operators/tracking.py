@@ -75,6 +75,14 @@ def track_sync(track: DataFrame, listing: DataFrame, revive: bool = False) -> Da
     return _merge(track, listing, revive, mark_deleted=True)
 
 
+def track_sync_bucketed(track: DataFrame, listing: DataFrame, buckets: int, revive: bool = False) -> DataFrame:
+    """``track_sync`` of a table written in ``buckets`` by path: only the listing is moved, to where its paths are tracked.
+
+    The rows come out dealt by path, so ``write_bucketed`` with ``dealt`` writes the next version without moving them.
+    """
+    return _merge(track, listing.repartition(buckets, "path"), revive, mark_deleted=True)
+
+
 def deleted_paths(track: DataFrame, listing: DataFrame) -> DataFrame:
     """Current paths that are no longer listed. An anti join: no path list, no quoting, no NOT IN nulls."""
     return track.where("is_current").select("path").join(listing.select("path"), "path", "left_anti")

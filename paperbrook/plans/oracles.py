@@ -341,6 +341,7 @@ ORACLES: dict[str, str] = {
     "track_status_by_category": MERGED + COUNTS.format("category, status"),
     "track_status": MERGED + COUNTS.format("status"),
     "track_sync": MERGED + f"select {TRACK_COLUMNS} from synced",
+    "track_sync_bucketed": MERGED + f"select {TRACK_COLUMNS} from synced",
     "track_upsert": MERGED + f"select {TRACK_COLUMNS} from merged",
     "track_mark_deleted": DAYS + """
         select t.* replace (case when s.path is null then 'DELETED' else status end as status,

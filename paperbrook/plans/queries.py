@@ -22,7 +22,7 @@ from paperbrook.session import new_run_folder
 from paperbrook.sources.feed import append_feed, stream_feed
 from paperbrook.sources.files import list_files, read_contents
 from paperbrook.sources.schemas import TRACKING
-from paperbrook.sources.tables import balance, empty_tracking, write_snapshot
+from paperbrook.sources.tables import balance, empty_tracking, write_bucketed, write_snapshot
 from paperbrook.streaming.files import index_feed, index_stream, latest_batch, stream_new_files, track_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,7 @@ ROOT = "/corpus/"
 GONE_SOURCE, REVISED_SOURCE, NEW_SOURCE = "src0", "src7", "src19"
 START = datetime(2024, 1, 1, tzinfo=timezone.utc)
 INDEXED_AT = datetime(2024, 2, 1, tzinfo=timezone.utc)
+TRACK_BUCKETS = 8
 FOLDER_MONTHS = ["Jan", "February", "SEP", "sept", "December", "May"]
 
 QUERIES: dict[str, Query] = {}
@@ -216,6 +217,14 @@ def track_sync(spark, sf_dir):
     return track_rows(reports.full_report(day_two(spark, sf_dir)))
 
 
+@query
+def track_sync_bucketed(spark, sf_dir):
+    """The same merge into a table in buckets by path, whose next version is written in buckets too."""
+    old = write_bucketed(day_one(spark, sf_dir), new_run_folder(spark, "tracked"), "path", TRACK_BUCKETS)
+    new = tracking.track_sync_bucketed(old, listing(spark, sf_dir, 2), TRACK_BUCKETS)
+    return track_rows(write_bucketed(new, new_run_folder(spark, "tracked"), "path", TRACK_BUCKETS, dealt=True))
+
+
 @query
 def track_upsert(spark, sf_dir):
     return track_rows(tracking.track_upsert(day_one(spark, sf_dir), listing(spark, sf_dir, 2)))
@@ -438,8 +447,8 @@ def chunk_changes(spark, sf_dir):
 @query
 def chunk_changes_by_digest(spark, sf_dir):
     """The same feed from two whole snapshots and no list of touched paths."""
-    old = digests.write_digested(old_chunks(spark, sf_dir), new_run_folder(spark, "snapshot"))
-    new = digests.write_digested(next_chunks(spark, sf_dir, old.rows()), new_run_folder(spark, "snapshot"))
+    old = digests.write_digested(old_chunks(spark, sf_dir), new_run_folder(spark, "snapshot"), buckets=64)
+    new = digests.write_digested(next_chunks(spark, sf_dir, old.rows()), new_run_folder(spark, "snapshot"), buckets=64)
     return chunk_rows(digests.change_feed_by_digests(old, new), F.col("_change_type").alias("change_type"))
 
 

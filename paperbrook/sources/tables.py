@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -47,6 +49,28 @@ def write_snapshot(df: DataFrame, path: str, partition_by: list[str] | None = No
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bucketed_table(spark: SparkSession, folder: str, schema: T.StructType, key: str, buckets: int) -> DataFrame:
+    """A folder that :func:`write_bucketed` has written, named to this session so that joins on ``key`` know its buckets."""
+    name = f"bucketed_{uuid.uuid4().hex}"
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    spark.sql(
+        f"create table {name} ({fields}) using parquet clustered by (`{key}`) sorted by (`{key}`) into {buckets} buckets location '{folder}'"
+    )
+    return spark.table(name)
+
+
+def write_bucketed(df: DataFrame, folder: str, key: str, buckets: int, dealt: bool = False) -> DataFrame:
+    """Write a table in buckets by a hash of ``key``, sorted within them, and hand back the written rows.
+
+    A join or merge on the key then leaves this side where it is. ``dealt`` says that the rows come dealt out by the
+    key into as many partitions, as they do from a join with such a table; they are not moved again.
+    """
+    rows = df if dealt else df.repartition(buckets, key)
+    name = f"bucketed_{uuid.uuid4().hex}"
+    rows.write.format("parquet").bucketBy(buckets, key).sortBy(key).option("path", folder).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
 # A scan of more splits than this is never moved, however many slots there are.
 SMALL_SCAN = 64
 

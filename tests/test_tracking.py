@@ -1,4 +1,6 @@
+import tempfile
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import PySparkException
@@ -6,7 +8,7 @@ from pyspark.sql import functions as F
 
 from paperbrook.operators import reports, tracking
 from paperbrook.sources.schemas import TRACKING
-from paperbrook.sources.tables import empty_tracking, table_or_empty, write_snapshot
+from paperbrook.sources.tables import bucketed_table, empty_tracking, table_or_empty, write_bucketed, write_snapshot
 
 T0 = datetime(2024, 1, 1)
 LISTING = "path string, length long, modification_ts timestamp, ingest_ts timestamp, category string, year int, month int"
@@ -103,3 +105,25 @@ def test_one_shuffle_per_side(spark, indexed):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange") == 2
+
+
+def test_merge_into_a_bucketed_table_moves_only_the_listing(spark, rows):
+    first = [("a", 0), ("b", 0), ("c", 5), ("d", 1)]
+    second = [("a", 1), ("b", 0), ("e", 3), ("d", 0)]
+    track = tracking.track_sync(empty_tracking(spark), listing(spark, first))
+    folder = tempfile.mkdtemp(prefix="run-") + "/one"
+    old = write_bucketed(track, folder, "path", 5)
+    assert rows(old) == rows(track)
+    again = bucketed_table(spark, folder, track.schema, "path", 5)
+    for kept in (old, again):
+        new = tracking.track_sync_bucketed(kept, listing(spark, second), 5)
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert rows(new) == rows(tracking.track_sync(track, listing(spark, second)))
+        assert plan.count("Exchange") == 1 and plan.count("Bucketed: true") == 1
+    target = tempfile.mkdtemp(prefix="run-") + "/two"
+    written = write_bucketed(new, target, "path", 5, dealt=True)
+    assert rows(written) == rows(new)
+    third = tracking.track_sync_bucketed(written, listing(spark, first), 5)
+    assert third._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert rows(third) == rows(tracking.track_sync(tracking.track_sync(track, listing(spark, second)), listing(spark, first)))
+    assert len(list(Path(target).glob("part-*"))) <= 5  # every task has one bucket
