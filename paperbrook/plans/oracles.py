@@ -429,6 +429,9 @@ ORACLES: dict[str, str] = {
     "filter_like": f"""
         select doc_id from (select doc_id, {tokens('text')} as t from documents)
         where list_contains(t, 'the') and list_contains(t, 'and')""",
+    "filter_like_skipped": f"""
+        select doc_id from (select doc_id, {tokens('text')} as t from documents)
+        where list_contains(t, 'the') and list_contains(t, 'and')""",
     "filter_and": f"""
         select event_id from events where event_type in ('click', 'error') and user_id >= 5 and value < 50
           and list_contains({tokens('props')}, 'k')""",
@@ -472,6 +475,7 @@ ORACLES: dict[str, str] = {
     "hybrid_filtered": hybrid(FILTERED) + """
         select query_id, chunk_id, score, rank, chunk_text, path, year, month from hits join chunks using (chunk_id)""",
     "hybrid_one_month": hybrid("category = 'Construction' and year = 2025 and month = 5") + RANKED.format("hits"),
+    "hybrid_one_month_skipped": hybrid("category = 'Construction' and year = 2025 and month = 5") + RANKED.format("hits"),
     "hybrid_before_september": hybrid("month < 9") + RANKED.format("hits"),
     "search_envelope": SEARCH.replace(
         "select item_id as query_id, text from benchmark",

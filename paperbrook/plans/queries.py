@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from paperbrook.functions import paths, text
-from paperbrook.operators import approx, chunk_store, chunking, digests, filters, inverted, quality, reports, search, statistics, tracking
+from paperbrook.operators import approx, chunk_store, chunking, digests, filters, inverted, quality, reports, search, skipping, statistics, tracking
 from paperbrook.operators.embedding import DIM, embed
 from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.plans.corpus import Corpus
@@ -495,6 +495,14 @@ def _filter_query(source: str, columns: list[str], items: list[dict]) -> Query:
 QUERIES.update({name: _filter_query(*parts) for name, parts in FILTERS.items()})
 
 
+@query
+def filter_like_skipped(spark, sf_dir):
+    """The same filter over documents clustered by language and source; files without one of the words are not opened."""
+    docs = table(spark, sf_dir, "documents")
+    clustered = skipping.write_clustered(docs, new_run_folder(spark, "clustered"), ["lang", "source"], "text", files=16)
+    return clustered.read([{"key": "text LIKE", "value": "The and"}]).select("doc_id")
+
+
 def refusal(items: list[dict], schema: T.StructType) -> str | None:
     """The column whose filter is refused, None when all are accepted."""
     for item in items:
@@ -697,6 +705,16 @@ def hybrid_one_month(spark, sf_dir):
     return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), written_index(spark, sf_dir), filters=items))
 
 
+@query
+def hybrid_one_month_skipped(spark, sf_dir):
+    """The same search over an index clustered by the three keys, of which only the files of that month are opened."""
+    items = [{"key": "category", "value": "Construction"}, {"key": "year", "value": 2025}, {"key": "month", "value": 5}]
+    keys = ["category", "year", "month"]
+    clustered = skipping.write_clustered(written_index(spark, sf_dir), new_run_folder(spark, "clustered"), keys, files=16)
+    kept = written_statistics(spark, sf_dir)
+    return ranked(search.hybrid_search(benchmark_queries(spark, sf_dir), clustered.read(items), statistics=kept))
+
+
 @query
 def hybrid_before_september(spark, sf_dir):
     items = [{"key": "month <", "value": 9}]
