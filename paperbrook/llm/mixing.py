@@ -102,10 +102,11 @@ def mix(
 
     Null texts have size 0. Rows without words are rounded by a hash of their own, for they move no words; rows of
     a null source are a source of their own. Repeated rows count each; null ids are allowed. Other columns are
-    not read. Each row's key (see :func:`with_rows`) comes along. One row per source is sorted in one place: sources are
+    not read. Rows that have keys (see :func:`with_rows`) keep them. One row per source is sorted in one place: sources are
     to be few, as names of collections are.
     """
-    given = with_rows(docs) if ROW[0] not in docs.columns else docs
+    keyed = ROW[0] in docs.columns
+    given = docs if keyed else with_rows(docs)
     given = given.select(F.col("doc_id").cast("bigint").alias("doc_id"), "source", word_count(F.col("text")).alias("size"), *ROW)
     sized = written(given, "sizes")
     targets = written(source_targets(sized, weights, share, most), "targets").withColumnRenamed("source", "of")
@@ -131,7 +132,8 @@ def mix(
         left = done.where("x > 0 and x < 1").withColumn("u", draw(level + 1))
         left = left.withColumn("block", F.floor(F.col("block") / fanout))
     copies = (F.col("whole") + F.col("x")).cast("bigint")
-    return union_all(settled).select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *ROW)
+    kept = ["doc_id", "source", "size", "source_size", "target", copies.alias("copies"), *(ROW if keyed else [])]
+    return union_all(settled).select(kept)
 
 
 def draw(level: int) -> Column:
