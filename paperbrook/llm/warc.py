@@ -21,6 +21,8 @@ ARCHIVE_BYTES, BUFFER_BYTES = 1 << 30, 4 << 20
 GAP_BYTES, READ_BYTES = 64 << 10, 8 << 20
 # Byte ranges of one file are dealt to tasks in stretches of this length.
 STRETCH_BYTES = 64 << 20
+# Bytes of records that a task reads, at least and at most.
+PART_BYTES = 1 << 20, 128 << 20
 # Digits of base 32 as written by the conversion of numbers and as RFC 4648 writes them (fixed values).
 BASE32_FROM, BASE32_TO = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 INDEX = "file string, offset bigint, length bigint, url string, digest string, page_id bigint, record_type string"
@@ -156,8 +158,12 @@ def read_records(index: DataFrame) -> DataFrame:
     """Read the records that ``index`` (any selection of index rows) names, as rows of ``RECORD``.
 
     Rows are dealt by file and stretch and sorted by offset; neighbours closer than ``GAP_BYTES`` are fetched by
-    one read. A task holds one read and the records of one batch.
+    one read. A task holds one read and the records of one batch; the number of tasks follows the bytes to be read,
+    not those of the index.
     """
+    total = index.agg(F.sum("length")).first()[0] or 0
+    slots = index.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, -(-total // min(max(total // (4 * slots), PART_BYTES[0]), PART_BYTES[1])))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         opened, file = None, None
@@ -193,7 +199,7 @@ def read_records(index: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(columns, [f for f, _ in fields])
                 at = last + 1
 
-    dealt = coalesced(index).repartition("file", "stretch").sortWithinPartitions("file", "offset")
+    dealt = coalesced(index).repartition(parts, "file", "stretch").sortWithinPartitions("file", "offset")
     return dealt.select("file", "offset", "length").mapInArrow(run, RECORD)
 
 
