@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from paperbrook.llm.common import union_all, written
 
 # Pivots (at most 255, for a rank is a byte), pivots under which a vector is posted, pivots a query looks under,
-# and the share of a block of vectors that is compared exactly, but no fewer than ``LEAST``.
-PIVOTS, POSTED, PROBED, SHARE, LEAST = 128, 8, 16, 0.15, 200
+# and the share of a block of vectors that is compared exactly, but no fewer than ``LEAST`` times the hits asked for.
+PIVOTS, POSTED, PROBED, SHARE, LEAST = 128, 12, 24, 0.25, 4
 NEAREST, QUERY_BYTES = 20, 16 << 20
 
 
@@ -71,7 +71,7 @@ def search_block(
     files = [np.flatnonzero(ranks[:, p] < POSTED) for p in range(pivots)]
     wide = ranks.astype(np.int16)
     place = np.argsort(np.argsort(ids, kind="stable"), kind="stable")
-    keep = max(LEAST, k, int(np.ceil(share * len(ids))))
+    keep = max(LEAST * k, int(np.ceil(share * len(ids))))
     for number in range(len(query_ids)):
         met = np.zeros(len(ids), dtype=bool)
         for p in np.flatnonzero(query_ranks[number] < PROBED):
