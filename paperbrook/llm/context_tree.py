@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from paperbrook.llm.common import written
 
 # Bytes of the longest context; bytes of text whose grams and words are asked for together.
-DEPTH, BLOCK_BYTES = 5, 32 << 20
+DEPTH, BLOCK_BYTES = 4, 16 << 20
 # Stands for the end of a text and for what is before it; no UTF-8 text holds this byte.
 END = 0xFF
 # The token that ends a text; no word holds a line feed.
 END_TOKEN = b"\n"
 HALF = float(np.log(0.5))
-CUT = 1 << 22
-BLOCKS = "block bigint, row bigint, doc_id bigint, learn boolean, text binary"
+# Bytes of a pack of texts, whose grams are taken together; distinct grams that wait to be merged.
+CUT, WAITING = 1 << 20, 1 << 19
 ASKED = "block bigint, gram bigint, word binary, n bigint"
 SCORED = (
     "block bigint, row bigint, doc_id bigint, n_tokens bigint, n_known bigint, n_bytes bigint, known_log double, score double"
@@ -188,23 +188,18 @@ def tokens(text: bytes) -> list[bytes]:
     return [*text.lower().split(), END_TOKEN]
 
 
-def groups(rows: Iterator[tuple], size: int) -> Iterator[list[tuple]]:
-    """Rows (..., text) in lists of at least ``size`` bytes, but for the last."""
-    held, total = [], 0
-    for row in rows:
-        held.append(row)
-        total += len(row[-1]) + 1
-        if total >= size:
-            yield held
-            held, total = [], 0
-    if held:
-        yield held
+PACKED = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()), ("text", pa.binary())])
 
 
-def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    for batch in batches:
-        for row in zip(*batch.columns, strict=True):
-            yield tuple(v.as_py() for v in row)
+def packed(rows: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, PACKED, options=pa.ipc.IpcWriteOptions(compression="zstd")) as writer:
+        writer.write_batch(rows)
+    return sink.getvalue().to_pybytes()
+
+
+def unpacked(pack: bytes) -> dict[str, list]:
+    return pa.ipc.open_stream(pack).read_all().to_pydict()
 
 
 def arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
@@ -213,61 +208,68 @@ def arrow(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
 
 
 def block_table(docs: DataFrame, learn: Column, block_bytes: int) -> DataFrame:
-    """The texts in blocks of some ``block_bytes`` of one task each, written, so that a block stays what it is."""
+    """(block, pack): the texts in blocks of some ``block_bytes`` of one task each, in compressed packs of up to some
+    ``CUT`` bytes. It is written, so that a block stays what it is."""
     given = docs.select(
         F.spark_partition_id().cast("bigint").alias("part"), F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(learn, F.lit(False)).alias("learn"), F.coalesce("text", F.lit("")).cast("binary").alias("text"),
     )
-    schema = pa.schema([("block", pa.int64()), ("row", pa.int64()), ("doc_id", pa.int64()), ("learn", pa.bool_()), ("text", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = total = row = 0
         for batch in batches:
-            part, size = batch.column(0), batch.num_rows
-            numbers = np.zeros(size, np.int64)
-            for at, length in enumerate(pc.binary_length(batch.column(3)).to_pylist()):
-                if total >= block_bytes:
-                    number, total = number + 1, 0
-                numbers[at] = number
-                total += length + 1
-            blocks = part.to_numpy() * (1 << 32) + numbers
-            columns = [pa.array(blocks), pa.array(np.arange(row, row + size)), *batch.columns[1:]]
-            row += size
-            yield pa.RecordBatch.from_arrays(columns, schema=schema)
-
-    return written(given.mapInArrow(run, BLOCKS), "blocks")
+            begin = size = 0
+            lengths = pc.binary_length(batch.column(3)).to_pylist()
+            for at, length in enumerate(lengths, 1):
+                size += length + 1
+                if size >= min(CUT, block_bytes) or at == len(lengths):
+                    numbers = pa.array(np.arange(row, row + at - begin))
+                    part = batch.slice(begin, at - begin)
+                    pack = packed(pa.RecordBatch.from_arrays([numbers, *part.columns[1:]], schema=PACKED))
+                    block = part.column(0)[0].as_py() * (1 << 32) + number
+                    yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([pack], pa.binary())], ["block", "pack"])
+                    row, begin, total, size = row + at - begin, at, total + size, 0
+                    if total >= block_bytes:
+                        number, total = number + 1, 0
+
+    return written(given.mapInArrow(run, "block bigint, pack binary"), "blocks")
 
 
 def asked_table(blocks: DataFrame, depth: int) -> DataFrame:
     """(block, gram, word, n): the distinct grams and tokens of each block, and how often texts to learn from have them."""
     schema = pa.schema([("block", pa.int64()), ("gram", pa.int64()), ("word", pa.binary()), ("n", pa.int64())])
 
-    def counted(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        """Of rows (learn, text) of one block."""
-        found: list[np.ndarray] = []
-        numbers: list[np.ndarray] = []
-        words: dict[bytes, int] = {}
-        for part in groups(iter(rows), CUT):
+    def merged(found: list[np.ndarray], numbers: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        grams, at = np.unique(np.concatenate(found), return_inverse=True)
+        return [grams], [np.bincount(at, np.concatenate(numbers), len(grams)).astype(np.int64)]
+
+    def counted(packs: Iterator[dict[str, list]]) -> Iterator[pa.RecordBatch]:
+        found, numbers, words, waiting = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], {}, 0
+        for pack in packs:
             for learn in (False, True):
-                texts = [text for of, text in part if of == learn]
-                grams, n = np.unique(gram_array(texts, depth)[0], return_counts=True) if texts else (np.zeros(0, np.int64),) * 2
-                found.append(grams)
-                numbers.append(n * learn)
+                texts = [text for of, text in zip(pack["learn"], pack["text"], strict=True) if of == learn]
+                if texts:
+                    grams, n = np.unique(gram_array(texts, depth)[0], return_counts=True)
+                    found.append(grams)
+                    numbers.append(n * learn)
+                    waiting += len(grams)
                 for text in texts:
                     for word in tokens(text):
                         words[word] = words.get(word, 0) + learn
-        grams, at = np.unique(np.concatenate(found), return_inverse=True)
-        n = np.bincount(at, np.concatenate(numbers), len(grams)).astype(np.int64)
+            if waiting > WAITING:
+                (found, numbers), waiting = merged(found, numbers), 0
+        [grams], [n] = merged(found, numbers)
         yield pa.RecordBatch.from_arrays([pa.nulls(len(grams), pa.int64()), pa.array(grams), pa.nulls(len(grams), pa.binary()), pa.array(n)], schema=schema)
         listed = [pa.nulls(len(words), pa.int64()), pa.nulls(len(words), pa.int64()), pa.array(list(words), pa.binary()), pa.array(list(words.values()), pa.int64())]
         yield pa.RecordBatch.from_arrays(listed, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, rows in itertools.groupby(rows_of(batches), key=lambda r: r[0]):
-            for found in counted([r[1:] for r in rows]):
+        rows = ((block.as_py(), pack) for batch in batches for block, pack in zip(*batch.columns, strict=True))
+        for block, packs in itertools.groupby(rows, key=lambda r: r[0]):
+            for found in counted(unpacked(pack.as_py()) for _, pack in packs):
                 yield found.set_column(0, schema.field(0), pa.array(np.full(found.num_rows, block, np.int64)))
 
-    return written(blocks.select("block", "learn", "text").mapInArrow(run, ASKED), "asked")
+    return written(blocks.mapInArrow(run, ASKED), "asked", "zstd")
 
 
 def gram_chances(counts: DataFrame, depth: int) -> DataFrame:
@@ -337,12 +339,13 @@ def scores(docs: DataFrame, learn: Column, depth: int = DEPTH, block_bytes: int
         part = told.filter(told.column("word").is_valid())
         logs = np.log10(part.column("value").to_numpy() + 1.0)
         of_word = dict(zip(part.column("word").to_pylist(), logs.tolist(), strict=True))
-        rows = zip(*(texts.column(c) for c in ("block", "row", "doc_id", "text")), strict=True)
         found = []
-        for some in groups((tuple(v.as_py() for v in row) for row in rows), CUT):
-            wanted, sizes = gram_array([r[-1] for r in some], depth)
+        for block, packed_texts in zip(texts.column("block").to_pylist(), texts.column("pack"), strict=True):
+            pack = unpacked(packed_texts.as_py())
+            wanted, sizes = gram_array(pack["text"], depth)
             values = np.add.reduceat(table.find(wanted), np.cumsum(sizes) - sizes) / np.log(10)
-            for (block, row, doc_id, text), size, value in zip(some, sizes.tolist(), values.tolist(), strict=True):
+            rows = zip(pack["row"], pack["doc_id"], pack["text"], sizes.tolist(), values.tolist(), strict=True)
+            for row, doc_id, text, size, value in rows:
                 words = tokens(text)
                 hits = [of_word[w] for w in words if w in of_word]
                 found.append((block, row, doc_id, len(words), len(hits), size - 1, sum(hits), value))
