@@ -15,16 +15,19 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from paperbrook.functions.ids import salt
 from paperbrook.operators.search import (
-    BROADCAST_QUERIES, BROADCAST_VALUES, K, SCORE_DIGITS, SPREAD, _Best, _matrix, _no_hits, _ranked_schema, ids_of,
-    query_blocks, refuse_repeats, top_k,
+    BROADCAST_QUERIES, BROADCAST_VALUES, K, SPREAD, _Best, _matrix, _no_hits, _ranked_schema, _rounded,
+    ids_of, refuse_repeats, top_k,
 )
 
 TABLES, BITS = 8, 8
 # Codes of a block of queries that are written into the filter of its scan.
 BLOCK_CODES = 8192
+# Queries and rows of a code that meet in one call of a search, and in one that gives all their pairs.
+MEET_QUERIES, MEET_ROWS = 4096, 16384
+PAIR_QUERIES, PAIR_ROWS = 1024, 4096
 
 
 def _planes(tables: int, bits: int, dim: int) -> np.ndarray:
@@ -99,18 +102,98 @@ def _scan_codes(rows, ids: pa.Array, hashed: DataFrame, k: int, key: str, vector
     return hashed.select(key, vector, "lsh_table", "lsh_code").mapInArrow(score, schema)
 
 
+def _meet(
+    asked: DataFrame, rows: DataFrame, query_id: str, key: str, most_asked: int, most_rows: int, run, schema,
+) -> DataFrame:
+    """``run`` on the queries and the rows of each code, where neither side of a call is much larger than the limits.
+
+    Codes are counted first, both sides of a frequent one are dealt into parts by their keys, and every part of the
+    one side meets every part of the other.
+    """
+    code = ["lsh_table", "lsh_code"]
+    counted = asked.groupBy(*code).agg(F.count("*").alias("_n")).join(rows.groupBy(*code).agg(F.count("*").alias("_m")), code)
+    parts = F.broadcast(counted.select(
+        *code, F.ceil(F.col("_n") / most_asked).cast("int").alias("_qs"), F.ceil(F.col("_m") / most_rows).cast("int").alias("_rs")
+    ))
+
+    def dealt(side: DataFrame, name: str, own: str, number: str, others: str, copies: str) -> DataFrame:
+        part = F.pmod(F.xxhash64(name), F.col(number)).cast("int").alias(own)
+        every = F.explode(F.sequence(F.lit(0), F.col(copies) - 1)).alias(others)
+        # Both sides may come from one table: columns of their own keep them apart.
+        return side.join(parts, code).select(*[F.col(c).alias(c) for c in side.columns], part, every)
+
+    at = [*code, "_q", "_r"]
+    left = dealt(asked, query_id, "_q", "_qs", "_r", "_rs").groupBy(*at)
+    right = dealt(rows, key, "_r", "_rs", "_q", "_qs").groupBy(*at)
+    return left.cogroup(right).applyInArrow(run, schema)
+
+
+def _search_codes(
+    asked: DataFrame, hashed: DataFrame, k: int, query_id: str, key: str, vector: str, schema,
+) -> DataFrame:
+    """More queries than one scan takes along: they meet the rows of their codes, and each call keeps k per query."""
+
+    def score(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        asked, rows = asked.combine_chunks(), rows.combine_chunks()
+        kinds = [asked.schema.field(query_id).type, rows.schema.field(key).type, pa.float64()]
+        found = pa.schema([*zip(schema.names, kinds, strict=True)])
+        if not asked.num_rows or not rows.num_rows:
+            return found.empty_table()
+        whole = lambda t, c: pa.concat_arrays(t.column(c).chunks)
+        matrix, best = _matrix(whole(asked, vector)), _Best(asked.num_rows, k)
+        for at in range(0, rows.num_rows, best.block):
+            part = rows.slice(at, best.block)
+            best.add(whole(part, key), matrix @ _matrix(whole(part, vector)).T)
+        return pa.Table.from_batches(best.batches(whole(asked, query_id), schema.names), found)
+
+    queries = asked.select(query_id, vector, F.posexplode("codes").alias("lsh_table", "lsh_code"))
+    rows = hashed.select(key, vector, "lsh_table", "lsh_code")
+    return _meet(queries, rows, query_id, key, MEET_QUERIES, MEET_ROWS, score, schema)
+
+
+def _with_earlier(hashed: DataFrame, key: str, vector: str) -> DataFrame:
+    """A row for each key and code of it, with the key's codes that come before, as numbers."""
+    one = hashed.groupBy(key, "lsh_table", "lsh_code").agg(F.first(vector).alias(vector))
+    number = F.shiftleft(F.col("lsh_table").cast("bigint"), 32) + F.col("lsh_code")
+    listed = one.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(number.alias("cell"), "lsh_table", "lsh_code", vector))).alias("_all"))
+    each = listed.select(key, F.col("_all.cell").alias("_cells"), F.posexplode("_all").alias("_at", "_one"))
+    return each.select(key, f"_one.{vector}", "_one.lsh_table", "_one.lsh_code", F.slice("_cells", F.lit(1), F.col("_at")).alias("_earlier"))
+
+
 def candidate_scores(
     queries: DataFrame, hashed: DataFrame, query_id: str = "query_id", key: str = "chunk_id", vector: str = "embedding",
 ) -> DataFrame:
-    """Score of every vector that shares a code with a query, once per pair; the two meet on the code and a
-    salt of the vector's key, so that a frequent code is spread over many tasks."""
-    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1)))
-    asked = queries.select(query_id, F.col(vector).alias("_asked"), "lsh_table", "lsh_code", copies.alias("_s"))
-    rows = hashed.select(key, vector, "lsh_table", "lsh_code", salt(F.col(key), SPREAD).alias("_s"))
-    pairs = rows.join(asked, ["lsh_table", "lsh_code", "_s"])
-    products = F.zip_with("_asked", vector, lambda a, b: a.cast("double") * b.cast("double"))
-    score = F.round(F.aggregate(products, F.lit(0.0), lambda total, x: total + x), SCORE_DIGITS)
-    return pairs.select(query_id, key, score.alias("score")).groupBy(query_id, key).agg(F.first("score").alias("score"))
+    """Score of every vector that shares a code with a query, once per pair.
+
+    The two sides meet on the code, dealt into parts where it is frequent. Both carry their codes that come before, and a
+    pair counts at the first code it shares, so pairs are never moved to find those that come twice.
+    """
+    kinds = [T.StructField(query_id, queries.schema[query_id].dataType), T.StructField(key, hashed.schema[key].dataType)]
+    schema = T.StructType([*kinds, T.StructField("score", T.DoubleType())])
+
+    def holders(lists: pa.Array) -> dict[int, np.ndarray]:
+        lengths = lists.value_lengths().to_numpy()
+        cells, rows = lists.flatten().to_numpy(), np.repeat(np.arange(len(lists)), lengths)
+        order = np.argsort(cells, kind="stable")
+        change = np.flatnonzero(np.diff(cells[order])) + 1
+        return {int(cells[g[0]]): rows[g] for g in np.split(order, change) if len(g)}
+
+    def score(asked: pa.Table, rows: pa.Table) -> pa.Table:
+        found = pa.schema([*zip(schema.names, [asked.schema.field(query_id).type, rows.schema.field(key).type, pa.float64()], strict=True)])
+        if not asked.num_rows or not rows.num_rows:
+            return found.empty_table()
+        whole = lambda t, c: pa.concat_arrays(t.column(c).chunks)
+        new = np.ones((asked.num_rows, rows.num_rows), bool)
+        theirs = holders(whole(rows, "_earlier"))
+        for cell, own in holders(whole(asked, "_earlier")).items():
+            if cell in theirs:
+                new[np.ix_(own, theirs[cell])] = False
+        who, what = np.nonzero(new)
+        scores = _rounded((_matrix(whole(asked, vector)) @ _matrix(whole(rows, vector)).T)[who, what])
+        return pa.table([whole(asked, query_id).take(pa.array(who)), whole(rows, key).take(pa.array(what)), pa.array(scores)], schema=found)
+
+    sides = _with_earlier(queries, query_id, vector), _with_earlier(hashed, key, vector)
+    return _meet(*sides, query_id, key, PAIR_QUERIES, PAIR_ROWS, score, schema)
 
 
 def approx_search(
@@ -120,8 +203,9 @@ def approx_search(
 ) -> DataFrame:
     """The k best among the vectors sharing a code; give ``hash_vectors`` output to search a built index.
 
-    Each block of queries is one scan, and its codes, at most ``BLOCK_CODES`` of them, prune an index written with
-    ``lsh_table`` and ``lsh_code`` as partition columns. A query id must stand once.
+    A block of queries is one scan, and its codes, at most ``BLOCK_CODES`` of them, prune an index written with
+    ``lsh_table`` and ``lsh_code`` as partition columns. More queries than that ask for nearly every code: each meets the rows
+    of its codes, so the index is read once and not by every block. A query id must stand once.
     """
     hashed = index if "lsh_code" in index.columns else hash_vectors(index, dim, tables, bits, vector)
     asked = queries.where(F.col(vector).isNotNull())
@@ -129,16 +213,15 @@ def approx_search(
     refuse_repeats(queries, query_id)
     schema = _ranked_schema(queries, index, query_id, key)
     most = max(1, min(max_broadcast, BLOCK_CODES // tables, BROADCAST_VALUES // dim))
-    scans = []
-    for block in query_blocks(asked, query_id, -(-queries.count() // most)):
-        rows = block.collect()
-        if rows:
-            ids = ids_of(rows, queries, query_id)
-            scans.append(_scan_codes(rows, ids, hashed.where(_has_code(rows)), k, key, vector, schema))
-    if not scans:
-        return _no_hits(index, schema)
+    if queries.count() > most:
+        found = _search_codes(asked, hashed, k, query_id, key, vector, schema)
+    else:
+        rows = asked.collect()
+        if not rows:
+            return _no_hits(index, schema)
+        found = _scan_codes(rows, ids_of(rows, queries, query_id), hashed.where(_has_code(rows)), k, key, vector, schema)
     # A pair found through several tables has the same score in each.
-    scored = reduce(DataFrame.unionByName, scans).groupBy(query_id, key).agg(F.first("score").alias("score"))
+    scored = found.groupBy(query_id, key).agg(F.first("score").alias("score"))
     return top_k(scored, k, query_id, key, SPREAD)
 
 

@@ -264,3 +264,36 @@ def test_approx_search_prunes_a_written_index(spark, tmp_path):
     codes = queries.select(approx.plane_codes(F.col("embedding"), 8, bits=3).alias("codes")).collect()
     read = spark.read.parquet(f"{tmp_path}/h").where(approx._has_code(codes))
     assert len(read.select(F.input_file_name()).distinct().collect()) < files
+
+
+def test_pairs_of_frequent_codes_and_repeated_keys_come_once(spark, monkeypatch):
+    monkeypatch.setattr(approx, "PAIR_QUERIES", 3)
+    monkeypatch.setattr(approx, "PAIR_ROWS", 4)
+    monkeypatch.setattr(approx, "MEET_QUERIES", 3)
+    monkeypatch.setattr(approx, "MEET_ROWS", 4)
+    found = [(i, v) for i, v in enumerate(vector_rows(40, 7))] + [(i, v) for i, v in enumerate(vector_rows(10, 8))]
+    vectors = spark.createDataFrame(found, "chunk_id long, embedding array<double>")
+    queries = vectors.where("chunk_id >= 5").dropDuplicates(["chunk_id"]).select(F.col("chunk_id").alias("query_id"), "embedding")
+    asked, hashed = (approx.hash_vectors(df, 8, bits=2) for df in (queries, vectors))
+    pairs = approx.candidate_scores(asked, hashed)
+    got = [(r.query_id, r.chunk_id) for r in pairs.select("query_id", "chunk_id").collect()]
+    joined = asked.select("query_id", "lsh_table", "lsh_code").join(hashed.select("chunk_id", "lsh_table", "lsh_code"), ["lsh_table", "lsh_code"])
+    assert len(got) == len(set(got))
+    assert set(got) == {(r.query_id, r.chunk_id) for r in joined.select("query_id", "chunk_id").distinct().collect()}
+    # Every pair was made by a join of its own before, and then moved to be counted once.
+    plan = pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert "FlatMapCoGroupsInArrow" in plan
+    single = spark.createDataFrame(found[:40], vectors.schema)
+    small = approx.approx_search(queries, single, 8, k=5, bits=2, max_broadcast=100)
+    assert hits(approx.approx_search(queries, single, 8, k=5, bits=2, max_broadcast=6)) == hits(small)
+
+
+def test_parts_of_many_queries_are_written_once(spark, tmp_path):
+    queries = spark.range(50).select(F.col("id").alias("query_id"), F.lit("x").alias("text"))
+    blocks = search.query_blocks(queries, "query_id", 4)
+    assert 1 < len(blocks) <= 4
+    assert sorted(r.query_id for b in blocks for r in b.collect()) == list(range(50))
+    # A part reads its own folder only, not all queries.
+    assert all("_part=" in f for b in blocks for f in b.inputFiles())
+    assert sum(len(b.inputFiles()) for b in blocks) == len(blocks)
+    assert search.query_blocks(queries.limit(0), "query_id", 4) == []
