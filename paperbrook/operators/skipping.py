@@ -84,12 +84,14 @@ def may_match(filters: list[dict[str, Any]], by: tuple[str, ...], text: str | No
 def write_clustered(df: DataFrame, folder: str, by: list[str], text: str | None = None, files: int = 32) -> Clustered:
     """Write a table sorted by ``by`` into about ``files`` files, and what is known of each.
 
+    A table that is read in more splits than that gets as many files, so that no task sorts more than about a split.
     Ranges are cut by a sample of the columns and a salt, so values that a third of all rows share fill several files.
     Signatures are or-ed within tasks first. Rows without text add no token; nulls are in no range and match no filter.
     """
     plain = [f.name for f in df.schema if not isinstance(f.dataType, T.MapType)]  # maps have no hash
     salted = F.pmod(F.xxhash64(*plain), F.lit(1024))
-    dealt = df.withColumn("_salt", salted).repartitionByRange(files, *by, "_salt").sortWithinPartitions(*by).drop("_salt")
+    most = max(files, df.rdd.getNumPartitions())
+    dealt = df.withColumn("_salt", salted).repartitionByRange(most, *by, "_salt").sortWithinPartitions(*by).drop("_salt")
     rows = write_snapshot(dealt, f"{folder}/rows").withColumn("file", F.input_file_name())
     ranges = [f(c).alias(f"{name}_{c}") for c in by for name, f in (("low", F.min), ("high", F.max))]
     known = rows.groupBy("file").agg(F.count("*").alias("n"), *ranges)

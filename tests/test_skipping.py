@@ -61,3 +61,10 @@ def test_a_frequent_value_fills_several_files(spark):
     assert written.files().agg(F.max("n")).first()[0] < 1500
     empty = skipping.write_clustered(rows.limit(0), tempfile.mkdtemp(prefix="run-") + "/c", ["k"], files=6)
     assert empty.read([{"key": "k", "value": "same"}]).collect() == []
+
+
+def test_a_table_of_many_splits_gets_as_many_files(spark):
+    rows = spark.range(0, 4000, 1, 40).select("id", (F.col("id") % 3).alias("k"), F.lit("a b").alias("text"))
+    written = skipping.write_clustered(rows, tempfile.mkdtemp(prefix="run-") + "/c", ["k"], "text", files=4)
+    assert written.files().agg(F.max("n")).first()[0] < 400  # four files hold 1,000 each
+    assert written.read([{"key": "text LIKE", "value": "a"}]).count() == 4000
