@@ -11,6 +11,8 @@ from paperbrook.functions.ids import chunk_id
 from paperbrook.functions.splitting import chunk_spans
 
 SIZE, OVERLAP = 1024, 256
+# Texts of an Arrow batch that are split together.
+FEW_TEXTS = 256
 
 CHUNK_TYPE = "array<struct<ordinal:int,start:int,end:int,text:string>>"
 
@@ -24,7 +26,7 @@ def recursive_chunks(text: Column, size: int = SIZE, overlap: int = OVERLAP) ->
     """The chunks of a text, cut at paragraphs, lines, words and characters in that order."""
     _check(size, overlap)
 
-    def split(texts: pa.Array) -> pa.Array:
+    def split_few(texts: pa.Array) -> pa.Array:
         offsets, ordinals, starts, ends, pieces = [0], [], [], [], []
         for text in texts.to_pylist():
             for ordinal, (start, end) in enumerate(chunk_spans(text, size, overlap) if text else ()):
@@ -39,6 +41,10 @@ def recursive_chunks(text: Column, size: int = SIZE, overlap: int = OVERLAP) ->
         )
         return pa.ListArray.from_arrays(np.array(offsets, dtype=np.int32), rows)
 
+    def split(texts: pa.Array) -> pa.Array:
+        # Of a batch only a few texts are Python strings at a time.
+        return pa.concat_arrays([split_few(texts.slice(at, FEW_TEXTS)) for at in range(0, max(len(texts), 1), FEW_TEXTS)])
+
     # Annotations are read at run time by arrow_udf, so they must be the types themselves.
     split.__annotations__ = {"texts": pa.Array, "return": pa.Array}
     return F.arrow_udf(split, CHUNK_TYPE)(text)

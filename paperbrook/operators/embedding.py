@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from paperbrook.functions.text import tokens
 
 DIM = 64
+# Rows of an Arrow batch that are counted together.
+FEW_ROWS = 1024
 
 PROFILE = "struct<doc_len:int,terms:array<string>,tfs:array<int>,embedding:array<double>>"
 
@@ -34,11 +36,11 @@ def _lists(values: pa.Array, lengths: np.ndarray) -> pa.ListArray:
 def term_profile(terms: Column, dim: int = DIM) -> Column:
     """Length in tokens, distinct terms in order, their counts and the vector, of a token array.
 
-    One pass over an Arrow batch: each distinct term of the batch is hashed once, and all counts come
-    from one sort of integers.
+    One pass over an Arrow batch, some rows at a time: each distinct term of these is hashed once, and all
+    their counts come from one sort of integers.
     """
 
-    def profile(rows: pa.Array) -> pa.Array:
+    def profile_few(rows: pa.Array) -> pa.Array:
         n = len(rows)
         lengths = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         encoded = rows.flatten().dictionary_encode()
@@ -68,6 +70,10 @@ def term_profile(terms: Column, dim: int = DIM) -> Column:
             names=["doc_len", "terms", "tfs", "embedding"],
         )
 
+    def profile(rows: pa.Array) -> pa.Array:
+        # What is held beside the batch and its result follows these rows and not the batch.
+        return pa.concat_arrays([profile_few(rows.slice(at, FEW_ROWS)) for at in range(0, max(len(rows), 1), FEW_ROWS)])
+
     profile.__annotations__ = {"rows": pa.Array, "return": pa.Array}
     return F.arrow_udf(profile, PROFILE)(terms)
 

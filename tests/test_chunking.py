@@ -115,3 +115,19 @@ def test_bad_sizes_are_refused(spark):
     for size, overlap in [(0, 0), (10, 10), (10, -1)]:
         with pytest.raises(ValueError):
             chunking.chunk_recursive(df, size, overlap)
+
+
+def test_few_texts_of_a_batch_are_split_at_a_time(monkeypatch):
+    seen = []
+    spans = chunking.chunk_spans
+    kept = {}
+    monkeypatch.setattr(chunking.F, "arrow_udf", lambda f, t: kept.setdefault("split", f) and (lambda c: c))
+    chunking.recursive_chunks(None)
+    texts = [("word " * (n % 400)).strip() or None for n in range(1000)]
+
+    monkeypatch.setattr(chunking, "FEW_TEXTS", 1000)
+    whole = kept["split"](chunking.pa.array(texts))
+    monkeypatch.setattr(chunking, "FEW_TEXTS", 7)
+    monkeypatch.setattr(chunking, "chunk_spans", lambda *a: seen.append(1) or spans(*a))
+    assert kept["split"](chunking.pa.array(texts)).equals(whole) and seen
+    assert len(kept["split"](chunking.pa.array([], chunking.pa.string()))) == 0

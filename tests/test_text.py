@@ -47,3 +47,18 @@ def test_metadata_violations(spark):
     )
     found = quality.validate_metadata(df, categories=["Construction", "Housing"]).collect()
     assert [r.violations for r in found] == [[], ["category", "year", "month"], ["category", "year", "month"]]
+
+
+def test_few_rows_of_a_batch_are_counted_at_a_time(monkeypatch):
+    from paperbrook.operators import embedding
+
+    kept, sizes, unique = {}, [], embedding.np.unique
+    monkeypatch.setattr(embedding.F, "arrow_udf", lambda f, t: kept.setdefault("profile", f) and (lambda c: c))
+    embedding.term_profile(None)
+    rows = embedding.pa.array([[f"w{n % 9}", f"w{n % 4}", "w"][: n % 4] if n % 7 else None for n in range(5000)], embedding.pa.list_(embedding.pa.string()))
+    monkeypatch.setattr(embedding.np, "unique", lambda x, **k: sizes.append(len(x)) or unique(x, **k))
+    got = kept["profile"](rows)
+    assert max(sizes) <= 3 * embedding.FEW_ROWS and len(got) == 5000
+    monkeypatch.setattr(embedding, "FEW_ROWS", 5000)
+    assert kept["profile"](rows).equals(got)
+    assert len(kept["profile"](rows.slice(0, 0))) == 0
