@@ -14,7 +14,7 @@ REFERENCE = r"&(#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 COMMON = {"lt": "<", "gt": ">", "quot": '"', "apos": "'", "#39": "'", "nbsp": "\u00A0", "amp": "&"}
 OTHER = rf"&(?!(?:{'|'.join(COMMON)});)" + REFERENCE[1:]
 
-TOKEN = r"[\p{L}\p{N}]+"
+TOKEN, NO_TOKEN = r"[\p{L}\p{N}]+", r"[^\p{L}\p{N}]+"
 
 
 def decode_text(content: Column) -> Column:
@@ -70,3 +70,8 @@ def join_pages(pages: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Runs of letters and digits, lower-cased."""
     return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(0))
+
+
+def token_line(text: Column) -> Column:
+    """The same tokens in one string with a blank between them, which goes to Python as it stands; lists go token by token."""
+    return F.btrim(F.regexp_replace(F.lower(text), NO_TOKEN, " "))

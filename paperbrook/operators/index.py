@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.functions.text import tokens
+from paperbrook.functions.text import token_line
 from paperbrook.operators.embedding import DIM, term_profile
 
 META = ["path", "category", "year", "month"]
@@ -20,7 +20,7 @@ def build_index(
     chunks: DataFrame, text: str = "chunk_text", key: str = "chunk_id", carry: list[str] = META, dim: int = DIM
 ) -> DataFrame:
     """Index rows of the chunks: map-only, the text is read once."""
-    return chunks.select(key, *carry, term_profile(tokens(F.col(text)), dim).alias("_p")).select(key, *carry, "_p.*")
+    return chunks.select(key, *carry, term_profile(token_line(F.col(text)), dim).alias("_p")).select(key, *carry, "_p.*")
 
 
 def postings(index: DataFrame, *columns: str) -> DataFrame:

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from paperbrook.functions.ids import salt
 from paperbrook.operators.filters import apply_filters
-from paperbrook.operators.index import META, postings
+from paperbrook.operators.index import META
 from paperbrook.operators.search import (
     B, BROADCAST_HITS, BROADCAST_TERMS, K, K1, SCORE_DIGITS, SPREAD, refuse_repeats, term_weights, top_k,
 )
@@ -39,6 +39,8 @@ BLOCKS = (
     "term string, seg bigint, first bigint, last bigint, n int, gaps array<int>, tfs array<int>, lens array<int>, "
     "best double, average double, bucket int"
 )
+# Blocks that are decoded together.
+DECODED = 4096
 ROUNDING = 0.6 * 10.0**-SCORE_DIGITS
 
 
@@ -64,20 +66,75 @@ class Inverted:
 
     def postings(self) -> DataFrame:
         """(term, doc, tf, doc_len), decoded."""
-        numbers = F.expr("transform(sequence(1, n), i -> first + aggregate(slice(gaps, 1, i), 0L, (s, g) -> s + g))")
-        rows = self.blocks().select("term", numbers.alias("docs"), "tfs", "lens")
-        rows = rows.select("term", F.explode(F.arrays_zip("docs", "tfs", "lens")).alias("p"))
-        return rows.select("term", F.col("p.docs").alias("doc"), F.col("p.tfs").alias("tf"), F.col("p.lens").alias("doc_len"))
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for rows in (batch.slice(at, DECODED) for at in range(0, batch.num_rows, DECODED)):
+                    n = rows.column("n").to_numpy()
+                    gaps, tfs, lens = (rows.column(c).flatten() for c in ("gaps", "tfs", "lens"))
+                    sums = np.cumsum(gaps.to_numpy().astype(np.int64))
+                    head = np.cumsum(n) - n  # a block's first gap is zero
+                    docs = sums + np.repeat(rows.column("first").to_numpy() - sums[head], n)
+                    terms = rows.column("term").take(pa.array(np.repeat(np.arange(len(n)), n)))
+                    yield pa.RecordBatch.from_arrays([terms, pa.array(docs), tfs, lens], ["term", "doc", "tf", "doc_len"])
 
-
-def _part_sql(tf: str, length: str, average: float) -> str:
-    return f"{tf} * {K1 + 1.0}D / ({tf} + {K1 * (1.0 - B)!r}D + {length} * {K1 * B / average!r}D)"
+        return self.blocks().select("term", "first", "n", "gaps", "tfs", "lens").mapInArrow(run, "term string, doc bigint, tf int, doc_len int")
 
 
 def bucket_of(term: Column, buckets: int) -> Column:
     return salt(term, buckets).alias("bucket")
 
 
+def _block_rows(docs: DataFrame, average: float) -> DataFrame:
+    """The blocks of a table of numbered chunks, as they stand in its files: a segment is inverted in one task, or each
+    part of it where a scan cuts it, and no posting is moved. Ranges of numbers of a term's blocks never overlap."""
+    bits, size = SEGMENT_BITS, BLOCK
+
+    def blocks_of(table: pa.Table) -> pa.RecordBatch:
+        lists = table.column("terms").combine_chunks()
+        lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        found = lists.flatten().dictionary_encode()
+        code = found.indices.to_numpy()
+        doc = np.repeat(table.column("doc").to_numpy(), lengths)
+        order = np.lexsort((doc, code))
+        code, doc = code[order], doc[order]
+        tf = table.column("tfs").combine_chunks().flatten().to_numpy()[order]
+        length = np.repeat(table.column("doc_len").to_numpy(), lengths)[order]
+        begins = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+        within = np.arange(len(code)) - np.repeat(begins, np.diff(np.r_[begins, len(code)]))
+        start = np.flatnonzero(within % size == 0)
+        gaps = np.diff(doc, prepend=doc[:1])
+        gaps[start] = 0
+        offsets = np.r_[start, len(code)].astype(np.int32)
+        best = np.maximum.reduceat(_part(tf.astype(float), length, average), start) if len(start) else np.zeros(0)
+
+        def lists_of(values: np.ndarray) -> pa.ListArray:
+            return pa.ListArray.from_arrays(pa.array(offsets), pa.array(values.astype(np.int32)))
+
+        columns = [
+            found.dictionary.take(pa.array(code[start])), pa.array(doc[start] >> bits), pa.array(doc[start]), pa.array(doc[offsets[1:] - 1]),
+            pa.array(np.diff(offsets)), lists_of(gaps), lists_of(tf), lists_of(length), pa.array(best), pa.array(np.full(len(start), average)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, [c.split()[0] for c in BLOCKS.split(", ")[:-1]])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        seg = None
+        for batch in batches:
+            segs = batch.column("doc").to_numpy() >> bits
+            cuts = [0, *(np.flatnonzero(np.diff(segs)) + 1).tolist(), len(segs)]
+            for a, b in zip(cuts, cuts[1:]):
+                if held and segs[a] != seg:
+                    yield blocks_of(pa.Table.from_batches(held))
+                    held = []
+                if b > a:
+                    seg = segs[a]
+                    held.append(batch.slice(a, b - a))
+        if held:
+            yield blocks_of(pa.Table.from_batches(held))
+
+    return docs.select("doc", "doc_len", "terms", "tfs").mapInArrow(run, BLOCKS.rsplit(", ", 1)[0])
+
+
 def write_inverted(
     index: DataFrame, folder: str, key: str = "chunk_id", carry: list[str] = META, buckets: int = BUCKETS
 ) -> Inverted:
@@ -85,17 +142,7 @@ def write_inverted(
     ordered = index.select(key, *carry, "doc_len", "terms", "tfs").orderBy(key)
     docs = write_snapshot(ordered.withColumn("doc", F.monotonically_increasing_id()), f"{folder}/docs")
     average = docs.agg(F.coalesce(F.avg("doc_len"), F.lit(0.0))).first()[0] or 1.0
-    pairs = postings(docs, "doc", "doc_len").withColumn("seg", F.shiftright("doc", SEGMENT_BITS))
-    parts = pairs.groupBy("term", "seg").agg(F.array_sort(F.collect_list(F.struct("doc", "tf", "doc_len"))).alias("p"))
-    cut = f"transform(sequence(0, (size(p) - 1) div {BLOCK}), i -> slice(p, cast(i * {BLOCK} + 1 as int), {BLOCK}))"
-    blocks = parts.select("term", "seg", F.explode(F.expr(cut)).alias("b"))
-    rows = blocks.select(
-        bucket_of(F.col("term"), buckets), "term", "seg", F.expr("b[0].doc").alias("first"), F.expr("element_at(b, -1).doc").alias("last"),
-        F.size("b").alias("n"),
-        F.expr("transform(b, (x, i) -> cast(case when i = 0 then 0 else x.doc - b[i - 1].doc end as int))").alias("gaps"),
-        F.expr("transform(b, x -> cast(x.tf as int))").alias("tfs"), F.expr("transform(b, x -> cast(x.doc_len as int))").alias("lens"),
-        F.expr(f"array_max(transform(b, x -> {_part_sql('x.tf', 'x.doc_len', average)}))").alias("best"), F.lit(average).alias("average"),
-    )
+    rows = _block_rows(docs, average).withColumn("bucket", bucket_of(F.col("term"), buckets))
     dealt = rows.repartition("bucket", F.col("seg") % FILES).sortWithinPartitions("bucket", "term", "first")
     write_snapshot(dealt, f"{folder}/blocks", ["bucket"])
     return Inverted(index.sparkSession, folder, key, buckets)

@@ -124,3 +124,15 @@ def test_empty_index(spark, chunks, queries):
     found, report = inverted.pruned_keyword_search(queries, file, kept)
     assert found.collect() == [] and report.first().scored == 0
     assert search.keyword_search(queries, index, statistics=kept).collect() == []
+
+
+def test_a_segment_is_inverted_where_it_stands(spark, rows):
+    made = [(f"c{n:04d}", "p", "A", 2020, 1, "w " * (n % 5) + f"x{n % 3}") for n in range(300)]
+    index = build_index(spark.createDataFrame(made, COLUMNS))
+    file = written(spark, index)
+    docs = spark.read.parquet(f"{file.folder}/docs")
+    plan = inverted._block_rows(docs, 3.0)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Aggregate" not in plan
+    assert "aggregate(" not in file.postings()._jdf.queryExecution().analyzed().toString()
+    got = file.postings().join(file.docs().select("doc", "chunk_id"), "doc").select("term", "chunk_id", "tf", "doc_len")
+    assert rows(got) == rows(postings(index, "chunk_id", "doc_len").select("term", "chunk_id", "tf", "doc_len"))

@@ -41,6 +41,17 @@ def test_tokens(spark):
     assert one(spark, "...", text.tokens) == []
 
 
+def test_tokens_reach_python_in_one_string(spark):
+    from paperbrook.operators.index import build_index
+
+    texts = ["The Ärger-42, the_end", "...", "", None, " a  b\u00a0c\u2003\U0001d400x ", "ǅ İ ß 一二 ٣ b"]
+    df = spark.createDataFrame(list(enumerate(texts)), "chunk_id int, chunk_text string")
+    index = build_index(df, carry=[])
+    assert "regexp_extract_all" not in index._jdf.queryExecution().analyzed().toString()
+    for r in index.join(df.select("chunk_id", text.tokens(F.col("chunk_text")).alias("all")), "chunk_id").collect():
+        assert r.doc_len == len(r["all"] or []) and dict(zip(r.terms, r.tfs)) == {t: r["all"].count(t) for t in r["all"] or []}
+
+
 def test_metadata_violations(spark):
     df = spark.createDataFrame(
         [("Housing", 2024, 5), ("Other", 1899, 13), (None, None, None)], "category string, year int, month int"
