@@ -297,3 +297,19 @@ def test_parts_of_many_queries_are_written_once(spark, tmp_path):
     assert all("_part=" in f for b in blocks for f in b.inputFiles())
     assert sum(len(b.inputFiles()) for b in blocks) == len(blocks)
     assert search.query_blocks(queries.limit(0), "query_id", 4) == []
+
+
+def test_several_scans_read_what_they_need_of_the_index_once(spark, monkeypatch):
+    from paperbrook.operators import search as module
+    from paperbrook.operators.index import build_index
+
+    rows = [(f"c{n:03d}", "p", "A", 2020, n % 12, " ".join(f"w{n * m % 23}" for m in range(1, 9)) + " the" * (n % 4)) for n in range(150)]
+    index = build_index(spark.createDataFrame(rows, "chunk_id string, path string, category string, year int, month int, chunk_text string"))
+    asked = spark.createDataFrame([(n, f"the w{n} w{n + 1} nothing") for n in range(12)], "query_id int, text string")
+    want = sorted(map(tuple, module.keyword_search(asked, index, 5, [{"key": "month <", "value": 9}]).collect()))
+    monkeypatch.setattr(module, "COMMON", 10**9)  # every term by the product of matrices
+    assert want == sorted(map(tuple, module.keyword_search(asked, index, 5, [{"key": "month <", "value": 9}]).collect()))
+    found = module.keyword_search(asked, index, 5, [{"key": "month <", "value": 9}], max_broadcast=9)
+    assert want == sorted(map(tuple, found.collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "/candidates-" in plan and "regexp" not in plan
