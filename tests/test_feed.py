@@ -74,3 +74,16 @@ def test_index_follows_the_stream(spark, rows):
     for _ in range(2):
         got = index_feed(stream_feed(spark, at, schema), f"{at}/stream", first)
         assert rows(got.select(columns)) == rows(build_index(table(spark, STATES[3])).select(columns))
+
+
+def test_a_batch_writes_its_own_rows_only(spark, rows):
+    at, columns = folder(), ["chunk_id", "doc_len", "terms", "tfs"]
+    before = STATES[0] | {f"x{n}": "same" for n in range(20)}
+    first = write_snapshot(build_index(table(spark, before)), folder())
+    schema = change_feed(table(spark, STATES[0]), table(spark, STATES[1])).schema
+    for run, (old, new) in enumerate(zip(STATES, STATES[1:])):
+        append_feed(change_feed(table(spark, old), table(spark, new)), at, run)
+        got = index_feed(stream_feed(spark, at, schema), f"{at}/stream", first)
+        assert rows(got.select(columns)) == rows(build_index(table(spark, STATES[run + 1] | {f"x{n}": "same" for n in range(20)})).select(columns))
+    folders = {f for f in __import__("os").listdir(f"{at}/stream") if f != "checkpoint"}
+    assert sum(spark.read.parquet(f"{at}/stream/{f}").where("chunk_id like 'x%'").count() for f in folders - {"done"}) == 0
