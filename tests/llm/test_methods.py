@@ -173,6 +173,56 @@ def test_a_passage_of_lines_that_stand_alone_in_many_texts(documents):
     assert {frozenset((62 * n, 62 * n + 1)) for n in range(6)} <= pairs
 
 
+def test_a_fuzzy_passage_whose_seeds_stand_in_other_texts_before(documents):
+    def fresh(count, rng):
+        return [f"w{rng.randrange(10**9)}" for _ in range(count)]
+
+    want, texts = set(), []
+    for number in range(8):
+        rng = random.Random(100 + number)
+        passage = fresh(90, rng)
+        fuzzy = [w if at % 13 else "other" for at, w in enumerate(passage)]
+        at = len(texts)
+        texts += [fresh(100, rng) + passage + fresh(100, rng), fresh(100, rng) + fuzzy + fresh(100, rng)]
+        want.add(frozenset((at, at + 1)))
+        # Stretches between two replaced words, in texts of their own many times; which text comes first is up to a hash.
+        for _ in range(20):
+            parts = [passage[lo : lo + 12] for lo in range(1, 80, 13)]
+            texts.append([w for part in rng.sample(parts, len(parts)) for w in [*part, *fresh(60, rng)]])
+    found = chaining.repeated_passages(documents([" ".join(t) for t in texts])).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in found} == want
+
+
+def test_a_line_in_many_texts_brings_together_those_that_go_on_alike(documents):
+    rng = random.Random(23)
+
+    def fresh(count):
+        return [f"w{rng.randrange(10**9)}" for _ in range(count)]
+
+    line = fresh(24)
+    texts = [fresh(80) + line + fresh(80) for _ in range(600)]
+    # Every fourth word differs beside the line, so no seed but those of the line is whole.
+    texts[470][56:80] = [w if (at + 1) % 4 else "other" for at, w in enumerate(texts[123][56:80])]
+    texts[470][104:128] = [w if at % 4 else "other" for at, w in enumerate(texts[123][104:128])]
+    memo = chaining.WordHashes()
+    assert len(chaining.seeds_of(" ".join(line).encode(), memo)[0]) > 0
+    found = chaining.repeated_passages(documents([" ".join(t) for t in texts])).collect()
+    assert {frozenset((r.doc_id, r.other_id)) for r in found} == {frozenset((123, 470))}
+
+
+def test_extents_are_those_of_extend():
+    rng = random.Random(24)
+    for width in (20, 50):
+        pairs = []
+        for _ in range(400):
+            one = [rng.randint(1, 9) for _ in range(rng.randint(0, width - 1))]
+            two = [w for w in one if rng.random() < 0.9] if rng.random() < 0.7 else [rng.randint(1, 9) for _ in one]
+            pairs.append((one, [w if rng.random() < 0.85 else rng.randint(1, 9) for w in two]))
+        rows = [np.array([x + [0] * (width - len(x)) for x in side], np.uint64) for side in zip(*pairs, strict=True)]
+        own, other = chaining.extents(*rows)
+        assert [(int(a), int(b)) for a, b in zip(own, other, strict=True)] == [chaining.extend(a, b)[:2] for a, b in pairs]
+
+
 def test_windows_by_brute_force(spark, documents):
     rng = random.Random(8)
     items = [" ".join(rng.choice("abcd") for _ in range(n)) for n in (1, 2, 3, 9, 10, 11, 14, 30)]
