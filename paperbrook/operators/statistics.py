@@ -10,15 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paperbrook.operators.index import build_index, postings
+from paperbrook.operators.index import build_index
 
 COLUMNS = ["term", "df", "length"]
 
 
 def _counted(rows: DataFrame, sign: Column | int) -> DataFrame:
     """Statistics of index rows (doc_len, terms, tfs), each counted ``sign`` times."""
-    counted = rows.withColumn("_n", F.lit(sign) if isinstance(sign, int) else sign).select("doc_len", "terms", "tfs", "_n")
-    pairs = postings(counted, "_n").select("term", F.col("_n").alias("df"), F.lit(0).alias("length"))
+    counted = rows.withColumn("_n", F.lit(sign) if isinstance(sign, int) else sign).select("doc_len", "terms", "_n")
+    # Only outer: a plain explode makes Spark add a filter on the array, which would run the profile a second time.
+    pairs = counted.select(F.explode_outer("terms").alias("term"), F.col("_n").alias("df"), F.lit(0).alias("length")).where("term is not null")
     chunks = counted.select(F.lit(None).cast("string").alias("term"), F.col("_n").alias("df"), (F.col("_n") * F.col("doc_len")).alias("length"))
     return pairs.unionByName(chunks)
 
