@@ -199,11 +199,11 @@ def test_a_line_in_many_texts_brings_together_those_that_go_on_alike(documents):
     def fresh(count):
         return [f"w{rng.randrange(10**9)}" for _ in range(count)]
 
-    line = fresh(24)
+    line = fresh(36)
     texts = [fresh(80) + line + fresh(80) for _ in range(600)]
     # Every fourth word differs beside the line, so no seed but those of the line is whole.
     texts[470][56:80] = [w if (at + 1) % 4 else "other" for at, w in enumerate(texts[123][56:80])]
-    texts[470][104:128] = [w if at % 4 else "other" for at, w in enumerate(texts[123][104:128])]
+    texts[470][116:140] = [w if at % 4 else "other" for at, w in enumerate(texts[123][116:140])]
     memo = chaining.WordHashes()
     assert len(chaining.seeds_of(" ".join(line).encode(), memo)[0]) > 0
     found = chaining.repeated_passages(documents([" ".join(t) for t in texts])).collect()
