@@ -295,3 +295,8 @@ def test_a_lost_batch_is_an_error(spark, tmp_path):
     spark.range(1).write.parquet(f"{folder}/done/batch=4")
     with pytest.raises(AnalysisException):
         latest_batch(spark, folder)
+
+
+def test_statistics_need_no_counts_of_terms(spark):
+    index = spark.createDataFrame([(3, ["a", "b"]), (1, ["b"]), (0, [])], "doc_len int, terms array<string>")
+    assert {tuple(r) for r in index_statistics(index).collect()} == {("a", 1, 0), ("b", 2, 0), (None, 3, 4)}
