@@ -136,6 +136,55 @@ def test_shared_runs_share_a_seed():
         assert a & b
 
 
+def test_seeds_of_texts_are_those_of_each_text():
+    rng = random.Random(27)
+    for k, window in ((5, 16), (2, 7), (3, 1)):
+        # Few different words, so that least seeds are equal; lengths around one window.
+        texts = [" ".join(str(rng.randint(0, few)) for _ in range(n)).encode() for few in (1, 3, 50) for n in (0, 1, 4, 5, 19, 20, 21, 22, 90)]
+        found = chaining.seeds_of_texts([*texts, None], chaining.WordHashes(), k, window)
+        seeds, places = [], []
+        for text in texts:
+            hashes = chaining.WordHashes().of(text.split())
+            rolled = np.zeros(max(len(hashes) - k + 1, 0), np.uint64)
+            for at in range(k):
+                rolled = rolled * np.uint64(0x9E3779B97F4A7C15) + hashes[at : at + len(rolled)]
+                rolled ^= rolled >> np.uint64(29)
+            chosen = sorted({at + int(rolled[at : at + window].argmin()) for at in range(max(len(rolled) - window, 0) + 1 if len(rolled) else 0)})
+            kept = [y for x, y in zip([None, *chosen], chosen, strict=False) if x is None or rolled[x] != rolled[y] or y - x >= window]
+            seeds += [int(rolled[at]) for at in kept]
+            places.append(kept)
+        assert found[0].tolist() == seeds and found[1].tolist() == sum(places, [])
+        assert found[2].tolist() == [len(p) for p in places] + [0]
+
+
+def test_edits_are_those_of_the_whole_table():
+    rng = random.Random(28)
+    for _ in range(300):
+        a, b = ([str(rng.randint(0, 4)) for _ in range(rng.randint(0, 80))] for _ in "ab")
+        row = list(range(len(b) + 1))
+        for x in a:
+            last, row[0] = row[0], row[0] + 1
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        assert chaining.edits(a, b) == row[-1]
+
+
+def test_places_with_the_same_words_around_are_compared_once(monkeypatch):
+    rng, asked = random.Random(29), []
+    extents = chaining.extents
+    monkeypatch.setattr(chaining, "extents", lambda a, b: asked.append(len(a)) or extents(a, b))
+    words = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(120)) for _ in range(9)]
+    kinds = [words[0], words[0][:-9] + "other", *words[1:]]
+    # First, second, low, high, block, node, pos, after, open, root, words: 30 texts of each kind of words.
+    rows = [(1, 2, 0, 0, 0, number, 50, 60, True, number, kinds[number % 10]) for number in range(300)]
+    meeting = chaining.Meeting(50)
+    meeting.add(rows)
+    meeting.settle()
+    alike = [{n for n in range(300) if n % 10 in group} for group in ((0, 1), *((k,) for k in range(2, 10)))]
+    assert meeting.found == {(u, v) for group in alike for u in group for v in group if u > v}
+    assert 0 < sum(asked) <= 400
+
+
 def test_fuzzy_passage_between_other_words(documents):
     rng = random.Random(6)
     passage = [f"p{rng.randint(0, 9999)}" for _ in range(120)]
