@@ -370,8 +370,9 @@ def pruned_keyword_search(
         if filters:
             place = (F.col("doc") % (1 << SEGMENT_BITS)).cast("int")
             marks = apply_filters(docs, filters).groupBy(F.shiftright("doc", SEGMENT_BITS).alias("seg")).agg(F.collect_list(place).alias("gaps"))
-            # segments without an allowed chunk have no mark and go
-            rows = rows.join(marks.select("seg"), "seg", "left_semi").unionByName(marks, allowMissingColumns=True)
+            # segments without an allowed chunk have no mark and go; were both dealt by segment for this, Spark would leave
+            # out the dealing of the scan, and then read each side where it lies, which cuts segments apart
+            rows = rows.join(F.broadcast(marks.select("seg")), "seg", "left_semi").unionByName(marks, allowMissingColumns=True)
         scanned = write_snapshot(_scan(rows, weights, k), new_run_folder(spark, "scan"))
         names = spark.createDataFrame(pa.table({"query": np.arange(len(ids)), query_id: ids}))
         total = int((df * np.diff(weights.first)).sum())

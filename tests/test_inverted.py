@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from paperbrook.operators import inverted, search, statistics
 from paperbrook.operators.chunk_store import apply_changes, change_feed
 from paperbrook.operators.index import build_index, postings
+from paperbrook.session import settings
 
 COLUMNS = "chunk_id string, path string, category string, year int, month int, chunk_text string"
 
@@ -136,3 +137,16 @@ def test_a_segment_is_inverted_where_it_stands(spark, rows):
     assert "aggregate(" not in file.postings()._jdf.queryExecution().analyzed().toString()
     got = file.postings().join(file.docs().select("doc", "chunk_id"), "doc").select("term", "chunk_id", "tf", "doc_len")
     assert rows(got) == rows(postings(index, "chunk_id", "doc_len").select("term", "chunk_id", "tf", "doc_len"))
+
+
+def test_segments_stay_whole_where_a_join_turns_into_a_broadcast(spark, chunks, queries, monkeypatch):
+    for name, value in (("SEGMENT_BITS", 5), ("WINDOW_BITS", 2), ("BLOCK", 3)):
+        monkeypatch.setattr(inverted, name, value)
+    index = build_index(chunks)
+    kept, file = statistics.index_statistics(index), written(spark, index)
+    items = [{"key": "category", "value": "A"}, {"key": "month <", "value": 3}]
+    want = hits(search.keyword_search(queries, index, 5, items))
+    late = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": str(10 << 20)}
+    with settings(spark, late):
+        found, _ = inverted.pruned_keyword_search(queries, file, kept, 5, items)
+        assert hits(found) == want
