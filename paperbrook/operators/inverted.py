@@ -64,20 +64,66 @@ class Inverted:
         wanted = self.spark.createDataFrame([(t,) for t in terms], "term string").select(bucket_of(F.col("term"), self.buckets)).distinct()
         return rows.where(F.col("bucket").isin([r[0] for r in wanted.collect()]))
 
-    def postings(self) -> DataFrame:
-        """(term, doc, tf, doc_len), decoded."""
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def postings(self, carry: list[str] | None = None) -> DataFrame:
+        """(term, doc, tf, doc_len), decoded, and columns of ``docs`` that are named.
+
+        For these the blocks as they are meet the rows of their segment's chunks; no decoded posting is moved.
+        """
+        carry = [c for c in carry or [] if c != "doc_len"]
+        blocks = self.blocks().select("seg", "term", "first", "gaps", "tfs", "lens")
+        kept = "term string, doc bigint, tf int, doc_len int"
+        names = ["term", "doc", "tf", "doc_len"]
+        if not carry:
+
+            def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+                for batch in batches:
+                    for rows in (batch.slice(at, DECODED) for at in range(0, batch.num_rows, DECODED)):
+                        yield pa.RecordBatch.from_arrays([*_decoded(rows), rows.column("lens").flatten()], ["term", "doc", "tf", "doc_len"])
+
+            return blocks.mapInArrow(run, kept)
+
+        docs = self.docs().select(F.shiftright("doc", SEGMENT_BITS).alias("seg"), F.col("doc").alias("first"), "doc_len", *carry)
+        fields = {f.name: f for f in docs.schema}
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            seg, held, known = None, [], None
             for batch in batches:
                 for rows in (batch.slice(at, DECODED) for at in range(0, batch.num_rows, DECODED)):
-                    n = rows.column("n").to_numpy()
-                    gaps, tfs, lens = (rows.column(c).flatten() for c in ("gaps", "tfs", "lens"))
-                    sums = np.cumsum(gaps.to_numpy().astype(np.int64))
-                    head = np.cumsum(n) - n  # a block's first gap is zero
-                    docs = sums + np.repeat(rows.column("first").to_numpy() - sums[head], n)
-                    terms = rows.column("term").take(pa.array(np.repeat(np.arange(len(n)), n)))
-                    yield pa.RecordBatch.from_arrays([terms, pa.array(docs), tfs, lens], ["term", "doc", "tf", "doc_len"])
-
-        return self.blocks().select("term", "first", "n", "gaps", "tfs", "lens").mapInArrow(run, "term string, doc bigint, tf int, doc_len int")
+                    segs = rows.column("seg").to_numpy()
+                    cuts = [0, *(np.flatnonzero(np.diff(segs)) + 1).tolist(), len(segs)]
+                    for a, b in zip(cuts, cuts[1:]):
+                        if segs[a] != seg:
+                            seg, held, known = segs[a], [], None
+                        part = rows.slice(a, b - a)
+                        chunks = part.filter(part.column("term").is_null())
+                        if chunks.num_rows:
+                            held.append(chunks.select(["first", "doc_len", *carry]))
+                        part = part.filter(part.column("term").is_valid())
+                        if not part.num_rows or not held:
+                            continue
+                        if known is None:
+                            known = pa.Table.from_batches(held).sort_by("first").combine_chunks()
+                            numbers = known.column("first").to_numpy()
+                        terms, docs, tfs = _decoded(part)
+                        at = np.minimum(np.searchsorted(numbers, docs.to_numpy()), len(numbers) - 1)
+                        found = known.take(pa.array(at)).combine_chunks().to_batches()[0]
+                        columns = [terms, docs, tfs, *(found.column(c) for c in ("doc_len", *carry))]
+                        yield pa.RecordBatch.from_arrays(columns, [*names, *carry])
+
+        both = blocks.drop("lens").unionByName(docs, allowMissingColumns=True)
+        dealt = both.repartition("seg").sortWithinPartitions("seg", F.col("term").isNotNull())
+        more = [f"{c} {fields[c].dataType.simpleString()}" for c in carry]
+        return dealt.mapInArrow(meet, ", ".join([kept, *more]))
+
+
+def _decoded(rows: pa.RecordBatch) -> tuple[pa.Array, pa.Array, pa.Array]:
+    """Term, chunk number and count of each posting of some blocks."""
+    n = pc.list_value_length(rows.column("gaps")).to_numpy(zero_copy_only=False).astype(np.int64)
+    sums = np.cumsum(rows.column("gaps").flatten().to_numpy().astype(np.int64))
+    head = np.cumsum(n) - n  # a block's first gap is zero
+    docs = sums + np.repeat(rows.column("first").to_numpy() - sums[head], n)
+    terms = rows.column("term").take(pa.array(np.repeat(np.arange(len(n)), n)))
+    return terms, pa.array(docs), rows.column("tfs").flatten()
 
 
 def bucket_of(term: Column, buckets: int) -> Column:

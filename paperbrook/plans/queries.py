@@ -582,7 +582,7 @@ def posting_statistics(rows: DataFrame) -> DataFrame:
 def postings_stored(spark, sf_dir):
     """Postings decoded from the blocks of the inverted file, with the keys of their chunks."""
     file = written_inverted(spark, sf_dir)
-    rows = file.postings().join(file.docs().select("doc", "chunk_id", "category", "year"), "doc")
+    rows = file.postings(["chunk_id", "category", "year"])
     lengths = {c: F.col(c).cast("bigint") for c in ("tf", "doc_len")}
     return rows.select("term", "chunk_id", "tf", "doc_len", "category", "year").withColumns(lengths)
 

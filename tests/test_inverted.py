@@ -139,6 +139,16 @@ def test_a_segment_is_inverted_where_it_stands(spark, rows):
     assert rows(got) == rows(postings(index, "chunk_id", "doc_len").select("term", "chunk_id", "tf", "doc_len"))
 
 
+def test_decoded_postings_are_not_moved(spark, chunks, sizes, rows):
+    index = build_index(chunks)
+    file = written(spark, index)
+    got = file.postings(["chunk_id", "category"])
+    assert rows(got.drop("doc")) == rows(postings(index, "chunk_id", "doc_len", "category").select("term", "tf", "doc_len", "chunk_id", "category"))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInArrow")[0] and plan.count("MapInArrow") == 1
+    assert written(spark, index.limit(0)).postings(["chunk_id"]).collect() == []
+
+
 def test_segments_stay_whole_where_a_join_turns_into_a_broadcast(spark, chunks, queries, monkeypatch):
     for name, value in (("SEGMENT_BITS", 5), ("WINDOW_BITS", 2), ("BLOCK", 3)):
         monkeypatch.setattr(inverted, name, value)
