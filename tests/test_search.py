@@ -313,3 +313,19 @@ def test_several_scans_read_what_they_need_of_the_index_once(spark, monkeypatch)
     assert want == sorted(map(tuple, found.collect()))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "/candidates-" in plan and "regexp" not in plan
+
+
+def test_hits_of_many_scans_are_written_in_rounds(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(search, "ROUND_SCANS", 2)
+    rows = [(n, [float(n % 7), float(n % 5), 1.0]) for n in range(60)]
+    vectors = spark.createDataFrame(rows, "chunk_id long, embedding array<double>")
+    queries = vectors.withColumnRenamed("chunk_id", "query_id")
+    want = hits(search.similarity_search(queries, vectors, 3))
+    sent = []
+    scan = search._scan_top_k
+    monkeypatch.setattr(search, "_scan_top_k", lambda *given: sent.append(scan(*given)) or sent[-1])
+    found = search.similarity_search(queries, vectors, 3, max_broadcast=9)
+    assert hits(found) == want and len(sent) > 4
+    # The plan reads what the rounds have written, and nothing that was sent for them is kept.
+    assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
+    assert all(broadcast._jbroadcast is None or not broadcast._jbroadcast.isValid() for _, broadcast in sent)
