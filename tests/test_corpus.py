@@ -300,3 +300,15 @@ def test_a_lost_batch_is_an_error(spark, tmp_path):
 def test_statistics_need_no_counts_of_terms(spark):
     index = spark.createDataFrame([(3, ["a", "b"]), (1, ["b"]), (0, [])], "doc_len int, terms array<string>")
     assert {tuple(r) for r in index_statistics(index).collect()} == {("a", 1, 0), ("b", 2, 0), (None, 3, 4)}
+
+
+def test_many_files_come_in_several_batches(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("paperbrook.streaming.files.MOST_FILES", 2)
+    root, folder = tmp_path / "in", str(tmp_path / "state")
+    target = root / "Housing" / "2024" / "May"
+    target.mkdir(parents=True)
+    for name in "abcde":
+        (target / f"{name}.txt").write_bytes(b"x")
+    found = track_stream(stream_new_files(spark, str(root), "*.txt"), folder, f"file:{root}/", T0)
+    assert sorted((r.path[-5:], r.version, r.status) for r in found.collect()) == [(f"{n}.txt", 1, "NEW") for n in "abcde"]
+    assert last_batch(spark, folder) == 2
