@@ -7,11 +7,13 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from paperbrook.operators import approx, search
 from paperbrook.operators.embedding import embed
 from paperbrook.operators.index import build_index, postings, sync_index
 from paperbrook.operators import chunk_store
+from paperbrook.operators.statistics import index_statistics
 
 WORDS = ["the", "a", "bridge", "house", "repair", "plan", "meeting", "budget", "road"]
 CHUNK = "chunk_id string, path string, category string, year int, month int, chunk_text string"
@@ -329,3 +331,27 @@ def test_hits_of_many_scans_are_written_in_rounds(spark, monkeypatch, tmp_path):
     # The plan reads what the rounds have written, and nothing that was sent for them is kept.
     assert "MapInArrow" not in found._jdf.queryExecution().executedPlan().toString()
     assert all(broadcast._jbroadcast is None or not broadcast._jbroadcast.isValid() for _, broadcast in sent)
+
+
+def test_terms_of_queries_come_as_columns_and_not_as_rows(spark, index, queries, monkeypatch):
+    kept, sizes, collect = index_statistics(index), [], type(queries).collect
+
+    def counted(df):
+        rows = collect(df)
+        sizes.append(len(rows))
+        return rows
+
+    monkeypatch.setattr(type(queries), "collect", counted)
+    [(ids, weights, df)] = search.term_weights(queries, kept, "query_id", "text", search.BROADCAST_TERMS)
+    assert max(sizes) <= 1 and len(weights.terms) == len(df) > 1
+    assert ids.type == to_arrow_type(queries.schema["query_id"].dataType)
+
+
+def test_terms_of_one_in_300_pairs_are_one_product(monkeypatch):
+    products, matmul = [], np.matmul
+    monkeypatch.setattr(search.np, "matmul", lambda *given, **out: products.append(given[0].shape) or matmul(*given, **out))
+    words = pa.array([f"w{n % 300}" for n in range(300)])
+    weights = search._term_weights(pa.array(range(300)), words, np.ones(300), 1.0)
+    lists = [[f"w{n}" for n in range(300)]]
+    rows = pa.RecordBatch.from_pydict({"terms": lists, "tfs": [[1] * 300], "doc_len": [300]})
+    assert (search._bm25(rows, weights) > 0).all() and products == [(300, 300)]
